@@ -70,10 +70,11 @@ def insert_new_readings(target: DataFrame, new: DataFrame, order=("row_id",)) ->
     return dedup(new, keys, order).join(target.select(*keys), keys, "left_anti")
 
 
-def insert_children(inserted: DataFrame, types: DataFrame) -> DataFrame:
+def insert_children(inserted: DataFrame, types: DataFrame, ids=("reading_id",)) -> DataFrame:
     """Type rows of inserted readings only: two per reading."""
-    return unpivot_types(inserted, ["reading_id"]).join(types.select("bike_type_id", "type_code"), "type_code").select(
-        "reading_id", "bike_type_id", "bikes"
+    ids = list(ids)
+    return unpivot_types(inserted, ids).join(types.select("bike_type_id", "type_code"), "type_code").select(
+        ids[0], "bike_type_id", "bikes", *ids[1:]
     )
 
 
@@ -163,6 +164,11 @@ def station_from_feeds(information: DataFrame, reference: DataFrame) -> DataFram
     return feed.join(towns, "station_code", "left").select(*STATION_COLUMNS)
 
 
-def append_run(spark: SparkSession, path: str, row: dict) -> None:
-    """Append one line to the run log."""
-    spark.createDataFrame([tuple(row[f.name] for f in S.RUN_LOG)], S.RUN_LOG).write.mode("append").parquet(path)
+def record_run(spark: SparkSession, path: str, row: dict) -> None:
+    """Add one line to the run log; a run recorded again replaces its own line."""
+    line = spark.createDataFrame([tuple(row[f.name] for f in S.RUN_LOG)], S.RUN_LOG)
+    line.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(S.RUN_LOG).parquet(path)

@@ -29,17 +29,6 @@ def target_tables(result: Repair, clean: DataFrame = None) -> dict:
     }
 
 
-def store_target(tables: dict, root: str) -> None:
-    """Write the target tables; readings get a ``date`` partition."""
-    for name, frame in tables.items():
-        writer = frame
-        if name == "reading":
-            writer = frame.withColumn("date", F.to_date("collected_at")).write.partitionBy("date")
-        else:
-            writer = frame.write
-        writer.mode("overwrite").parquet(f"{root}/{name}")
-
-
 def read_back(tables: dict) -> DataFrame:
     """Readings as the audit sees them after the load."""
     return star_join(tables, zero_missing=False)

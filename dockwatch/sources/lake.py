@@ -130,7 +130,6 @@ def write_zone(df: DataFrame, root: str, zone: str, written_at) -> None:
 
 def write_clean(df: DataFrame, path: str) -> None:
     """Clean zone: Parquet, one folder per collection date; rows are appended."""
-    # one file per day and task: rows of a day come together, a heavy day is still split
     dated = df.withColumn("date", F.to_date("collected_at"))
     dated.write.mode("append").partitionBy("date").parquet(path)
 
@@ -157,6 +156,52 @@ def zone_counts(spark: SparkSession, zones: dict) -> DataFrame:
     return out
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def write_batch(df: DataFrame, path: str, label: str) -> None:
+    """Write rows under date and batch label; only the folders of this label are replaced."""
+    df.withColumn("batch", F.lit(label)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "date", "batch").parquet(path)
+
+
+def read_batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """Rows of all batches with the columns of ``like`` and their batch label; empty before the first."""
+    schema = like.schema.add("batch", "string")
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def write_snapshot(df: DataFrame, path: str, name: str) -> None:
+    """A dimension as a new folder; the copy it was built from stays readable meanwhile."""
+    df.write.mode("errorifexists").parquet(f"{path}/snapshot={name}")
+
+
+def read_snapshot(spark: SparkSession, path: str, like: DataFrame = None) -> DataFrame:
+    """The newest finished snapshot; empty with the columns of ``like`` before the first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/snapshot=*/_SUCCESS")
+    done = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder)
+    if not done:
+        return spark.createDataFrame([], like.schema)
+    newest = max(str(status.getPath().getParent()) for status in done)
+    return spark.read.parquet(newest) if like is None else spark.read.schema(like.schema).parquet(newest)
+
+
+def write_target(tables: dict, root: str, name: str = "0") -> None:
+    """Store target tables: dimensions as snapshots, readings and type rows by collection date."""
+    dated = tables["reading"].withColumn("date", F.to_date("collected_at"))
+    for dimension in ("town", "station", "bike_type"):
+        write_snapshot(tables[dimension], f"{root}/{dimension}", name)
+    write_batch(dated, f"{root}/reading", name)
+    write_batch(
+        tables["reading_bikes"].join(dated.select("reading_id", "date"), "reading_id").select(
+            "reading_id", "bike_type_id", "bikes", "date"), f"{root}/reading_bikes", name)
+
+
 def read_target(spark: SparkSession, root: str) -> dict:
     """The five target tables as DataFrames by name."""
-    return {name: spark.read.parquet(f"{root}/{name}") for name in S.TARGET_MODEL}
+    dimensions = {n: read_snapshot(spark, f"{root}/{n}") for n in ("town", "station")}
+    facts = {n: spark.read.parquet(f"{root}/{n}").drop("batch") for n in ("reading", "reading_bikes")}
+    types = spark.createDataFrame(S.BIKE_TYPES, "bike_type_id int, type_code string, type_label string")
+    return {**dimensions, "bike_type": types, **facts}

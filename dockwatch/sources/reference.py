@@ -4,19 +4,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockwatch import schemas as S
 from dockwatch.functions import text as X
-
-# fixed value: day folder and HHMMSS in the file name give the download time (UTC)
-VERSION_PATH = r"date=(\d{4}-\d{2}-\d{2})/[^/]*_(\d{6})\.csv"
-
+from dockwatch.sources.lake import FILE_KEY
 
 def read_reference_versions(spark: SparkSession, path: str) -> DataFrame:
     """Every row of every version, all text, with the full path and download time of its file.
 
-    A version is its full path, not its base name: two days may hold the same HHMMSS.
+    The day folder and the HHMMSS of the file give the download time (UTC). A version is its full path, not its base name: two days may hold the same HHMMSS.
     """
     raw = spark.read.schema(S.REFERENCE_CSV_SCHEMA).csv(path, sep=";", header=True, enforceSchema=True)
     file_path = F.col("_metadata.file_path")
-    stamp = F.concat_ws(" ", F.regexp_extract(file_path, VERSION_PATH, 1), F.regexp_extract(file_path, VERSION_PATH, 2))
+    stamp = F.concat_ws(" ", F.regexp_extract(file_path, FILE_KEY, 1), F.regexp_extract(file_path, FILE_KEY, 2))
     return raw.select(
         *[X.blank_to_null(f).alias(c) for f, c in S.REFERENCE_CSV.items()],
         file_path.alias("version_file"),

@@ -47,18 +47,12 @@ def carry_code(batch: DataFrame, store: str) -> DataFrame:
     spark = batch.sparkSession
     coded = batch.filter(F.col("station_code").isNotNull() & F.col("station_id").isNotNull())
     pairs = coded.select("station_id", "station_code").distinct()
-    seen = spark.read.schema(pairs.schema).parquet(store) if _has_files(spark, store) else None
+    seen = spark.read.schema(pairs.schema).parquet(store) if lake.exists(spark, store) else None
     fresh = pairs if seen is None else pairs.join(seen, ["station_id", "station_code"], "left_anti")
     fresh.write.mode("append").parquet(store)
     return latest_codes(batch, spark.read.schema(pairs.schema).parquet(store))
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def process_batch(batch: DataFrame, root: str, reference_path: str, min_named: int = None, code_store: str = None,
                   observer=None) -> None:
     """One micro-batch into both zones: raw lines unchanged, and enriched rows.
@@ -105,59 +99,56 @@ def dedup_stream(df: DataFrame, delay: str, time: str = "collected_at") -> DataF
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(["station_id", time])
 
 
-def load_batch(batch: DataFrame, root: str, started_at=None, batch_id: int = 0, drop_silent: bool = False) -> dict:
-    """Clean one batch of aggregated rows and load it into clean zone and target tables.
+def load_batch(batch: DataFrame, root: str, label: str = "batch", drop_silent: bool = False) -> dict:
+    """Clean one batch of aggregated rows and load it into the clean zone and the target tables.
 
-    Replaying a batch changes nothing: known readings are left out by an anti join, and type
-    rows are written only for the readings inserted.
+    Everything a batch writes sits in folders of its own ``label``, so a batch that is run again
+    replaces its own rows; rows of other batches are left out by an anti join. The dimensions are
+    written as new snapshots, never in place.
     """
     spark = batch.sparkSession
-    started_at = started_at or datetime.now(timezone.utc)
-    observed, seen = observe_run(type_readings(batch), f"load-{batch_id}-{started_at:%H%M%S%f}", drop_silent)
+    started_at = datetime.now(timezone.utc)
+    observed, seen = observe_run(type_readings(batch), f"load-{label}-{started_at:%H%M%S%f}", drop_silent)
     usable, _ = split_valid(observed, drop_silent)
     staged = materialise(usable, "staged")
     counts = seen.get
 
     types = load.seed_types(spark)
-    existing = {n: _read_or_empty(spark, f"{root}/target/{n}", t) for n, t in _templates(staged, types).items()}
-    towns = load.insert_absent(existing["town"], load.towns_of(staged), "town_code", ["town_name"])
-    stations = load.upsert_latest(
-        existing["station"], staged, "station_id", ["collected_at", "updated_at", "station_code"],
-        ["station_name", "latitude", "longitude", "capacity", "town_code"])
-    # the dimensions are replaced as a whole: stored first, since they are built from the old copy
-    towns, stations = materialise(towns, "town"), materialise(stations, "station")
-
-    numbered = load.with_reading_id(staged)
+    target = f"{root}/target"
+    towns = lake.read_snapshot(spark, f"{target}/town", load.towns_of(staged))
+    stations = lake.read_snapshot(spark, f"{target}/station", staged.select(*load.STATION_COLUMNS))
+    snapshot = f"{started_at:%Y%m%dT%H%M%S%f}"
+    lake.write_snapshot(load.insert_absent(towns, load.towns_of(staged), "town_code", ["town_name"]), f"{target}/town", snapshot)
+    lake.write_snapshot(
+        load.upsert_latest(stations, staged, "station_id", ["collected_at", "updated_at", "station_code"],
+                           ["station_name", "latitude", "longitude", "capacity", "town_code"]),
+        f"{target}/station", snapshot)
+
+    numbered = load.with_reading_id(staged).withColumn("date", F.to_date("collected_at"))
+    known = lake.read_batches(spark, f"{target}/reading", numbered.select(*load.READING_COLUMNS, "date"))
+    others = known.filter(F.col("batch") != label)
     tie = ["updated_at", "docks_free", "bikes_mechanical", "bikes_electric", "station_name"]
-    inserted = materialise(load.insert_new_readings(existing["reading"], numbered, tie), "inserted")
-    n_loaded = inserted.count()
+    inserted = materialise(load.insert_new_readings(others, numbered, tie), "inserted")
+
+    lake.write_batch(inserted.drop("reading_id"), f"{root}/clean/readings", label)
+    lake.write_batch(load.insert_children(inserted.select("reading_id", "date", "bikes_mechanical", "bikes_electric"), types, ["reading_id", "date"]),
+                     f"{target}/reading_bikes", label)
+    lake.write_batch(inserted.select(*load.READING_COLUMNS, "date"), f"{target}/reading", label)
 
-    # type rows first: a reading is only known once it is complete, so a crash in between is repaired by the replay
-    lake.write_clean(inserted.drop("reading_id"), f"{root}/clean/readings")
-    load.insert_children(inserted, types).withColumn(
-        "batch", F.lit(batch_id)).write.mode("append").parquet(f"{root}/target/reading_bikes")
-    towns.write.mode("overwrite").parquet(f"{root}/target/town")
-    stations.write.mode("overwrite").parquet(f"{root}/target/station")
-    inserted.select(*load.READING_COLUMNS, F.to_date("collected_at").alias("date")).write.mode("append").partitionBy(
-        "date").parquet(f"{root}/target/reading")
+    n_loaded = inserted.count()
     run = {
-        "run_id": f"{started_at:%Y%m%dT%H%M%S}-{batch_id}", "started_at": started_at, "ended_at": datetime.now(timezone.utc),
-        "files": None, "rows_raw": counts["rows_raw"], "rows_rejected": counts["rows_rejected"],
+        "run_id": label, "started_at": started_at, "ended_at": datetime.now(timezone.utc),
+        "files": len(batch.inputFiles()), "rows_raw": counts["rows_raw"], "rows_rejected": counts["rows_rejected"],
         "rows_duplicate": counts["rows_raw"] - counts["rows_rejected"] - n_loaded, "rows_loaded": n_loaded,
     }
-    load.append_run(spark, f"{root}/runs", run)
+    load.record_run(spark, f"{root}/runs", run)
     return run
 
 
-def _templates(staged: DataFrame, types: DataFrame) -> dict:
-    reading = load.with_reading_id(staged).select(*load.READING_COLUMNS, F.to_date("collected_at").alias("date"))
-    return {"town": load.towns_of(staged), "station": staged.select(*load.STATION_COLUMNS), "reading": reading}
-
-
-def _read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    if _has_files(spark, path):
-        return spark.read.schema(like.schema).parquet(path)
-    return spark.createDataFrame([], like.schema)
+def batch_label(spark: SparkSession, batch_id: int) -> str:
+    """Name of a micro-batch, the same when it is run again, different for every checkpoint."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    return f"{query}-{batch_id}"
 
 
 def run_incremental(spark: SparkSession, root: str, checkpoint: str, once: bool = True, drop_silent: bool = False):
@@ -167,7 +158,7 @@ def run_incremental(spark: SparkSession, root: str, checkpoint: str, once: bool
 
     def handle(batch, batch_id):
         if not batch.isEmpty():
-            load_batch(batch, root, batch_id=batch_id, drop_silent=drop_silent)
+            load_batch(batch, root, batch_label(spark, batch_id), drop_silent)
 
     return renamed.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(
         **trigger_of(once, CLEANING_INTERVAL)).start()

@@ -30,8 +30,11 @@ def code_text(column):
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readings_of(table(spark, sf_dir, "events"))
+
+
+def readings_of(e: DataFrame) -> DataFrame:
     """Typed feed readings with planted clock errors, lost codes and lost splits."""
-    e = table(spark, sf_dir, "events")
     hour = ntz(F.date_trunc("hour", "ts"))
     bikes = F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")
     electric = F.floor(bikes / F.lit(3.0)).cast("bigint")
@@ -68,8 +71,11 @@ READINGS_SQL = """SELECT event_id AS row_id, user_id AS station_id,
 
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions_of(table(spark, sf_dir, "events"))
+
+
+def versions_of(e: DataFrame) -> DataFrame:
     """One reference version per day at 06:00, all text; some days are almost blank."""
-    e = table(spark, sf_dir, "events")
     days = e.select(F.to_date("ts").alias("day")).distinct()
     span = F.sequence(days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar())
     u = F.col("user_id")
@@ -105,11 +111,14 @@ TYPED_SQL = """CAST(v.capacity AS BIGINT) AS capacity,
 
 def before(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
     """Readings with the reference version in force at their collection, blank or not."""
-    feed, reference = readings(spark, sf_dir), versions(spark, sf_dir)
-    out = attach_reference(feed, type_reference(reference), asof_version(feed, reference))
+    out = before_of(readings(spark, sf_dir), versions(spark, sf_dir))
     return materialise(out, "before") if stored else out
 
 
+def before_of(feed: DataFrame, reference: DataFrame) -> DataFrame:
+    return attach_reference(feed, type_reference(reference), asof_version(feed, reference))
+
+
 # common table expressions for the checking SQL, each naming the ones it needs
 CTES = {
     "readings": ([], READINGS_SQL),

@@ -6,6 +6,7 @@ from dockwatch import schemas as S
 from dockwatch.functions import text as X
 from dockwatch.operators.ordering import dedup, first_by, latest_by
 from dockwatch.operators.relations import star_join, unpivot_types
+from dockwatch.session import fixed_rows
 
 STATION_COLUMNS = ["station_id", "station_code", "station_name", "latitude", "longitude", "capacity", "town_code"]
 READING_COLUMNS = [
@@ -18,7 +19,7 @@ MAX_STATION_ID = (1 << (63 - SECONDS_BITS)) - 1
 
 def seed_types(spark: SparkSession) -> DataFrame:
     """The two bike types."""
-    return spark.createDataFrame(S.BIKE_TYPES, "bike_type_id int, type_code string, type_label string")
+    return fixed_rows(spark, S.BIKE_TYPES, {"bike_type_id": "int", "type_code": "string", "type_label": "string"})
 
 
 def insert_absent(target: DataFrame, new: DataFrame, key: str, order) -> DataFrame:

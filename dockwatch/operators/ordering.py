@@ -51,12 +51,13 @@ def latest_per_key(df: DataFrame, key: str, time: str) -> DataFrame:
 
 
 def with_neighbours(df: DataFrame, value: str, key="station_id", time="collected_at", row_id="row_id",
-                    previous="previous_value", following="next_value") -> DataFrame:
+                    previous="previous_value", following="next_value", only_missing: bool = False) -> DataFrame:
     """Value of the row just before and just after, per key by (time, row id); NULLs are not skipped.
 
-    Returns (row_id, previous, following). Equal to ``lag``/``lead`` over one window per key, but no
-    window holds a whole key: rows are compared inside one (key, time, id block), blocks inside one
-    (key, day), days inside one key. Row ids must be unique.
+    Returns (row_id, previous, following), with ``only_missing`` just for rows without a value.
+    Equal to ``lag``/``lead`` over one window per key, but no window holds a whole key: rows are
+    compared inside one (key, time, id block), blocks inside one (key, day), days inside one key.
+    Row ids must be unique.
     """
     narrow = df.select(
         F.col(key).alias("k"), F.col(time).alias("t"), F.col(row_id).alias("id"), F.col(value).alias("v"),
@@ -64,17 +65,19 @@ def with_neighbours(df: DataFrame, value: str, key="station_id", time="collected
     )
     rows = Window.partitionBy("k", "t", "b").orderBy("id")
     inside = narrow.select(
-        "k", "t", "b", "id",
+        "k", "t", "b", "id", "v",
         F.lag("v").over(rows).alias("row_prev"), F.lead("v").over(rows).alias("row_next"),
         F.lag("id").over(rows).isNotNull().alias("row_has_prev"),
         F.lead("id").over(rows).isNotNull().alias("row_has_next"),
     )
+    if only_missing:
+        inside = inside.filter(F.col("v").isNull())
     blocks = narrow.groupBy("k", "t", "b").agg(
         F.min_by("v", "id").alias("first_v"), F.max_by("v", "id").alias("last_v")
     ).withColumn("day", F.to_date("t"))
     in_day = Window.partitionBy("k", "day").orderBy("t", "b")
     chained = blocks.select(
-        "k", "t", "b", "day",
+        F.col("k").alias("bk"), F.col("t").alias("bt"), F.col("b").alias("bb"), "day",
         F.lag("last_v").over(in_day).alias("block_prev"), F.lead("first_v").over(in_day).alias("block_next"),
         F.lag("b").over(in_day).isNotNull().alias("block_has_prev"),
         F.lead("b").over(in_day).isNotNull().alias("block_has_next"),
@@ -84,25 +87,19 @@ def with_neighbours(df: DataFrame, value: str, key="station_id", time="collected
     )
     by_day = Window.partitionBy("k").orderBy("day")
     across = days.select(
-        "k", "day", F.lag("last_v").over(by_day).alias("day_prev"), F.lead("first_v").over(by_day).alias("day_next")
-    )
-
-    edges = chained.join(
-        across.withColumnRenamed("k", "k2").withColumnRenamed("day", "day2"),
-        F.col("k").eqNullSafe(F.col("k2")) & F.col("day").eqNullSafe(F.col("day2")), "left",
-    ).select(
-        F.col("k").alias("ek"), F.col("t").alias("et"), F.col("b").alias("eb"),
-        F.when(F.col("block_has_prev"), F.col("block_prev")).otherwise(F.col("day_prev")).alias("edge_prev"),
-        F.when(F.col("block_has_next"), F.col("block_next")).otherwise(F.col("day_next")).alias("edge_next"),
+        F.col("k").alias("dk"), F.col("day").alias("dd"),
+        F.lag("last_v").over(by_day).alias("day_prev"), F.lead("first_v").over(by_day).alias("day_next"),
     )
+    # every row has its block and every block its day: inner joins, so that a few wanted rows can be broadcast
     joined = inside.join(
-        edges,
-        F.col("k").eqNullSafe(F.col("ek")) & F.col("t").eqNullSafe(F.col("et")) & (F.col("b") == F.col("eb")), "left",
-    )
+        chained, F.col("k").eqNullSafe(F.col("bk")) & F.col("t").eqNullSafe(F.col("bt")) & (F.col("b") == F.col("bb"))
+    ).join(across, F.col("k").eqNullSafe(F.col("dk")) & F.col("day").eqNullSafe(F.col("dd")))
     return joined.select(
         F.col("id").alias(row_id),
-        F.when(F.col("row_has_prev"), F.col("row_prev")).otherwise(F.col("edge_prev")).alias(previous),
-        F.when(F.col("row_has_next"), F.col("row_next")).otherwise(F.col("edge_next")).alias(following),
+        F.when(F.col("row_has_prev"), F.col("row_prev")).when(F.col("block_has_prev"), F.col("block_prev"))
+        .otherwise(F.col("day_prev")).alias(previous),
+        F.when(F.col("row_has_next"), F.col("row_next")).when(F.col("block_has_next"), F.col("block_next"))
+        .otherwise(F.col("day_next")).alias(following),
     )
 
 

@@ -5,63 +5,63 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dockwatch import schemas as S
 from dockwatch.functions import text as X
 from dockwatch.operators.ordering import order_by_rank
-from dockwatch.plans.readings import silent
+from dockwatch.plans.readings import silent_sql
+from dockwatch.session import fixed_rows
 
 RESULT_COLUMNS = ["phase", "check_id", "dimension", "label", "n_checked", "n_anomalies", "rate_pct"]
 
 
 def late_update(minutes: int = S.CLOCK_TOLERANCE_MINUTES):
     """The station reports an update later than its collection."""
-    return F.col("updated_at") > F.col("collected_at") + F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    return F.expr(late_update_sql(minutes))
+
+
+def late_update_sql(minutes: int = S.CLOCK_TOLERANCE_MINUTES) -> str:
+    return f"updated_at > collected_at + INTERVAL {int(minutes)} MINUTES"
+
+
+OVER_CAPACITY = "bikes_total + docks_free > capacity"
 
 
 def over_capacity():
-    return F.col("bikes_total") + F.col("docks_free") > F.col("capacity")
-
-
-def row_checks() -> dict:
-    """Check id -> (counted rows, anomaly). A NULL condition is never an anomaly."""
-    every = F.lit(True)
-    code = F.col("town_code")
-    absent = {c: F.col(c).isNull() for c in (
-        "station_id", "station_code", "bikes_mechanical", "bikes_electric", "station_name", "capacity",
-        "latitude", "longitude", "town_code", "town_name")}
-    return {
-        "C1": (every, absent["station_code"]),
-        "C2": (every, absent["bikes_mechanical"] | absent["bikes_electric"]),
-        "C3": (every, absent["station_name"] | absent["capacity"] | absent["latitude"] | absent["longitude"]
-               | absent["town_code"] | absent["town_name"]),
-        "V1": (~absent["capacity"], F.col("capacity") <= 0),
-        "V2": (every, (F.col("bikes_total") < 0) | (F.col("bikes_mechanical") < 0) | (F.col("bikes_electric") < 0)
-               | (F.col("docks_free") < 0)),
-        "V3": (~absent["latitude"], ~F.col("latitude").between(*S.LATITUDE_RANGE) | ~F.col("longitude").between(*S.LONGITUDE_RANGE)),
-        "V4": (~absent["town_code"], ~code.rlike(r"^\d{5}$") | ~X.dept_of(code).isin(S.DEPARTMENTS)),
-        "V5": (~absent["station_name"], X.has_extra_ws("station_name")),
-        "V6": (every, late_update()),
-        "K1": (~absent["bikes_mechanical"] & ~absent["bikes_electric"],
-               F.col("bikes_total") != F.col("bikes_mechanical") + F.col("bikes_electric")),
-        "K2": (~absent["capacity"], over_capacity()),
-        "K3": (every, silent(S.SILENT_HOURS)),
-        "I2": (every, absent["station_id"] | absent["station_code"] | absent["town_code"]),
-    }
+    return F.expr(OVER_CAPACITY)
+
+
+def _any_null(*columns):
+    return " OR ".join(f"{c} IS NULL" for c in columns)
+
+
+# check id -> (rows counted, anomaly), as SQL conditions; a NULL condition is never an anomaly
+ROW_CHECKS = {
+    "C1": ("true", _any_null("station_code")),
+    "C2": ("true", _any_null("bikes_mechanical", "bikes_electric")),
+    "C3": ("true", _any_null("station_name", "capacity", "latitude", "longitude", "town_code", "town_name")),
+    "V1": ("capacity IS NOT NULL", "capacity <= 0"),
+    "V2": ("true", "bikes_total < 0 OR bikes_mechanical < 0 OR bikes_electric < 0 OR docks_free < 0"),
+    "V3": ("latitude IS NOT NULL", "latitude NOT BETWEEN {}D AND {}D OR longitude NOT BETWEEN {}D AND {}D".format(
+        *S.LATITUDE_RANGE, *S.LONGITUDE_RANGE)),
+    "V4": ("town_code IS NOT NULL", "NOT rlike(town_code, r'^\\d{{5}}$') OR left(town_code, 2) NOT IN ({})".format(
+        ", ".join(f"'{d}'" for d in S.DEPARTMENTS))),
+    "V5": ("station_name IS NOT NULL", r"station_name <> trim(station_name) OR rlike(station_name, r'\s{2,}')"),
+    "V6": ("true", late_update_sql()),
+    "K1": ("bikes_mechanical IS NOT NULL AND bikes_electric IS NOT NULL", "bikes_total <> bikes_mechanical + bikes_electric"),
+    "K2": ("capacity IS NOT NULL", OVER_CAPACITY),
+    "K3": ("true", silent_sql(S.SILENT_HOURS)),
+    "I2": ("true", _any_null("station_id", "station_code", "town_code")),
+}
 
 
 def _row_results(df: DataFrame) -> DataFrame:
-    checks = row_checks()
-    counted = df.agg(
-        *[F.count_if(rows).alias(f"{i}_n") for i, (rows, _) in checks.items()],
-        *[F.count_if(bad).alias(f"{i}_bad") for i, (_, bad) in checks.items()],
-    )
-    return _unfold(counted, list(checks))
+    counts = []
+    for check, (rows, bad) in ROW_CHECKS.items():
+        counts += [F.expr(f"count_if({rows}) AS {check}_n"), F.expr(f"count_if({bad}) AS {check}_bad")]
+    return _unfold(df.agg(*counts), list(ROW_CHECKS))
 
 
 def _unfold(counted: DataFrame, ids) -> DataFrame:
     """One wide row of <id>_n / <id>_bad columns to one row per check."""
-    rows = F.array(*[
-        F.struct(F.lit(i).alias("check_id"), F.col(f"{i}_n").cast("bigint").alias("n_checked"),
-                 F.col(f"{i}_bad").cast("bigint").alias("n_anomalies")) for i in ids
-    ])
-    return counted.select(F.inline(rows))
+    rows = ", ".join(f"'{i}', CAST({i}_n AS BIGINT), CAST({i}_bad AS BIGINT)" for i in ids)
+    return counted.selectExpr(f"stack({len(ids)}, {rows}) AS (check_id, n_checked, n_anomalies)")
 
 
 def _collection_results(df: DataFrame, cadence: str) -> DataFrame:
@@ -104,9 +104,8 @@ def _town_results(df: DataFrame) -> DataFrame:
 
 def catalogue(spark: SparkSession) -> DataFrame:
     """The check catalogue."""
-    return spark.createDataFrame(
-        S.CHECKS, "check_id string, dimension string, label string, criticality string, target string, action string"
-    )
+    columns = ("check_id", "dimension", "label", "criticality", "target", "action")
+    return fixed_rows(spark, S.CHECKS, dict.fromkeys(columns, "string"))
 
 
 def audit(df: DataFrame, reference_codes: DataFrame, phase: str, cadence: str = "minute") -> DataFrame:
@@ -120,7 +119,7 @@ def audit(df: DataFrame, reference_codes: DataFrame, phase: str, cadence: str =
         .unionByName(_code_results(df, reference_codes)).unionByName(_town_results(df))
     )
     labels = catalogue(df.sparkSession).select("check_id", "dimension", "label")
-    return results.join(F.broadcast(labels), "check_id").select(  # eighteen fixed rows
+    return results.join(labels, "check_id").select(
         F.lit(phase).alias("phase"), "check_id", "dimension", "label", "n_checked", "n_anomalies",
         X.pct("n_anomalies", "n_checked").alias("rate_pct"),
     )
@@ -128,7 +127,7 @@ def audit(df: DataFrame, reference_codes: DataFrame, phase: str, cadence: str =
 
 def add_catalogue(results: DataFrame) -> DataFrame:
     """Criticality, target and verdict for each result."""
-    joined = results.join(F.broadcast(catalogue(results.sparkSession).drop("dimension", "label")), "check_id")
+    joined = results.join(catalogue(results.sparkSession).drop("dimension", "label"), "check_id")
     passed = (
         F.when(F.col("target") == "0", F.col("n_anomalies") == 0)
         .when(F.col("target") == "< 5 %", F.coalesce(F.col("rate_pct") < 5, F.lit(True)))
@@ -148,7 +147,7 @@ def compare_phases(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def anomaly_breakdown(df: DataFrame, check_id: str, by) -> DataFrame:
     """Where and when one row check fails: rows, stations and largest excess per group."""
-    _, condition = row_checks()[check_id]
+    condition = F.expr(ROW_CHECKS[check_id][1])
     excess = F.col("bikes_total") + F.col("docks_free") - F.col("capacity")
     failing = df.filter(F.coalesce(condition, F.lit(False)))
     per_station = failing.groupBy(*by, "station_id").agg(F.count(F.lit(1)).alias("n"), F.max(excess).alias("excess"))

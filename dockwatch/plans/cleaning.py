@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 from dockwatch import schemas as S
 from dockwatch.operators.aggregates import majority_groups
 from dockwatch.operators.asof import asof_version, attach_reference
-from dockwatch.operators.ordering import keep_lowest, with_neighbours
+from dockwatch.operators.ordering import dedup, keep_lowest, with_neighbours
 from dockwatch.operators.relations import update_from
 from dockwatch.plans.audit import late_update, over_capacity
-from dockwatch.plans.readings import silent
-from dockwatch.session import materialise
+from dockwatch.plans.readings import silent, silent_sql
+from dockwatch.session import fixed_rows, materialise
 from dockwatch.sources.reference import keep_groups, type_reference
 
 WORKING_COLUMNS = [
@@ -95,7 +95,7 @@ def r3_impute(df: DataFrame, neighbours: DataFrame = None) -> DataFrame:
 
     Only the readings to impute are joined with their neighbours.
     """
-    neighbours = with_neighbours(df, "bikes_electric") if neighbours is None else neighbours
+    neighbours = with_neighbours(df, "bikes_electric", only_missing=True) if neighbours is None else neighbours
     donors = neighbours.select("row_id", F.coalesce("previous_value", "next_value").alias("donor"))
     missing = F.col("bikes_electric").isNull()
     # an unknown total leaves the neighbour's count as it is (least ignores NULL)
@@ -110,13 +110,12 @@ def r3_impute(df: DataFrame, neighbours: DataFrame = None) -> DataFrame:
     return df.filter(~missing).unionByName(joined)
 
 
-def no_split():
-    """R3b: either count is still missing."""
-    return F.col("bikes_electric").isNull() | F.col("bikes_mechanical").isNull()
+NO_SPLIT = "(bikes_electric IS NULL OR bikes_mechanical IS NULL)"
 
 
 def r3_drop(df: DataFrame) -> DataFrame:
-    return df.filter(~no_split())
+    """Drop readings of which either count is still missing."""
+    return df.filter(f"NOT {NO_SPLIT}")
 
 
 def r4_valid_versions(reference: DataFrame, min_named: int = S.MIN_NAMED_ROWS) -> DataFrame:
@@ -142,18 +141,15 @@ def _true(condition):
 
 def flag_rows(df: DataFrame) -> DataFrame:
     """Rule flags R3b to R8; each deletion only counts rows the earlier ones left."""
-    r3b = no_split()
-    r6 = _true(F.col("capacity") <= 0)
-    r7 = _true(silent(S.SILENT_HOURS))
-    r8 = F.col("station_id").isNull() | F.col("station_code").isNull() | F.col("town_code").isNull() | F.col("station_name").isNull()
-    return (
-        df.withColumn("r3b", r3b)
-        .withColumn("r4b", ~F.col("r3b") & F.col("had_no_name") & F.col("station_name").isNotNull())
-        .withColumn("r5", ~F.col("r3b") & _true(F.col("name_fixed")))
-        .withColumn("r6", ~F.col("r3b") & r6)
-        .withColumn("r7", ~F.col("r3b") & ~F.col("r6") & r7)
-        .withColumn("r8", ~F.col("r3b") & ~F.col("r6") & ~F.col("r7") & r8)
-        .withColumn("kept", ~(F.col("r3b") | F.col("r6") | F.col("r7") | F.col("r8")))
+    unattached = "station_id IS NULL OR station_code IS NULL OR town_code IS NULL OR station_name IS NULL"
+    # the first deletion rule that applies
+    deleted_by = f"""CASE WHEN {NO_SPLIT} THEN 'r3b' WHEN capacity <= 0 THEN 'r6' WHEN {silent_sql(S.SILENT_HOURS)} THEN 'r7'
+        WHEN {unattached} THEN 'r8' ELSE 'kept' END"""
+    marked = df.withColumn("fate", F.expr(deleted_by))
+    return marked.selectExpr(
+        *[c for c in df.columns], *[f"fate = '{f}' AS {f}" for f in ("r3b", "r6", "r7", "r8", "kept")],
+        "fate <> 'r3b' AND had_no_name AND station_name IS NOT NULL AS r4b",
+        "fate <> 'r3b' AND coalesce(name_fixed, false) AS r5",
     )
 
 
@@ -179,24 +175,31 @@ def r10_kept(df: DataFrame) -> DataFrame:
     return df.filter(_true(over_capacity()))
 
 
+def collection_lookup(work: DataFrame, valid: DataFrame) -> DataFrame:
+    """R1 and the version choice of R4 for each collection: true time, moved or not, version in force."""
+    times = r1_clock(work.select("collected_at").distinct().withColumn("given", F.col("collected_at")), late_collections(work))
+    picks = asof_version(times, valid, fallback=True)
+    return times.join(picks, "collected_at").select(
+        F.col("given").alias("collected_at"), F.col("collected_at").alias("true_time"), F.col("r1").alias("moved"), "version_ts")
+
+
 def repair(before: DataFrame, reference: DataFrame, min_named: int = S.MIN_NAMED_ROWS) -> Repair:
     """Run R0 to R9. ``before`` should be a stored table: it is read once per lookup and once per rule branch.
 
-    Lookups (late collections, codes, neighbours, valid versions) are stored first. Their true
-    size is then known, so the planner broadcasts a small one and shuffles a large one.
+    Lookups (collections, codes, neighbours, valid versions) are stored first. Their true size is
+    then known, so the planner broadcasts a small one and shuffles a large one.
     """
     work = r0_working_set(before)
-    late = materialise(late_collections(work), "late")
-    work = r1_clock(work, late)
-    codes = materialise(known_codes(before), "codes")
-    # the donors only concern readings without a split, so only those are stored
-    needed = work.filter(F.col("bikes_electric").isNull()).select("row_id")
-    donors = materialise(with_neighbours(work, "bikes_electric").join(needed, "row_id", "left_semi"), "donors")
     valid = materialise(r4_valid_versions(reference, min_named), "valid")
+    collections = materialise(collection_lookup(work, valid), "collections")
+    codes = materialise(known_codes(before), "codes")
+    work = work.join(collections, "collected_at").withColumns({"collected_at": F.col("true_time"), "r1": F.col("moved")})
+    work = work.drop("true_time", "moved")
+    donors = materialise(with_neighbours(work, "bikes_electric", only_missing=True), "donors")
     work = r3_impute(r2_code(work, codes), donors)
-    picks = materialise(asof_version(work, valid, fallback=True), "picks")
-    flagged = materialise(flag_rows(r4_rejoin(work, valid, picks)), "flagged")
-    clean = r9_dedup(flagged.filter("kept")).drop(
+    flagged = materialise(flag_rows(attach_reference(work, valid)), "flagged")
+    # every kept row has a station and a collection, so duplicates can be grouped directly
+    clean = dedup(flagged.filter("kept")).drop(
         "had_no_name", "name_fixed", "kept", "version_ts", *[f for f in JOURNAL_FLAGS if f and f not in ("r1", "r3a")]
     )
     clean = clean.withColumnsRenamed({"r1": "time_corrected", "r3a": "split_imputed"})
@@ -205,15 +208,15 @@ def repair(before: DataFrame, reference: DataFrame, min_named: int = S.MIN_NAMED
 
 def journal_labels(spark) -> DataFrame:
     rows = [(i, *entry) for i, entry in enumerate(JOURNAL)]
-    return spark.createDataFrame(rows, "line int, step long, rule string, check_id string, action string")
+    return fixed_rows(spark, rows, {"line": "int", "step": "long", "rule": "string", "check_id": "string", "action": "string"})
 
 
 def journal(result: Repair, clean: DataFrame, min_named: int = S.MIN_NAMED_ROWS) -> DataFrame:
     """Rows touched by each rule, in rule order; one pass over the flagged rows and one over the clean ones."""
 
     def lines(counted, **numbered):
-        pairs = [F.struct(F.lit(i).alias("line"), F.col(c).cast("bigint").alias("n")) for c, i in numbered.items()]
-        return counted.select(F.inline(F.array(*pairs)))
+        pairs = ", ".join(f"{i}, CAST({c} AS BIGINT)" for c, i in numbered.items())
+        return counted.selectExpr(f"stack({len(numbered)}, {pairs}) AS (line, n)")
 
     flags = {f: i for i, f in enumerate(JOURNAL_FLAGS) if f}
     touched = result.flagged.agg(*[F.count_if(F.col(f)).alias(f) for f in flags], F.count_if("kept").alias("kept"))
@@ -225,5 +228,5 @@ def journal(result: Repair, clean: DataFrame, min_named: int = S.MIN_NAMED_ROWS)
         .groupBy("line").agg(F.sum("n").alias("n_rows"))
     )
     labels = journal_labels(clean.sparkSession)
-    return counts.join(F.broadcast(labels), "line").select(  # twelve fixed rows
+    return counts.join(labels, "line").select(
         "step", "rule", "check_id", "action", "n_rows").orderBy("step", "rule")

@@ -10,7 +10,7 @@ from dockwatch.plans.audit import audit, compare_phases, late_update
 from dockwatch.plans.cleaning import Repair, journal, repair
 from dockwatch.plans.readings import silent
 from dockwatch.schemas import MIN_NAMED_ROWS
-from dockwatch.session import materialise
+from dockwatch.session import fixed_rows, materialise
 
 
 def target_tables(result: Repair, clean: DataFrame = None) -> dict:
@@ -18,7 +18,9 @@ def target_tables(result: Repair, clean: DataFrame = None) -> dict:
     clean = result.clean if clean is None else clean
     spark = clean.sparkSession
     types = load.seed_types(spark)
-    stations = load.build_station_dim(result.valid_reference, result.flagged.filter(~F.col("r3b")).select("station_id", "station_code"))
+    seen = result.flagged.filter(~F.col("r3b")).select("station_id", "station_code")
+    # a dimension, used by the stations, the towns and every key check
+    stations = materialise(load.build_station_dim(result.valid_reference, seen), "stations")
     reading, reading_bikes = load.build_facts(clean, types)
     return {
         "town": load.build_town_dim(stations),
@@ -58,9 +60,7 @@ def base_indicators(tables: dict, until=None) -> DataFrame:
         F.count(F.lit(1)).alias("all"), F.count_if(silent()).alias("silent"), F.count_if(late_update()).alias("late")
     )
     # the three counts over the readings share one pass
-    shared = flags.select(F.inline(F.array(*[
-        F.struct(F.lit(p + 1).alias("position"), F.col(c).cast("bigint").alias("n")) for p, c in ((0, "all"), (6, "silent"), (7, "late"))
-    ])))
+    shared = flags.selectExpr("stack(3, 1, `all`, 7, silent, 8, late) AS (position, n)")
     station = tables["station"]
     parts = [
         one(1, count(station)),
@@ -79,23 +79,20 @@ def base_indicators(tables: dict, until=None) -> DataFrame:
 def base_vs_base(live: dict, repaired: dict, until=None) -> DataFrame:
     """Nine indicators of the live and the repaired base over the same period, with the difference."""
     spark = live["station"].sparkSession
-    labels = spark.createDataFrame(list(enumerate(INDICATORS, 1)), "position int, indicator string")
+    labels = fixed_rows(spark, enumerate(INDICATORS, 1), {"position": "int", "indicator": "string"})
     both = base_indicators(live, until).select("position", F.col("n").alias("live"), F.lit(0).cast("bigint").alias("repaired")).unionByName(
         base_indicators(repaired).select("position", F.lit(0).cast("bigint").alias("live"), F.col("n").alias("repaired"))
     ).groupBy("position").agg(F.sum("live").alias("live"), F.sum("repaired").alias("repaired"))
-    return both.join(F.broadcast(labels), "position").select(  # nine fixed rows
+    return both.join(labels, "position").select(
         "position", "indicator", "live", "repaired", (F.col("repaired") - F.col("live")).alias("difference")
     ).orderBy("position")
 
 
 def audit_path(before: DataFrame, reference: DataFrame, min_named: int = MIN_NAMED_ROWS, cadence: str = "minute") -> dict:
-    """Audit, repair, load with constraint check, re-audit and comparison.
-
-    ``before`` is stored first when the caller has not done so.
-    """
+    """Audit, repair, load with constraint check, re-audit and comparison; ``before`` is a stored table."""
     result = repair(before, reference, min_named)
     clean = materialise(result.clean, "clean")
-    tables = {n: materialise(t, n) if n in ("reading", "reading_bikes", "station") else t for n, t in target_tables(result, clean).items()}
+    tables = target_tables(result, clean)
     constraints.require_valid(tables)
     after = materialise(read_back(tables), "after")
     first = audit(before, reference, "before", cadence)

@@ -72,7 +72,11 @@ def loadable():
 
 def silent(hours: int = 24):
     """The station had not reported for more than ``hours`` when it was polled."""
-    return F.col("updated_at") < F.col("collected_at") - F.expr(f"INTERVAL {int(hours)} HOURS")
+    return F.expr(silent_sql(hours))
+
+
+def silent_sql(hours: int = 24) -> str:
+    return f"updated_at < collected_at - INTERVAL {int(hours)} HOURS"
 
 
 def reject_reason(drop_silent: bool = False):

@@ -51,3 +51,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fixed_rows(spark: SparkSession, rows, columns: dict) -> DataFrame:
+    """A few constant rows as an inline table; the planner knows its size and needs no hint."""
+
+    def literal(value):
+        return str(value) if isinstance(value, int) else "'" + str(value).replace("'", "\\'") + "'"
+
+    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    frame = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
+    return frame.select(*[frame[c].cast(kind) for c, kind in columns.items()])

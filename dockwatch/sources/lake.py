@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockwatch import schemas as S
 from dockwatch.functions import text as X
+from dockwatch.session import fixed_rows
 
 # fixed value: zone files sit under date=YYYY-MM-DD and carry HHMMSS in their file or folder name
 FILE_KEY = r"date=(\d{4}-\d{2}-\d{2})/(?:[^/]*[_=])(\d{6})"
@@ -203,5 +204,5 @@ def read_target(spark: SparkSession, root: str) -> dict:
     """The five target tables as DataFrames by name."""
     dimensions = {n: read_snapshot(spark, f"{root}/{n}") for n in ("town", "station")}
     facts = {n: spark.read.parquet(f"{root}/{n}").drop("batch") for n in ("reading", "reading_bikes")}
-    types = spark.createDataFrame(S.BIKE_TYPES, "bike_type_id int, type_code string, type_label string")
+    types = fixed_rows(spark, S.BIKE_TYPES, {"bike_type_id": "int", "type_code": "string", "type_label": "string"})
     return {**dimensions, "bike_type": types, **facts}

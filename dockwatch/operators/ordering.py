@@ -69,12 +69,13 @@ def with_neighbours(df: DataFrame, value: str, key="station_id", time="collected
         F.lag("v").over(rows).alias("row_prev"), F.lead("v").over(rows).alias("row_next"),
         F.lag("id").over(rows).isNotNull().alias("row_has_prev"),
         F.lead("id").over(rows).isNotNull().alias("row_has_next"),
+        F.last("v").over(rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("last_v"),
     )
+    # the first row of a block stands for it: same shuffle as the rows
+    blocks = inside.filter(~F.col("row_has_prev")).select(
+        "k", "t", "b", F.col("v").alias("first_v"), "last_v", F.to_date("t").alias("day"))
     if only_missing:
         inside = inside.filter(F.col("v").isNull())
-    blocks = narrow.groupBy("k", "t", "b").agg(
-        F.min_by("v", "id").alias("first_v"), F.max_by("v", "id").alias("last_v")
-    ).withColumn("day", F.to_date("t"))
     in_day = Window.partitionBy("k", "day").orderBy("t", "b")
     chained = blocks.select(
         F.col("k").alias("bk"), F.col("t").alias("bt"), F.col("b").alias("bb"), "day",

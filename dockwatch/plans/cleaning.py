@@ -16,7 +16,7 @@ from dockwatch.operators.relations import update_from
 from dockwatch.plans.audit import late_update, over_capacity
 from dockwatch.plans.readings import silent, silent_sql
 from dockwatch.session import fixed_rows, materialise
-from dockwatch.sources.reference import keep_groups, type_reference
+from dockwatch.sources.reference import type_reference, valid_versions
 
 WORKING_COLUMNS = [
     "row_id", "station_id", "station_code", "collected_at", "updated_at", "bikes_total", "bikes_mechanical",
@@ -118,9 +118,13 @@ def r3_drop(df: DataFrame) -> DataFrame:
     return df.filter(f"NOT {NO_SPLIT}")
 
 
-def r4_valid_versions(reference: DataFrame, min_named: int = S.MIN_NAMED_ROWS) -> DataFrame:
-    """Typed rows of the complete versions only, names already repaired (R5)."""
-    return type_reference(keep_groups(reference, ["version_ts"], "station_name", min_named), squash_names=True)
+def r4_valid_versions(reference: DataFrame, min_named: int = S.MIN_NAMED_ROWS, accepted: DataFrame = None) -> DataFrame:
+    """Typed rows of the complete versions only, names already repaired (R5).
+
+    ``accepted`` is the list of complete versions when it is stored already.
+    """
+    accepted = valid_versions(reference, min_named) if accepted is None else accepted
+    return type_reference(reference.join(accepted, "version_ts", "left_semi"), squash_names=True)
 
 
 def r4_dropped_rows(reference: DataFrame, min_named: int = S.MIN_NAMED_ROWS) -> DataFrame:
@@ -190,7 +194,8 @@ def repair(before: DataFrame, reference: DataFrame, min_named: int = S.MIN_NAMED
     then known, so the planner broadcasts a small one and shuffles a large one.
     """
     work = r0_working_set(before)
-    valid = materialise(r4_valid_versions(reference, min_named), "valid")
+    accepted = materialise(valid_versions(reference, min_named), "accepted")
+    valid = materialise(r4_valid_versions(reference, min_named, accepted), "valid")
     collections = materialise(collection_lookup(work, valid), "collections")
     codes = materialise(known_codes(before), "codes")
     work = work.join(collections, "collected_at").withColumns({"collected_at": F.col("true_time"), "r1": F.col("moved")})

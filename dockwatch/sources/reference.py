@@ -1,12 +1,15 @@
 """Versions of the station reference file: read them all, pick the newest, judge their validity."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockwatch import schemas as S
 from dockwatch.functions import text as X
 from dockwatch.sources.lake import FILE_KEY
 
-def read_reference_versions(spark: SparkSession, path: str) -> DataFrame:
+
+def read_reference_versions(spark: SparkSession, path) -> DataFrame:
     """Every row of every version, all text, with the full path and download time of its file.
 
     The day folder and the HHMMSS of the file give the download time (UTC). A version is its full path, not its base name: two days may hold the same HHMMSS.
@@ -21,6 +24,34 @@ def read_reference_versions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_newest_version(spark: SparkSession, path: str, min_named: int = None) -> DataFrame:
+    """Rows of the newest version only, found by file name: older files are not opened.
+
+    With ``min_named`` a blank newest file is passed over for the newest valid one. None when
+    there is no such version yet.
+    """
+    by_key = {}
+    # one name per download on the driver, the same list the file scan itself needs
+    for name in spark.read.schema(S.REFERENCE_CSV_SCHEMA).csv(path).inputFiles():
+        found = re.search(FILE_KEY, name)
+        if found:
+            by_key.setdefault(found.groups(), []).append(name)
+    for key in sorted(by_key, reverse=True):
+        rows = read_reference_versions(spark, by_key[key])
+        if min_named is None or rows.filter(F.col("station_name").isNotNull()).count() >= min_named:
+            return one_row_per_code(rows)
+    return None
+
+
+def one_row_per_code(rows: DataFrame) -> DataFrame:
+    """A code listed twice keeps a fixed row (greatest name) instead of the file's last line."""
+    coded = rows.filter(F.col("station_code").isNotNull())
+    others = [c for c in rows.columns if c != "station_code"]
+    ranked = F.struct("station_name", *[c for c in others if c != "station_name"])
+    best = coded.groupBy("station_code").agg(F.max(ranked).alias("r"))
+    return best.select("station_code", *[F.col(f"r.{c}").alias(c) for c in others])
+
+
 def valid_versions(reference: DataFrame, min_named: int = S.MIN_NAMED_ROWS) -> DataFrame:
     """Version times with at least ``min_named`` named rows."""
     return (
@@ -30,17 +61,10 @@ def valid_versions(reference: DataFrame, min_named: int = S.MIN_NAMED_ROWS) -> D
 
 
 def newest_version(reference: DataFrame, min_named: int = None) -> DataFrame:
-    """Rows of the newest version, one row per station code; empty when there is no version yet.
-
-    With ``min_named`` a blank newest file is passed over for the newest valid one.
-    """
+    """Rows of the newest version, one row per station code; empty when there is no version yet."""
     candidates = reference if min_named is None else keep_groups(reference, ["version_ts"], "station_name", min_named)
     newest = candidates.agg(F.max("version_ts").alias("version_ts"))
-    rows = candidates.join(newest, "version_ts", "left_semi").filter(F.col("station_code").isNotNull())
-    others = [c for c in rows.columns if c != "station_code"]
-    # a code listed twice: a fixed choice (greatest name) instead of the file's last line
-    best = rows.groupBy("station_code").agg(F.max(F.struct("station_name", *[c for c in others if c != "station_name"])).alias("r"))
-    return best.select("station_code", *[F.col(f"r.{c}").alias(c) for c in others])
+    return one_row_per_code(candidates.join(newest, "version_ts", "left_semi"))
 
 
 def keep_groups(df: DataFrame, keys, counted: str, min_rows: int) -> DataFrame:

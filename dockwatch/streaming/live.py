@@ -10,7 +10,7 @@ from dockwatch.operators.asof import asof_version
 from dockwatch.operators.relations import enrich_latest
 from dockwatch.plans.readings import observe_run, split_valid, type_readings
 from dockwatch.sources import lake
-from dockwatch.sources.reference import keep_groups, newest_version, read_reference_versions
+from dockwatch.sources.reference import keep_groups, read_newest_version
 from dockwatch.session import materialise
 
 POLL = "60 seconds"
@@ -66,9 +66,10 @@ def process_batch(batch: DataFrame, root: str, reference_path: str, min_named: i
     # zones take the same rows twice: the source is read once
     kept = batch.persist()
     try:
-        newest = newest_version(read_reference_versions(spark, reference_path), min_named)
-        if newest.isEmpty():
+        newest = read_newest_version(spark, reference_path, min_named)
+        if newest is None:
             raise RuntimeError("no station reference yet")
+        newest = materialise(newest, "newest")
         written_at = datetime.now(timezone.utc)
         flat = lake.flatten_raw_status(kept.select("value"))
         if code_store:

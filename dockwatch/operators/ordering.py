@@ -41,6 +41,21 @@ def keep_lowest(df: DataFrame, keys, row_id="row_id") -> DataFrame:
     return first_by(df.filter(complete), keys, [row_id]).unionByName(df.filter(~complete))
 
 
+def repeated_keys(df: DataFrame, keys, row_id="row_id") -> DataFrame:
+    """Keys that occur more than once and the lowest row id of each (``kept_id``).
+
+    Only the keys and ids are shuffled, reduced by each task first.
+    """
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(row_id).alias("kept_id"))
+    return groups.filter(F.col("n") > 1).drop("n")
+
+
+def surplus_rows(df: DataFrame, repeated: DataFrame, keys, row_id="row_id") -> DataFrame:
+    """Row ids to delete so that one row per key is left, given the stored list of repeated keys."""
+    narrow = df.select(*keys, row_id)
+    return narrow.join(repeated, list(keys)).filter(F.col(row_id) > F.col("kept_id")).select(row_id)
+
+
 def latest_per_key(df: DataFrame, key: str, time: str) -> DataFrame:
     """Rows at their key's greatest time, ties kept.
 

@@ -8,16 +8,15 @@ from pyspark.sql import DataFrame, functions as F
 def enrich_latest(messages: DataFrame, newest: DataFrame) -> DataFrame:
     """Left join of flattened messages with the newest reference rows; unmatched messages are kept.
 
-    Messages without a code get a key of their own so that a whole collection without codes
-    does not meet in one task.
+    Messages without a code cannot match, so whole collections without codes pass by the join.
     """
-    right = newest.select(
-        F.col("station_code").alias("join_code"), "station_name", "capacity", "coordinates", "town_name", "town_code",
-        F.lit(True).alias("matched"),
+    attributes = newest.select(
+        "station_code", "station_name", "capacity", "coordinates", "town_name", "town_code", F.lit(True).alias("matched")
     )
-    own_key = F.concat(F.lit("\u0000"), F.xxhash64(*messages.columns).cast("string"))
-    keyed = messages.withColumn("join_code", F.coalesce("station_code", own_key))
-    return keyed.join(right, "join_code", "left").drop("join_code").withColumn("matched", F.coalesce("matched", F.lit(False)))
+    coded = messages.filter(F.col("station_code").isNotNull()).join(attributes, "station_code", "left")
+    lost = messages.filter(F.col("station_code").isNull())
+    both = coded.unionByName(lost, allowMissingColumns=True)
+    return both.withColumn("matched", F.coalesce("matched", F.lit(False)))
 
 
 def unmatched_count(enriched: DataFrame) -> DataFrame:

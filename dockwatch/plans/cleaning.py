@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from dockwatch import schemas as S
 from dockwatch.operators.aggregates import majority_groups
 from dockwatch.operators.asof import asof_version, attach_reference
-from dockwatch.operators.ordering import dedup, keep_lowest, with_neighbours
+from dockwatch.operators.ordering import keep_lowest, repeated_keys, surplus_rows, with_neighbours
 from dockwatch.operators.relations import update_from
 from dockwatch.plans.audit import late_update, over_capacity
 from dockwatch.plans.readings import silent, silent_sql
@@ -203,8 +203,11 @@ def repair(before: DataFrame, reference: DataFrame, min_named: int = S.MIN_NAMED
     donors = materialise(with_neighbours(work, "bikes_electric", only_missing=True), "donors")
     work = r3_impute(r2_code(work, codes), donors)
     flagged = materialise(flag_rows(attach_reference(work, valid)), "flagged")
-    # every kept row has a station and a collection, so duplicates can be grouped directly
-    clean = dedup(flagged.filter("kept")).drop(
+    # R9: duplicates are few, so their row ids are listed and taken out; whole rows are not shuffled
+    kept, keys = flagged.filter("kept"), ["station_id", "collected_at"]
+    repeated = materialise(repeated_keys(kept, keys), "repeated")
+    surplus = materialise(surplus_rows(kept, repeated, keys), "surplus")
+    clean = kept.join(surplus, "row_id", "left_anti").drop(
         "had_no_name", "name_fixed", "kept", "version_ts", *[f for f in JOURNAL_FLAGS if f and f not in ("r1", "r3a")]
     )
     clean = clean.withColumnsRenamed({"r1": "time_corrected", "r3a": "split_imputed"})

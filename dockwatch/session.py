@@ -41,6 +41,16 @@ def work_dir(spark: SparkSession) -> str:
     return fallback
 
 
+def _tables_of(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/tables-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application once its results are stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_tables_of(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
@@ -48,7 +58,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     the planner a true byte size, so a lookup is broadcast only when it is really small.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_tables_of(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -25,6 +25,13 @@ def read_status_stream(spark: SparkSession, source: str, fmt: str = "kafka", **o
     return spark.readStream.format("text").options(**options).load(source).select("value")
 
 
+def lag_of(query) -> dict:
+    """Rows per source that a running query has still to read, from its last progress (None when unknown)."""
+    progress = query.lastProgress
+    sources = progress["sources"] if progress else []
+    return {s["description"]: (s.get("metrics") or {}).get("maxOffsetsBehindLatest") for s in sources}
+
+
 def trigger_of(once: bool, interval: str) -> dict:
     return {"availableNow": True} if once else {"processingTime": interval}
 

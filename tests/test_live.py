@@ -126,3 +126,16 @@ def test_stream_dedup_across_batches(spark, tmp_path):
         query = out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
         query.awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")).select(F.minute("collected_at"))) == [(0,), (1,), (2,)]
+
+
+def test_rate_of_a_stream(spark, tmp_path):
+    from dockwatch.plans.monitoring import rate_per_minute
+
+    schema = "ts timestamp"
+    frame = spark.createDataFrame([(datetime(2024, 1, 1, 0, m),) for m in (0, 0, 1, 4, 9)], schema)
+    frame.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in")).withWatermark("ts", "10 minutes")
+    query = rate_per_minute(stream).writeStream.format("memory").queryName("rates").outputMode("complete").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert rows(spark.table("rates")) == rows(rate_per_minute(frame))
+    assert live.lag_of(query)

@@ -12,7 +12,7 @@ from dockwatch.operators import proximity, relations
 from dockwatch.operators.asof import asof_version, attach_reference
 from dockwatch.operators.ordering import dedup
 from dockwatch.plans import readings as plan
-from dockwatch.session import materialise, work_dir
+from dockwatch.session import work_dir
 from dockwatch.sources import lake, reference
 
 K = "regexp_extract(props, '([0-9]+)', 1)"

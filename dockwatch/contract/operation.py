@@ -5,11 +5,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from dockwatch.contract.derived import ntz, readings, sql, table, versions
-from dockwatch.contract.feed import MESSAGE, REASON, messages, raw_zone, write_versions
+from dockwatch.contract.feed import MESSAGE, raw_zone, write_versions
 from dockwatch.contract.registry import register
 from dockwatch.operators import load
 from dockwatch.plans import monitoring as M
-from dockwatch.session import materialise, work_dir
+from dockwatch.session import work_dir
 from dockwatch.sources import lake
 from dockwatch.streaming import live
 

@@ -7,9 +7,8 @@ from dockwatch.contract.derived import MIN_NAMED, before, readings, sql, table,
 from dockwatch.contract.registry import register
 from dockwatch.operators import constraints, load
 from dockwatch.operators.aggregates import incomplete_children, under_capacity
-from dockwatch.operators.asof import asof_version
 from dockwatch.operators.ordering import dedup, latest_by, latest_per_key
-from dockwatch.operators.relations import group_with_zero, pivot_types, star_join, unpivot_types
+from dockwatch.operators.relations import group_with_zero, star_join, unpivot_types
 from dockwatch.plans import audit as Q, cleaning as C, conformance as L
 from dockwatch.session import materialise
 

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from dockwatch.contract import derived as D
 from dockwatch.operators import constraints
-from dockwatch.plans import audit as Q, cleaning as C, conformance as L
-from dockwatch.session import materialise
+from dockwatch.plans import cleaning as C, conformance as L
 from tests.conftest import rows
 
 SF = "/root/testdata/sf0.001"

@@ -1,7 +1,6 @@
 import json
-from datetime import datetime, timezone
+from datetime import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from dockwatch.operators import load
@@ -139,3 +138,33 @@ def test_rate_of_a_stream(spark, tmp_path):
     query.awaitTermination()
     assert rows(spark.table("rates")) == rows(rate_per_minute(frame))
     assert live.lag_of(query)
+
+
+def test_audit_from_raw_files(spark, tmp_path):
+    from dockwatch.operators.asof import asof_version, attach_reference
+    from dockwatch.plans.conformance import audit_path
+    from dockwatch.plans.readings import type_raw
+    from dockwatch.session import materialise
+
+    version(tmp_path, "2024-01-01", "000000", ["A;Stop  A;10;48.8, 2.3;Town;75001", "B;Stop B;0;48.8, 2.3;Town;75001"])
+    version(tmp_path, "2024-01-01", "000030", [";;;;;"])
+    folder = tmp_path / "raw/api/date=2024-01-01"
+    folder.mkdir(parents=True)
+    lost = json.loads(message(1, None, 1, 4, 1))
+    lost["num_bikes_available_types"] = [{}, {}]
+    polls = {"000000": [message(1, "A", 0), message(2, "B", 0)], "000100": [json.dumps(lost)], "000200": [message(1, "A", 2), message(1, "A", 2)],
+             "000300": [message(1, "A", 3)]}
+    for time, lines in polls.items():
+        (folder / f"status_{time}.jsonl").write_text("\n".join(lines) + "\n")
+
+    feed = materialise(type_raw(lake.read_raw_status(spark, str(tmp_path / "raw/api"), cutoff="2024-01-01/000200")), "feed")
+    ref = materialise(reference.read_reference_versions(spark, str(tmp_path / "raw/source2")), "reference")
+    before = materialise(attach_reference(feed, reference.type_reference(ref), asof_version(feed, ref)), "before")
+    out = audit_path(before, ref, min_named=1)
+    first = {r.check_id: r.n_anomalies for r in out["before"].collect()}
+    # K2: the closed station B (capacity 0) still shows 3 bikes and 5 docks
+    assert {c: n for c, n in first.items() if n} == {"C1": 1, "C2": 1, "C3": 3, "U1": 1, "V1": 1, "V5": 1, "K2": 1, "I2": 3}
+    assert rows(out["clean"].select(F.minute("collected_at"), "bikes_mechanical", "bikes_electric", "station_name", "split_imputed")) == [
+        (0, 2, 1, "Stop A", False), (1, 4, 1, "Stop A", True), (2, 2, 1, "Stop A", False)]
+    assert {r.check_id: r.status for r in out["comparison"].collect()}["C1"] == "OK"
+    assert rows(out["tables"]["station"], "station_code") == [("A",)]

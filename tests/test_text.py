@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from dockwatch.functions import text as X
 from dockwatch.sources import lake

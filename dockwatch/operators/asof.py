@@ -38,7 +38,8 @@ def asof_version(times: DataFrame, versions: DataFrame, time="collected_at", ver
 def attach_reference(readings: DataFrame, reference: DataFrame, picks: DataFrame = None) -> DataFrame:
     """Left join of the reference rows on (version, station code).
 
-    ``picks`` (collection time -> version) is joined first when given. Whole collections may
+    ``picks`` (collection time -> version) is joined first when given; a reading without a
+    collection time belongs to no collection and is left out there. Whole collections may
     come without a station code; those rows can never match, so each gets a key of its own
     instead of meeting all the others in one task.
     """

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from dockwatch.contract.registry import ORACLES, QUERIES
 from tests.contract_check import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -22,7 +23,7 @@ def test_query(spark, con, name):
 
 
 def test_every_query_has_checking_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

@@ -84,3 +84,11 @@ def op9_sharding(spark, sf_dir):
     placed = interleaved_shards(read_table(spark, sf_dir, "documents"), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+@register("op10_nearest")
+def op10_nearest(spark, sf_dir):
+    """The five nearest by cosine of every vector whose id is divisible by 50, against all vectors."""
+    from dockwatch.llm.op10_ann import nearest
+
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)

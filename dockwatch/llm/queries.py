@@ -92,3 +92,13 @@ def op10_nearest(spark, sf_dir):
     from dockwatch.llm.op10_ann import nearest
 
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@register("op3_token_ids")
+def op3_token_ids(spark, sf_dir):
+    """Every whole text encoded, written as a token set, and read back from its frames."""
+    from dockwatch.llm.op03_tokens import new_folder, read_tokens, write_tokens
+    from dockwatch.llm.tokens import tokenizer_file
+
+    path = write_tokens(read_table(spark, sf_dir, "documents"), new_folder(spark, "tokens"), tokenizer_file())
+    return read_tokens(spark, path, digest=True)

@@ -102,3 +102,11 @@ def op3_token_ids(spark, sf_dir):
 
     path = write_tokens(read_table(spark, sf_dir, "documents"), new_folder(spark, "tokens"), tokenizer_file())
     return read_tokens(spark, path, digest=True)
+
+
+@register("op6_near_duplicates")
+def op6_near_duplicates(spark, sf_dir):
+    """Components of all documents whose sets of three-word shingles are alike by 0.85 or more."""
+    from dockwatch.llm.op06_neardup import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"), k=3, num=85, den=100)

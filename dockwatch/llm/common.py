@@ -5,26 +5,13 @@ from pyspark.sql import functions as F
 
 from dockwatch.session import materialise
 
-__all__ = ["hashed_sample", "internal", "materialise", "read_table", "utf8_array"]
+__all__ = ["hashed_sample", "materialise", "read_table", "repeat_rows", "utf8_array"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def internal(df: DataFrame, *names: str) -> list[str]:
-    """Working column names that clash with no column of ``df`` (columns compare without case)."""
-    taken = {c.lower() for c in df.columns}
-    out = []
-    for name in names:
-        candidate = f"_{name}"
-        while candidate.lower() in taken:
-            candidate = "_" + candidate
-        taken.add(candidate.lower())
-        out.append(candidate)
-    return out
-
-
 def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     """At most ``rows`` rows with the smallest hashes of ``key``: the same rows in every run, whatever the partitions.
 
@@ -43,5 +30,27 @@ def utf8_array(column):
         column = column.fill_null("")
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8) if offsets else np.zeros(1, np.int64)
-    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    data = np.frombuffer(data, np.uint8)[:offsets[-1]] if data else np.zeros(0, np.uint8)
     return data, offsets
+
+
+def repeat_rows(df: DataFrame, text_col: str, counts, others=()) -> DataFrame:
+    """Rows of ``df`` as often as ``counts(data, offsets, *others)`` says for their texts (a mask keeps or drops), columns unchanged.
+
+    ``others`` names further columns, given as Arrow arrays. Nothing is shuffled or joined; texts come in bounded slices.
+    """
+    import numpy as np
+
+    from dockwatch.llm.textscan import slices
+
+    at, rest = df.columns.index(text_col), [df.columns.index(c) for c in others]
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = utf8_array(batch.column(at))
+            for a, b in slices(offsets):
+                part = batch.slice(a, b - a)
+                n = counts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], *(part.column(c) for c in rest))
+                yield part.take(np.repeat(np.arange(b - a), np.asarray(n, np.int64)))
+
+    return df.mapInArrow(run, df.schema)

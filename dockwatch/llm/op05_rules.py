@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockwatch.llm.common import hashed_sample, utf8_array
+from dockwatch.llm.common import hashed_sample, repeat_rows, utf8_array
 from dockwatch.llm.textscan import slices, span_hashes, windows, words
 
 #: Rows timed to order the rules; a longer text than SAMPLE_CHARS is not timed (it is judged like any other).
@@ -206,3 +206,10 @@ def quality_rules(df: DataFrame, id_col="doc_id", text_col="text", rules=None, r
                     [id_col, *report, "kept", "rule"])
 
     return df.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(judge, schema)
+
+
+def keep_passing(df: DataFrame, id_col="doc_id", text_col="text", rules=None, order=None) -> DataFrame:
+    """The rows of ``df`` that no rule rejects, all columns unchanged."""
+    rules = dict(RULES if rules is None else rules)
+    order = plan_order(df, id_col, text_col, rules) if order is None else list(order)
+    return repeat_rows(df, text_col, lambda data, offsets: run_cascade(Texts(data, offsets), rules, order) < 0)

@@ -235,3 +235,19 @@ def near_duplicates(df: DataFrame, k=5, num=4, den=5, id_col="doc_id", text_col=
     component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
     return placed.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                          (component.isNull() | (component == F.col("id"))).alias("kept"))
+
+
+def keep_one(df: DataFrame, k=5, num=4, den=5, id_col="doc_id", text_col="text") -> DataFrame:
+    """One document of each group (the one with the smallest id), all columns unchanged.
+
+    Of several rows with the same kept id one stays; rows with a null id stay. Rows are matched by id: only the ids that go,
+    and the few that repeat, are joined to the texts.
+    """
+    found = materialise(near_duplicates(df, k, num, den, id_col, text_col), "groups")
+    gone = found.where("not kept").select(F.col(id_col)).distinct()
+    left = df.join(gone, id_col, "left_anti").select(df.columns)
+    repeated = materialise(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "repeated")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
+    return left.join(repeated, id_col, "left_anti").unionByName(once).select(df.columns)

@@ -1,8 +1,9 @@
 """Sharding by proportional stratified interleaving; DataFrame functions only.
 
 Rows are put in a seeded random order within their source; row number r of n in its source has the fractional rank
-(2r - 1) / 2n. Sorted by it, the sources interleave in proportion, so any contiguous piece has the mixture of the whole,
-and the sorted row is cut into shards whose row counts differ by at most one.
+(r - u) / n, where u is a seeded number between 0 and 1 per source that keeps small sources from rounding in step. Sorted by
+it, the sources interleave in proportion, so any contiguous piece has the mixture of the whole, and the sorted rows are cut
+into shards whose row counts differ by at most one.
 
 Both numberings are done in two levels, numbers within buckets plus the counted rows of earlier buckets, so that
 neither a source with a third of all rows nor the global order meets in one task. Only narrow rows are shuffled.
@@ -47,8 +48,9 @@ def interleaved_shards(df: DataFrame, shards: int, seed=17, id_col="doc_id", tex
     counted = counted.withColumn("of", F.sum("n").over(Window.partitionBy(*key))).drop("n")
     within = F.row_number().over(Window.partitionBy(*key, "b").orderBy("h", "id", "crc", "size"))
     ranked = rows.withColumn("r", within).join(counted, [*key, "b"]).withColumn("r", F.col("r") + F.col("before"))
-    ranked = ranked.select("id", "size", "crc", *key, "r", ((2 * F.col("r") - 1) / (2 * F.col("of"))).alias("f"),
-                           F.expr(f"cast((2 * r - 1) * {cells} div (2 * of) as int)").alias("g"))
+    ranked = ranked.withColumn("u", F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1023)) + 1)
+    ranked = ranked.select("id", "size", "crc", *key, "r", F.expr("(1024 * r - u) / (1024 * of)").alias("f"),
+                           F.expr(f"cast((1024 * r - u) * {cells} div (1024 * of) as int)").alias("g"))
     ranked = materialise(ranked, "ranked")
 
     # one row per cell: at most MAX_BUCKETS rows meet in this window

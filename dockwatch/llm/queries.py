@@ -110,3 +110,45 @@ def op6_near_duplicates(spark, sf_dir):
     from dockwatch.llm.op06_neardup import near_duplicates
 
     return near_duplicates(read_table(spark, sf_dir, "documents"), k=3, num=85, den=100)
+
+
+@register("op1_quality_classifier")
+def op1_quality_classifier(spark, sf_dir):
+    """Score of every whole text, learnt from the labels of rows that are not held out."""
+    from dockwatch.llm.op01_gam import quality_scores
+
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register("op2_packing")
+def op2_packing(spark, sf_dir):
+    """All documents in length buckets of least padding and batches of 32,768 tokens."""
+    from dockwatch.llm.op02_packing import pack_documents
+    from dockwatch.llm.tokens import tokenizer_file
+
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+#: Domain -> share of the tokens.
+MIXTURE = {"clean": 0.9, "toxic": 0.07, "junk": 0.03}
+
+
+def domain_labels(labels):
+    """The labelled table of the mixture: toxic texts, other good texts, other bad texts."""
+    return labels.select("doc_id", F.expr("case when toxic = 1 then 'toxic' when quality = 1 then 'clean' when quality = 0 then 'junk' end").alias("domain"))
+
+
+@register("op8_mixing")
+def op8_mixing(spark, sf_dir):
+    """Posterior, rate and copies of every document for the target mixture."""
+    from dockwatch.llm.op08_mixing import mixture_rates
+
+    return mixture_rates(read_table(spark, sf_dir, "documents"), domain_labels(read_table(spark, sf_dir, "labels")), MIXTURE)
+
+
+@register("op4_main_text")
+def op4_main_text(spark, sf_dir):
+    """Main text of every page."""
+    from dockwatch.llm.op04_html import extract_main_text
+
+    return extract_main_text(read_table(spark, sf_dir, "pages"))

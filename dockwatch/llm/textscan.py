@@ -22,6 +22,11 @@ SLICE = 4 << 20
 def mix(x):
     """Finaliser that spreads 64-bit values (splitmix64)."""
     x = np.asarray(x, np.uint64)
+    with np.errstate(over="ignore"):
+        return _mix(x)
+
+
+def _mix(x):
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -81,7 +86,7 @@ def span_hashes(data, starts, ends, lower=False):
             total = np.uint64(0)
             for at in range(int(starts[i]), int(ends[i]), CHUNK):
                 piece = code[data[at:min(at + CHUNK, int(ends[i]))]]
-                total = mix(np.uint64(total) + (piece * powers[:len(piece)]).sum(dtype=np.uint64))
+                total = mix(mix(total) ^ (piece * powers[:len(piece)]).sum(dtype=np.uint64))
             out[i] = total
             i += 1
             continue

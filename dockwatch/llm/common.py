@@ -25,11 +25,12 @@ def utf8_array(column):
     import numpy as np
     import pyarrow as pa
 
-    column = column.cast(pa.large_string())
     if column.null_count:
         column = column.fill_null("")
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
     _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8) if offsets else np.zeros(1, np.int64)
+    width = np.dtype(kind).itemsize
+    offsets = np.frombuffer(offsets, kind, len(column) + 1, column.offset * width).astype(np.int64) if offsets else np.zeros(1, np.int64)
     data = np.frombuffer(data, np.uint8)[:offsets[-1]] if data else np.zeros(0, np.uint8)
     return data, offsets
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockwatch.llm.common import hashed_sample, materialise, utf8_array
-from dockwatch.llm.tokens import Encoder
+from dockwatch.llm.tokens import encoder as encoder_of
 from dockwatch.session import work_dir
 
 END_ID = 2
@@ -34,8 +34,10 @@ DICTIONARY_BYTES = 65_536
 LEVEL = 3
 #: A segment is closed at so many documents or bytes; a longer document is a segment of its own.
 SEGMENT_ROWS = 4096
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 19
 PART_BYTES = 128 << 20
+#: Small row groups bound what a writer holds back and what a reader takes at once; frames are compressed already.
+WRITE = {"parquet.block.size": 8 << 20, "compression": "uncompressed"}
 
 
 def with_end(ids, at, end_id):
@@ -71,7 +73,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, id_col="doc_id", text
     given = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     picked = hashed_sample(given.select("id").where("id is not null"), "id", SAMPLE_ROWS)
     texts = given.join(F.broadcast(picked.distinct()), "id").limit(SAMPLE_ROWS).select(F.substring("text", 1, 4 * SAMPLE_BYTES).alias("t"))
-    encoder = Encoder(tokenizer)
+    encoder = encoder_of(tokenizer)
     wide = encoder.tokenizer.get_vocab_size() > 1 << 16 or end_id >= 1 << 16
     kind = np.dtype("<u4" if wide else "<u2")
     data, offsets = utf8_array(texts.toArrow()["t"].combine_chunks())
@@ -84,7 +86,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, id_col="doc_id", text
     dict_hash = hashlib.sha256(dictionary).hexdigest()
 
     def compress(batches):
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         frames = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary))
         for batch in batches:
             data, offsets = utf8_array(batch.column(1))
@@ -125,7 +127,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, id_col="doc_id", text
         if ids:
             yield close()
 
-    ordered.mapInArrow(segments, SEGMENTS).write.parquet(f"{path}/segments")
+    ordered.mapInArrow(segments, SEGMENTS).write.options(**WRITE).parquet(f"{path}/segments")
     written = spark.read.schema(SEGMENTS).parquet(f"{path}/segments")
     totals = written.groupBy("part").agg(F.sum(F.expr("aggregate(n_tokens, 0L, (s, n) -> s + n)")).alias("tokens"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part

@@ -1,20 +1,31 @@
 """Whole texts to token ids with the tokenizers library, each distinct space-separated piece encoded once.
 
-With a byte-level tokenizer whose pieces may start with one space, a text can be cut before any single space between two
-non-space characters without changing its ids. Equal pieces of a batch are therefore encoded once, and a bounded cache
-keeps pieces between the batches of a task. Pieces are matched by a 64-bit hash and their length.
+With a byte-level tokenizer whose pieces may start with one space, a text can be cut without changing its ids before a
+single space or line break between two non-space characters, after such a line break, and between a letter and a
+punctuation mark. Equal pieces of a batch are therefore encoded once, and a bounded cache keeps pieces between the batches
+and tasks of a worker. Pieces are matched by a 64-bit hash that covers their length.
 """
 
+import functools
+import os
+
 import numpy as np
 
 from dockwatch.llm.textscan import SPACE, slices, span_hashes
 
 #: Pieces kept between batches; when full, new pieces are encoded but not kept.
-CACHE_PIECES = 1 << 20
+CACHE_PIECES = 1 << 19
 #: First bytes of characters that can be white space outside ASCII; no cut before them.
 _MAYBE_SPACE = np.zeros(256, bool)
 _MAYBE_SPACE[:0x21] = True
 _MAYBE_SPACE[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+#: Not the bar: it occurs inside the name of a special token.
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?\"'()#$%&*")] = True
+#: New pieces encoded at once; an encoding takes much more memory than its ids.
+ENCODE_PIECES = 1024
 
 
 def tokenizer_file(name="byte_bpe_50k.json"):
@@ -36,6 +47,8 @@ class Encoder:
     """Encodes batches of texts held as bytes and offsets."""
 
     def __init__(self, path):
+        # Spark already runs one task per core
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -48,7 +61,11 @@ class Encoder:
         n = len(data)
         cut = np.zeros(n, bool)
         if n > 2:
-            cut[1:-1] = (data[1:-1] == 0x20) & ~SPACE[data[:-2]] & ~_MAYBE_SPACE[data[2:]]
+            before, here, after = data[:-2], data[1:-1], data[2:]
+            single = ~SPACE[before] & ~_MAYBE_SPACE[after]
+            line = (here == 0x0A) & single
+            cut[1:-1] = ((here == 0x20) & single) | line | (_LETTER[before] & _MARK[here])
+            cut[2:] |= line
         inner = offsets[:-1]
         cut[inner[inner < n]] = True
         starts = np.flatnonzero(cut)
@@ -56,11 +73,14 @@ class Encoder:
 
     def _encode(self, data, starts, ends):
         raw = data.tobytes()
-        out = self.tokenizer.encode_batch_fast([raw[a:b].decode() for a, b in zip(starts, ends)], add_special_tokens=False)
-        ids = [x.ids for x in out]
-        lengths = np.array([len(x) for x in ids], np.int64)
-        flat = np.fromiter((t for x in ids for t in x), np.uint32, int(lengths.sum()))
-        return np.cumsum(lengths) - lengths, lengths, flat
+        lengths, flat = [], []
+        for i in range(0, len(starts), ENCODE_PIECES):
+            pieces = [raw[a:b].decode() for a, b in zip(starts[i:i + ENCODE_PIECES], ends[i:i + ENCODE_PIECES])]
+            ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            lengths.append(np.array([len(x) for x in ids], np.int64))
+            flat.append(np.fromiter((t for x in ids for t in x), np.uint32, int(lengths[-1].sum())))
+        lengths = np.concatenate(lengths)
+        return np.cumsum(lengths) - lengths, lengths, np.concatenate(flat)
 
     def encode(self, data, offsets):
         """Flat token ids and, per text, the position of its first id (one more at the end)."""
@@ -81,11 +101,10 @@ class Encoder:
             begin[new], length[new] = a + len(ids), n
             ids = np.concatenate([ids, flat])
             if len(self.keys) + len(new) <= CACHE_PIECES:
-                merged = np.concatenate([self.keys, keys[new]])
-                order = np.argsort(merged, kind="stable")
-                self.keys = merged[order]
-                self.starts = np.concatenate([self.starts, begin[new]])[order]
-                self.lengths = np.concatenate([self.lengths, n])[order]
+                spot = at[new]  # keys stay sorted
+                self.keys = np.insert(self.keys, spot, keys[new])
+                self.starts = np.insert(self.starts, spot, begin[new])
+                self.lengths = np.insert(self.lengths, spot, n)
                 self.ids = ids
         lengths = length[which]
         flat = ids[ragged(begin[which], lengths)]
@@ -94,6 +113,12 @@ class Encoder:
 
     def encode_texts(self, data, offsets):
         """For slices of bounded size: first text, last text, flat ids, positions."""
-        for a, b in slices(offsets):
+        for a, b in slices(offsets, 2 << 20):
             ids, at = self.encode(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             yield a, b, ids, at
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path):
+    """One encoder per worker, so that its cache serves all tasks of the worker."""
+    return Encoder(path)

@@ -50,8 +50,12 @@ def inputs(data, offsets):
     distinct = np.bincount(text, minlength=n)
     shares = np.bincount(np.repeat(np.arange(n), np.diff(offsets)) * KINDS + _KIND[data], minlength=n * KINDS).reshape(n, KINDS)
     shares = np.sqrt(shares / np.maximum(np.diff(offsets), 1)[:, None])
-    value = 3.0 / np.sqrt(np.maximum(distinct, 1))[text]
-    return shares, (slot, value, text), tokens
+    return shares, (slot, word_values(distinct)[text], text), tokens
+
+
+def word_values(distinct):
+    """What each distinct word of a text counts."""
+    return 3.0 / np.sqrt(np.maximum(distinct, 1))
 
 
 class DomainModel:
@@ -91,11 +95,28 @@ def fit_domains(df: DataFrame, labelled: DataFrame, id_col: str, text_col: str,
     known = known.groupBy("id").agg(F.min("domain").alias("domain"))
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     known = materialise(hashed_sample(known.join(texts.select("id").distinct(), "id", "left_semi"), "id", rows), "known")
-    smallest = texts.join(known.select("id"), "id", "left_semi").groupBy("id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    found = smallest.join(known, "id").orderBy("id").toArrow()
-    names = sorted(set(found["domain"].to_pylist()))
-    data, offsets = utf8_array(found["text"].combine_chunks())
-    return DomainModel(names).fit(inputs(data, offsets), np.array([names.index(d) for d in found["domain"].to_pylist()], np.int64))
+
+    def run(batches):  # a text of any length is KINDS numbers and at most WORD_SLOTS slots to the driver
+        for batch in batches:
+            data, offsets = utf8_array(batch.column(1))
+            for a, b in slices(offsets):
+                shares, (slot, _, text), _ = inputs(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                ends = np.searchsorted(text, np.arange(b - a + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * KINDS), pa.array(shares.ravel())),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(slot.astype(np.int32)))], ["id", "shares", "slots"])
+
+    described = texts.join(known.select("id"), "id", "left_semi").mapInArrow(run, "id long, shares array<double>, slots array<int>")
+    smallest = described.groupBy("id").agg(F.min(F.struct("shares", "slots")).alias("x"))
+    found = smallest.join(known, "id").select("id", "x.shares", "x.slots", "domain").orderBy("id").toArrow()
+    domains, n = found["domain"].to_pylist(), len(found)
+    slots = found["slots"].combine_chunks()
+    shares = np.array(found["shares"].to_pylist(), float).reshape(n, KINDS)
+    distinct = np.array([len(x) for x in slots], np.int64)
+    text = np.repeat(np.arange(n), distinct)
+    names = sorted(set(domains))
+    sparse = slots.flatten().to_numpy(zero_copy_only=False).astype(np.int64), word_values(distinct)[text], text
+    return DomainModel(names).fit((shares, sparse, None), np.array([names.index(d) for d in domains], np.int64))
 
 
 def rates(posteriors, steps):

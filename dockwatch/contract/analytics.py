@@ -2,9 +2,9 @@
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from dockwatch.contract.derived import MIN_NAMED, before, ntz, readings, sql, table, versions
+from dockwatch.contract.derived import MIN_NAMED, before, dirty, ntz, readings, sql, table, versions
 from dockwatch.contract.feed import messages
 from dockwatch.contract.registry import register
 from dockwatch.operators import aggregates as A, ordering as O, proximity as P, relations as R
@@ -54,8 +54,8 @@ def j3(spark, sf_dir):
     return asof_version(readings(spark, sf_dir), versions(spark, sf_dir))
 
 
-@register("j4_asof_fallback", sql("""SELECT d.collected_at, coalesce((SELECT max(version_ts) FROM valid f WHERE f.version_ts <= d.collected_at),
- (SELECT min(version_ts) FROM valid)) AS version_ts FROM (SELECT DISTINCT collected_at FROM readings) d""", "readings", "valid"))
+@register("j4_asof_fallback", sql("""SELECT d.collected_at, coalesce(f.version_ts, (SELECT min(first_ts) FROM valid_times)) AS version_ts
+ FROM (SELECT DISTINCT collected_at FROM readings) d ASOF LEFT JOIN valid_times f ON d.collected_at >= f.version_ts""", "readings", "valid_times"))
 def j4(spark, sf_dir):
     return asof_version(readings(spark, sf_dir), r4_valid_versions(versions(spark, sf_dir), MIN_NAMED), fallback=True)
 
@@ -80,9 +80,11 @@ def customers(spark, sf_dir):
 
 
 @register("j9_without_readings", """SELECT c_custkey AS station_id, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer c
- WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""")
+ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')""")
 def j9(spark, sf_dir):
-    return R.without_readings(customers(spark, sf_dir), table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "station_id"))
+    """Customers without an urgent order (every customer has some order)."""
+    urgent = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return R.without_readings(customers(spark, sf_dir), urgent.withColumnRenamed("o_custkey", "station_id"))
 
 
 @register("j10_not_in_list", sql("""SELECT row_id, station_code FROM readings WHERE station_code IS NOT NULL AND station_code NOT IN
@@ -155,10 +157,15 @@ def near(spark, sf_dir):
     return P.within_radius(points(spark, sf_dir), latest_state(spark, sf_dir), RADIUS)
 
 
+def positioned(df):
+    """Number the rows in the order in which the query gives them (a window over one small report)."""
+    return df.withColumn("at", F.monotonically_increasing_id()).withColumn("position", F.row_number().over(Window.orderBy("at"))).drop("at")
+
+
 @register("j16_radius", sql("""SELECT point_id, station_name, CAST(distance_m AS BIGINT) AS distance_m, bikes_mechanical AS mechanical,
- bikes_electric AS electric, docks_free AS free_docks FROM near""", "before_", extra=NEAR))
+ bikes_electric AS electric, docks_free AS free_docks, row_number() OVER (ORDER BY point_id, distance_m, station_name)::INTEGER AS position FROM near""", "before_", extra=NEAR))
 def j16(spark, sf_dir):
-    return V.near_list(near(spark, sf_dir))
+    return positioned(V.near_list(near(spark, sf_dir)))
 
 
 @register("a14_radius_totals", sql("""SELECT point_id, count(*) AS stations, CAST(sum(bikes_mechanical) AS BIGINT) AS bikes_mechanical,
@@ -201,14 +208,21 @@ def w5(spark, sf_dir):
     return O.top_k(table(spark, sf_dir, "orders"), [F.desc("o_totalprice"), "o_orderkey"], 15)
 
 
-@register("w6_ranked_order", """SELECT o_orderkey, o_orderpriority FROM orders""")
+@register("w6_ranked_order", """SELECT c_mktsegment, c_nationkey, n, row_number() OVER (ORDER BY CASE c_mktsegment WHEN 'MACHINERY' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'AUTOMOBILE' THEN 2
+ ELSE 3 END, c_nationkey, c_mktsegment)::INTEGER AS position FROM (SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY ALL)""")
 def w6(spark, sf_dir):
-    ranks = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    return O.order_by_rank(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", ranks, "o_orderkey")
+    counts = table(spark, sf_dir, "customer").groupBy("c_mktsegment", "c_nationkey").agg(F.count("*").alias("n"))
+    return positioned(O.order_by_rank(counts, "c_mktsegment", ["MACHINERY", "BUILDING", "AUTOMOBILE"], "c_nationkey", "c_mktsegment"))
+
+
+@register("u1_stack", """SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_acctbal < 0""")
+def u1(spark, sf_dir):
+    """Three lists one after the other, copies kept, columns matched by name."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), "c_acctbal")
+    s = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("id"))
+    return R.stack(c.select("id", "name"), s, c.filter("c_acctbal < 0").select("id", "name"))
 
 
-@register("u1_stack", """SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders
- UNION ALL SELECT 'lineitem', count(*) FROM lineitem""")
 @register("a10_table_counts", """SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders
  UNION ALL SELECT 'lineitem', count(*) FROM lineitem""")
 def a10(spark, sf_dir):
@@ -264,10 +278,11 @@ def a5b(spark, sf_dir):
 NOW = datetime(2024, 1, 30, 22, 0)
 
 
-@register("a6_series", sql("""SELECT collected_at, CAST(sum(bikes_mechanical) AS BIGINT) AS mechanical, CAST(sum(bikes_electric) AS BIGINT) AS electric FROM readings
+@register("a6_series", sql("""SELECT collected_at, CAST(sum(bikes_mechanical) AS BIGINT) AS mechanical, CAST(sum(bikes_electric) AS BIGINT) AS electric,
+ row_number() OVER (ORDER BY collected_at)::INTEGER AS position FROM readings
  WHERE collected_at > TIMESTAMP '2024-01-30 22:00:00' - INTERVAL '24' HOUR GROUP BY 1""", "readings"))
 def a6(spark, sf_dir):
-    return V.series_24h(readings(spark, sf_dir), ntz(F.lit(NOW)))
+    return positioned(V.series_24h(readings(spark, sf_dir), ntz(F.lit(NOW))))
 
 
 @register("a7_top_towns", sql("""SELECT town_name, CAST(sum(bikes_mechanical) AS BIGINT) AS mechanical, CAST(sum(bikes_electric) AS BIGINT) AS electric,
@@ -276,10 +291,11 @@ def a7(spark, sf_dir):
     return V.top_towns(latest_state(spark, sf_dir), exclude="Town 0")
 
 
-@register("a8_fill_rate", sql("""SELECT town_name, count(station_name) AS stations, round_even(avg((bikes_mechanical + bikes_electric)::DOUBLE / nullif(capacity, 0)) * 100, 1) AS fill_pct
- FROM state GROUP BY 1 HAVING count(station_name) >= 5""", "before_", extra=STATE))
+@register("a8_fill_rate", sql("""SELECT *, row_number() OVER (ORDER BY fill_pct, town_name)::INTEGER AS position FROM
+ (SELECT town_name, count(station_name) AS stations, round_even(avg((bikes_mechanical + bikes_electric)::DOUBLE / nullif(capacity, 0)) * 100, 1) AS fill_pct
+ FROM state GROUP BY 1 HAVING count(station_name) >= 5)""", "before_", extra=STATE))
 def a8(spark, sf_dir):
-    return V.fill_rate(latest_state(spark, sf_dir))
+    return positioned(V.fill_rate(latest_state(spark, sf_dir)))
 
 
 @register("a13_missing_slots", sql("""SELECT CAST(epoch(max(h) - min(h)) / 3600 + 1 AS BIGINT) AS expected,
@@ -319,6 +335,27 @@ def a17b(spark, sf_dir):
     return anomaly_breakdown(before(spark, sf_dir), "C3", ["collected_at"])
 
 
+def grouped_breakdown(name, check_id, by, failing):
+    """Breakdown of a check on groups, over the rows with planted faults."""
+    @register(name, sql(f"""SELECT {by}, count(*) AS n_readings, count(DISTINCT station_id) AS n_stations, max(bikes_total + docks_free - capacity) AS max_excess
+ FROM ({failing}) GROUP BY {by}""", "dirty_", "versions"))
+    def run(spark, sf_dir):
+        return anomaly_breakdown(dirty(spark, sf_dir), check_id, [by], versions(spark, sf_dir))
+    return run
+
+
+grouped_breakdown("a17_breakdown_u1", "U1", "station_id", "SELECT * FROM dirty_ QUALIFY row_number() OVER (PARTITION BY station_id, collected_at ORDER BY row_id) > 1")
+grouped_breakdown("a17_breakdown_u2", "U2", "station_code", "SELECT * FROM dirty_ WHERE station_code IN (SELECT station_code FROM dirty_ GROUP BY 1 HAVING min(station_id) <> max(station_id))")
+grouped_breakdown("a17_breakdown_k4", "K4", "town_code", "SELECT * FROM dirty_ WHERE town_code IN (SELECT town_code FROM dirty_ GROUP BY 1 HAVING min(town_name) <> max(town_name))")
+grouped_breakdown("a17_breakdown_i1", "I1", "station_code", "SELECT d.* FROM dirty_ d ANTI JOIN versions v ON v.station_code = d.station_code WHERE d.station_code IS NOT NULL")
+
+
+@register("a17_breakdown_c4", sql("""SELECT CAST(h AS DATE) AS day, count(*) AS n_readings, 0::BIGINT AS n_stations, CAST(NULL AS BIGINT) AS max_excess
+ FROM (SELECT unnest(generate_series(min(collected_at), max(collected_at), INTERVAL 1 HOUR)) AS h FROM dirty_) WHERE h NOT IN (SELECT collected_at FROM dirty_) GROUP BY 1""", "dirty_"))
+def a17_c4(spark, sf_dir):
+    return anomaly_breakdown(dirty(spark, sf_dir), "C4", ["day"], cadence="hour")
+
+
 # orders stand for versions of a customer's attributes
 @register("a18_reference_changes", """SELECT station_code, version_ts, p_before AS o_orderpriority_before, s_before AS o_orderstatus_before,
  o_orderpriority AS o_orderpriority_after, o_orderstatus AS o_orderstatus_after FROM (

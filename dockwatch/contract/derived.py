@@ -29,6 +29,10 @@ def code_text(column):
     return F.lpad(column.cast("string"), 5, "0")
 
 
+# station of a user, valid in both engines: some ids lie beyond 32 bits, some at the end of the BIGINT range
+STATION_ID = "(CASE user_id % 11 WHEN 5 THEN user_id + 5000000000 WHEN 7 THEN 9223372036854775807 - user_id ELSE user_id END)"
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_of(table(spark, sf_dir, "events"))
 
@@ -46,7 +50,7 @@ def readings_of(e: DataFrame) -> DataFrame:
         .otherwise(hour - F.expr("INTERVAL 2 MINUTES"))
     )
     return e.select(
-        F.col("event_id").alias("row_id"), F.col("user_id").alias("station_id"),
+        F.col("event_id").alias("row_id"), F.expr(STATION_ID).alias("station_id"),
         F.when(~lost, code_text(F.col("user_id"))).alias("station_code"),
         hour.alias("collected_at"), updated.alias("updated_at"), bikes.alias("bikes_total"),
         F.when(~lost, bikes - electric).alias("bikes_mechanical"), F.when(~lost, electric).alias("bikes_electric"),
@@ -56,7 +60,7 @@ def readings_of(e: DataFrame) -> DataFrame:
     )
 
 
-READINGS_SQL = """SELECT event_id AS row_id, user_id AS station_id,
+READINGS_SQL = f"""SELECT event_id AS row_id, {STATION_ID} AS station_id,
  CASE WHEN event_id % 97 = 0 THEN NULL ELSE lpad(CAST(user_id AS VARCHAR), 5, '0') END AS station_code,
  date_trunc('hour', ts) AS collected_at,
  CASE WHEN (extract(day FROM ts) * 24 + extract(hour FROM ts)) % 50 = 7 THEN date_trunc('hour', ts) + INTERVAL '58' MINUTE
@@ -119,52 +123,86 @@ def before_of(feed: DataFrame, reference: DataFrame) -> DataFrame:
     return attach_reference(feed, type_reference(reference), asof_version(feed, reference))
 
 
-# common table expressions for the checking SQL, each naming the ones it needs
+# readings with faults that the repair rules delete: stations without any split, codes the reference does not know
+FAULTY = {
+    "bikes_mechanical": "CASE WHEN station_id % 61 = 7 THEN NULL ELSE bikes_mechanical END",
+    "bikes_electric": "CASE WHEN station_id % 61 = 7 THEN NULL ELSE bikes_electric END",
+    "station_code": "CASE WHEN station_id % 67 = 3 THEN 'Q' || station_code ELSE station_code END",
+}
+# audited rows with the faults that the readings above never have; every check finds some
+DIRTY = {
+    "docks_free": "CASE WHEN row_id % 101 = 1 THEN -1 - docks_free ELSE docks_free END",
+    "latitude": "CASE WHEN row_id % 103 = 2 THEN CAST(10.5 AS DOUBLE) ELSE latitude END",
+    "town_code": "CASE WHEN row_id % 107 = 3 THEN '99001' WHEN row_id % 107 = 4 THEN '7500' ELSE town_code END",
+    "bikes_total": "CASE WHEN row_id % 109 = 4 THEN bikes_total + 1 ELSE bikes_total END",
+    "station_code": "CASE WHEN row_id % 113 = 5 THEN '00001' WHEN row_id % 131 = 7 THEN 'X9999' ELSE station_code END",
+    "town_name": "CASE WHEN row_id % 127 = 6 THEN 'Other' ELSE town_name END",
+}
+DIRTY_HOURS = "NOT (collected_at >= TIMESTAMP '2024-01-05 03:00:00' AND collected_at < TIMESTAMP '2024-01-05 05:00:00')"
+
+
+def replaced(df: DataFrame, changes: dict) -> DataFrame:
+    return df.selectExpr(*[f"{changes[c]} AS {c}" if c in changes else c for c in df.columns])
+
+
+def replaced_sql(changes: dict, source: str) -> str:
+    return f"SELECT * REPLACE ({', '.join(f'{text} AS {c}' for c, text in changes.items())}) FROM {source}"
+
+
+def faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replaced(readings(spark, sf_dir), FAULTY)
+
+
+def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(replaced(before(spark, sf_dir), DIRTY).filter(DIRTY_HOURS), "dirty")
+
+
+# common table expressions for the checking SQL, each naming the ones it needs; they state the rules in the means of the
+# checking engine (as-of joins, windows and lists), not in the steps of the jobs
 CTES = {
     "readings": ([], READINGS_SQL),
     "versions": ([], VERSIONS_SQL),
-    "picks_plain": (["readings", "versions"], """SELECT d.collected_at, max(f.version_ts) AS version_ts
- FROM (SELECT DISTINCT collected_at FROM readings) d LEFT JOIN (SELECT DISTINCT version_ts FROM versions) f
- ON f.version_ts <= d.collected_at GROUP BY d.collected_at"""),
+    "picks_plain": (["readings", "versions"], """SELECT d.collected_at, v.version_ts FROM (SELECT DISTINCT collected_at FROM readings) d
+ ASOF LEFT JOIN (SELECT DISTINCT version_ts FROM versions) v ON d.collected_at >= v.version_ts"""),
     "before_": (["readings", "versions", "picks_plain"], f"""SELECT r.*, c.version_ts, v.station_name, {TYPED_SQL}
- FROM readings r JOIN picks_plain c ON c.collected_at = r.collected_at
- LEFT JOIN versions v ON v.version_ts = c.version_ts AND v.station_code = r.station_code"""),
-    "late": (["readings"], """SELECT collected_at, max(updated_at) AS moved_to FROM readings GROUP BY collected_at
- HAVING count(*) FILTER (WHERE updated_at > collected_at + INTERVAL '5' MINUTE) * 2 > count(*)"""),
-    "r1": (["readings", "late"], """SELECT r.* EXCLUDE (collected_at), coalesce(l.moved_to, r.collected_at) AS collected_at,
- l.moved_to IS NOT NULL AS r1 FROM readings r LEFT JOIN late l ON l.collected_at = r.collected_at"""),
-    "codes": (["readings"], "SELECT station_id, max(station_code) AS known_code FROM readings WHERE station_code IS NOT NULL GROUP BY station_id"),
-    "r2": (["r1", "codes"], """SELECT r.* EXCLUDE (station_code), coalesce(r.station_code, c.known_code) AS station_code,
- r.station_code IS NULL AND c.known_code IS NOT NULL AS r2 FROM r1 r LEFT JOIN codes c ON c.station_id = r.station_id"""),
-    "donors": (["r2"], """SELECT row_id, coalesce(lag(bikes_electric) OVER w, lead(bikes_electric) OVER w) AS donor FROM r2
- WINDOW w AS (PARTITION BY station_id ORDER BY collected_at, row_id)"""),
-    "r3": (["r2", "donors"], """SELECT r.* EXCLUDE (bikes_electric, bikes_mechanical),
- CASE WHEN r.bikes_electric IS NULL AND d.donor IS NOT NULL THEN least(d.donor, r.bikes_total) ELSE r.bikes_electric END AS bikes_electric,
- CASE WHEN r.bikes_electric IS NULL AND d.donor IS NOT NULL THEN r.bikes_total - least(d.donor, r.bikes_total) ELSE r.bikes_mechanical END AS bikes_mechanical,
- r.bikes_electric IS NULL AND d.donor IS NOT NULL AS r3a FROM r2 r JOIN donors d ON d.row_id = r.row_id"""),
-    "r3kept": (["r3"], "SELECT * FROM r3 WHERE bikes_electric IS NOT NULL AND bikes_mechanical IS NOT NULL"),
-    "valid": (["versions"], f"""SELECT v.version_ts, v.station_code, regexp_replace(trim(v.station_name), '\\s+', ' ', 'g') AS station_name,
- v.station_name <> regexp_replace(trim(v.station_name), '\\s+', ' ', 'g') AS name_fixed, {TYPED_SQL}
- FROM versions v WHERE v.version_ts IN (SELECT version_ts FROM versions GROUP BY version_ts HAVING count(station_name) >= {MIN_NAMED})"""),
-    "picks": (["r3", "valid"], """SELECT d.collected_at, coalesce((SELECT max(version_ts) FROM valid f WHERE f.version_ts <= d.collected_at),
- (SELECT min(version_ts) FROM valid)) AS version_ts FROM (SELECT DISTINCT collected_at FROM r3) d"""),
-    "rejoined": (["r3kept", "valid", "picks"], """SELECT r.*, p.version_ts, v.station_name, v.name_fixed, v.capacity, v.latitude, v.longitude, v.town_code, v.town_name
- FROM r3kept r JOIN picks p ON p.collected_at = r.collected_at LEFT JOIN valid v ON v.version_ts = p.version_ts AND v.station_code = r.station_code"""),
-    "r6": (["rejoined"], "SELECT * FROM rejoined WHERE capacity > 0 OR capacity IS NULL"),
-    "r7": (["r6"], "SELECT * FROM r6 WHERE updated_at >= collected_at - INTERVAL '24' HOUR OR updated_at IS NULL"),
-    "r8": (["r7"], "SELECT * FROM r7 WHERE station_id IS NOT NULL AND station_code IS NOT NULL AND town_code IS NOT NULL AND station_name IS NOT NULL"),
-    "clean_": (["r8"], "SELECT * FROM r8 QUALIFY row_number() OVER (PARTITION BY station_id, collected_at ORDER BY row_id) = 1"),
-    "station_dim": (["valid", "r3"], """SELECT i.station_id, v.* FROM
- (SELECT station_code, station_name, latitude, longitude, capacity, town_code, town_name FROM valid WHERE capacity > 0 AND station_code IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY station_code ORDER BY version_ts DESC) = 1) v
- JOIN (SELECT station_code, min(station_id) AS station_id FROM r3 WHERE station_code IS NOT NULL GROUP BY station_code) i ON i.station_code = v.station_code"""),
-    "town_dim": (["station_dim"], "SELECT DISTINCT town_code, town_name, left(town_code, 2) AS dept_code FROM station_dim"),
-    "reading_": (["clean_"], """SELECT station_id * 8589934592 + CAST(epoch(collected_at) AS BIGINT) AS reading_id, station_id, collected_at, updated_at, docks_free,
+ FROM readings r JOIN picks_plain c USING (collected_at) LEFT JOIN versions v USING (version_ts, station_code)"""),
+    "dirty_": (["before_"], replaced_sql(DIRTY, f"before_ WHERE {DIRTY_HOURS}")),
+    "r1": (["readings"], """SELECT * EXCLUDE (share, newest) REPLACE (CASE WHEN share > 0.5 THEN newest ELSE collected_at END AS collected_at), share > 0.5 AS r1
+ FROM (SELECT *, avg(CASE WHEN updated_at - collected_at > INTERVAL 5 MINUTE THEN 1.0 ELSE 0.0 END) OVER poll AS share, max(updated_at) OVER poll AS newest
+       FROM readings WINDOW poll AS (PARTITION BY collected_at))"""),
+    "codes": (["readings"], "SELECT station_id, list_sort(list_distinct(list(station_code)))[-1] AS known_code FROM readings GROUP BY station_id HAVING count(station_code) > 0"),
+    "r2": (["r1"], """SELECT * EXCLUDE (greatest_code) REPLACE (coalesce(station_code, greatest_code) AS station_code), station_code IS NULL AND greatest_code IS NOT NULL AS r2
+ FROM (SELECT *, max(station_code) OVER (PARTITION BY station_id) AS greatest_code FROM r1)"""),
+    "history": (["r2"], """SELECT station_id, list(row_id ORDER BY collected_at, row_id) AS ids, list({'v': bikes_electric} ORDER BY collected_at, row_id) AS splits FROM r2 GROUP BY station_id"""),
+    "r3": (["r2", "history"], """SELECT r2.* EXCLUDE (bikes_electric, bikes_mechanical), CASE WHEN filled THEN least(near, bikes_total) ELSE bikes_electric END AS bikes_electric,
+ CASE WHEN filled THEN greatest(bikes_total - near, 0) ELSE bikes_mechanical END AS bikes_mechanical, filled AS r3a
+ FROM r2 JOIN (SELECT row_id, coalesce(splits[i - 1].v, splits[i + 1].v) AS near FROM (SELECT unnest(ids) AS row_id, unnest(range(1, len(ids) + 1)) AS i, splits FROM history)) USING (row_id),
+ LATERAL (SELECT bikes_electric IS NULL AND near IS NOT NULL AS filled)"""),
+    "r3kept": (["r3"], "SELECT * FROM r3 WHERE bikes_electric + bikes_mechanical IS NOT NULL"),
+    "valid": (["versions"], f"""SELECT version_ts, station_code, squeezed AS station_name, station_name <> squeezed AS name_fixed, {TYPED_SQL}
+ FROM (SELECT *, array_to_string(list_filter(string_split_regex(station_name, '\\s+'), lambda x: x <> ''), ' ') AS squeezed, count(station_name) OVER (PARTITION BY version_ts) AS named FROM versions) v
+ WHERE named >= {MIN_NAMED}"""),
+    "valid_times": (["valid"], "SELECT DISTINCT version_ts, min(version_ts) OVER () AS first_ts FROM valid"),
+    "rejoined": (["r3kept", "valid", "valid_times"], """SELECT r.*, p.version_ts, v.station_name, v.name_fixed, v.capacity, v.latitude, v.longitude, v.town_code, v.town_name
+ FROM (SELECT t.row_id AS at_row, coalesce(f.version_ts, (SELECT min(first_ts) FROM valid_times)) AS version_ts FROM r3kept t ASOF LEFT JOIN valid_times f ON t.collected_at >= f.version_ts) p
+ JOIN r3kept r ON r.row_id = p.at_row LEFT JOIN valid v ON (v.version_ts, v.station_code) = (p.version_ts, r.station_code)"""),
+    "r6": (["rejoined"], "SELECT * FROM rejoined WHERE coalesce(capacity, 1) > 0"),
+    "r7": (["r6"], "SELECT * FROM r6 WHERE coalesce(collected_at - updated_at <= INTERVAL 24 HOUR, true)"),
+    "r8": (["r7"], "SELECT * FROM r7 WHERE station_code || town_code || station_name IS NOT NULL AND station_id IS NOT NULL"),
+    "clean_": (["r8"], "SELECT r8.* FROM r8 SEMI JOIN (SELECT min(row_id) AS row_id FROM r8 GROUP BY station_id, collected_at) USING (row_id)"),
+    "station_dim": (["valid", "r3"], """SELECT i.station_id, station_code, d.station_name, d.latitude, d.longitude, d.capacity, d.town_code, d.town_name FROM
+ (SELECT station_code, arg_max(struct_pack(station_name, latitude, longitude, capacity, town_code, town_name), version_ts) AS d FROM valid WHERE capacity > 0 GROUP BY station_code)
+ JOIN (SELECT station_code, min(station_id) AS station_id FROM r3 WHERE bikes_electric + bikes_mechanical IS NOT NULL GROUP BY station_code) i USING (station_code)"""),
+    "town_dim": (["station_dim"], "SELECT town_code, town_name, left(town_code, 2) AS dept_code FROM station_dim GROUP BY ALL"),
+    "reading_": (["clean_"], """SELECT {id} AS reading_id, station_id, collected_at, updated_at, docks_free,
  is_installed, is_renting, is_returning, bikes_mechanical, bikes_electric FROM clean_"""),
     "after_": (["reading_", "station_dim", "town_dim"], """SELECT r.reading_id, r.collected_at, r.updated_at, s.station_id, s.station_code, s.station_name, s.latitude, s.longitude,
  s.capacity, s.town_code, t.town_name, r.bikes_mechanical + r.bikes_electric AS bikes_total, r.bikes_mechanical, r.bikes_electric, r.docks_free, r.is_installed
- FROM reading_ r JOIN station_dim s ON s.station_id = r.station_id JOIN town_dim t ON t.town_code = s.town_code"""),
+ FROM reading_ r JOIN station_dim s USING (station_id) JOIN town_dim t ON t.town_code = s.town_code"""),
 }
+# station id, then 18 digits: microseconds since the year 1
+READING_ID = "CAST(CAST(station_id AS HUGEINT) * 1000000000000000000 + epoch_us(collected_at) + 62135596800000000 AS DECIMAL(38, 0))"
+CTES["reading_"] = (CTES["reading_"][0], CTES["reading_"][1].replace("{id}", READING_ID))
 
 
 def _needed(names):
@@ -181,9 +219,12 @@ def _needed(names):
     return order
 
 
-def sql(body: str, *names, extra=()) -> str:
-    """Checking SQL: the named common table expressions with their parents, ``extra`` ones, then ``body``."""
-    parts = [f"{n} AS MATERIALIZED ({CTES[n][1]})" for n in _needed(names)] + [f"{n} AS MATERIALIZED ({text})" for n, text in extra]
+def sql(body: str, *names, extra=(), given=None) -> str:
+    """Checking SQL: the named common table expressions with their parents, ``extra`` ones, then ``body``.
+
+    ``given`` replaces the text of some expressions.
+    """
+    parts = [f"{n} AS MATERIALIZED ({(given or {}).get(n, CTES[n][1])})" for n in _needed(names)] + [f"{n} AS MATERIALIZED ({text})" for n, text in extra]
     return f"WITH {', '.join(parts)} {body}" if parts else body
 
 

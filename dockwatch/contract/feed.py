@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from dockwatch import schemas as S
-from dockwatch.contract.derived import before, ntz, readings, sql, table, versions
+from dockwatch.contract.derived import STATION_ID, before, ntz, readings, sql, table, versions
 from dockwatch.contract.registry import register
 from dockwatch.functions import text as X
 from dockwatch.operators import proximity, relations
@@ -17,12 +17,12 @@ from dockwatch.sources import lake, reference
 
 K = "regexp_extract(props, '([0-9]+)', 1)"
 # one feed message per event, as text; valid in both engines
-MESSAGE = f"""'{{"station_id":' || CAST(user_id AS STRING) || ',"stationCode":' ||
+MESSAGE = f"""'{{"station_id":' || CAST({STATION_ID} AS STRING) || ',"stationCode":' ||
  CASE WHEN event_id % 97 = 0 THEN 'null' ELSE '"' || lpad(CAST(user_id AS STRING), 5, '0') || '"' END ||
- ',"last_reported":' || CAST(1700000000 + event_id AS STRING) || ',"num_bikes_available":' || {K} ||
+ ',"last_reported":' || CAST(1700000000 + event_id AS STRING) || ',"num_bikes_available":' || {K} || ',"numBikesAvailable":999' ||
  ',"num_bikes_available_types":' || CASE WHEN event_id % 97 = 0 THEN '[{{}},{{}}]' WHEN event_id % 2 = 0
    THEN '[{{"mechanical":' || {K} || '}},{{"ebike":1}}]' ELSE '[{{"ebike":2}},{{"mechanical":' || {K} || '}}]' END ||
- ',"num_docks_available":' || CAST((event_id * 7) % 40 AS STRING) ||
+ ',"numDocksAvailable":999,"num_docks_available":' || CAST((event_id * 7) % 40 AS STRING) ||
  ',"is_installed":1,"is_renting":' || CASE WHEN event_type = 'view' THEN '0' ELSE '1' END || ',"is_returning":1}}'"""
 DOCUMENT = f"""'{{"lastUpdatedOther":' || CAST(1700000000 + event_id AS STRING) || ',"data":{{"stations":[' || {MESSAGE} ||
  ',{{"station_id":' || CAST(user_id + 1000000 AS STRING) || '}}]}}}}'"""
@@ -40,7 +40,7 @@ def _stamped(body, stamp):
     return f"""left({body}, length({body}) - 1) || ',"date_collecte":"' || strftime({stamp}, '%Y-%m-%dT%H:%M:%S') || '+00:00"}}'"""
 
 
-STATIONS_SQL = f"""SELECT CAST(user_id AS VARCHAR) AS station_id, ts, event_id, {MESSAGE} AS body FROM events
+STATIONS_SQL = f"""SELECT CAST({STATION_ID} AS VARCHAR) AS station_id, ts, event_id, {MESSAGE} AS body FROM events
  UNION ALL SELECT CAST(user_id + 1000000 AS VARCHAR), ts, event_id, '{{"station_id":' || CAST(user_id + 1000000 AS VARCHAR) || '}}' FROM events"""
 
 
@@ -64,7 +64,7 @@ def t10(spark, sf_dir):
     return rows.withColumn("collected_at", ntz(F.col("collected_at")))
 
 
-FLAT_SQL = f"""SELECT CAST(user_id AS VARCHAR) AS station_id,
+FLAT_SQL = f"""SELECT CAST({STATION_ID} AS VARCHAR) AS station_id,
  CASE WHEN event_id % 97 = 0 THEN NULL ELSE lpad(CAST(user_id AS VARCHAR), 5, '0') END AS station_code,
  CAST(1700000000 + event_id AS VARCHAR) AS updated_at, {K} AS bikes_total,
  CASE WHEN event_id % 97 = 0 THEN NULL ELSE {K} END AS bikes_mechanical,
@@ -73,8 +73,10 @@ FLAT_SQL = f"""SELECT CAST(user_id AS VARCHAR) AS station_id,
  CASE WHEN event_type = 'view' THEN '0' ELSE '1' END AS is_renting, '1' AS is_returning"""
 
 
+@register("p19_duplicate_fields", f"{FLAT_SQL} FROM events")
 @register("s8_flatten", f"{FLAT_SQL} FROM events")
 def s8(spark, sf_dir):
+    """The messages hold each count under a second name too, with another value: only the first name counts."""
     return lake.flatten_raw_status(messages(spark, sf_dir)).drop("collected_at")
 
 
@@ -104,7 +106,12 @@ def s10(spark, sf_dir):
 
 @register("s4_raw_zone", f"{FLAT_SQL} FROM events")
 def s4(spark, sf_dir):
-    return lake.read_raw_status(spark, raw_zone(spark, sf_dir)).drop("row_id", "collected_at")
+    """Two writes of the message stream into the raw zone, read back."""
+    root = f"{work_dir(spark)}/raw-{datetime.now():%H%M%S%f}"
+    rows = messages(spark, sf_dir)
+    for odd, written_at in enumerate((datetime(2024, 2, 1, 8), datetime(2024, 2, 1, 9, 30))):
+        lake.write_zone(rows.filter(F.col("event_id") % 2 == odd).select("value"), root, "raw/api", written_at)
+    return lake.read_raw_status(spark, f"{root}/raw/api").drop("row_id", "collected_at")
 
 
 def text_rows(spark, sf_dir):
@@ -159,7 +166,7 @@ def write_versions(spark, sf_dir, path):
 @register("s6_reference_files", sql(VERSION_TEXT, "versions"))
 def s6(spark, sf_dir):
     path = write_versions(spark, sf_dir, f"{work_dir(spark)}/reference-{datetime.now():%H%M%S%f}")
-    rows = reference.read_reference_versions(spark, path).drop("version_file")
+    rows = reference.read_reference_versions(spark, path).drop("version_file", "line")
     return rows.withColumn("version_ts", ntz(F.col("version_ts")))
 
 

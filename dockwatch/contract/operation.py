@@ -4,12 +4,14 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from dockwatch.contract.derived import ntz, readings, sql, table, versions
+from dockwatch.contract.derived import STATION_ID, ntz, readings, sql, table, versions
 from dockwatch.contract.feed import MESSAGE, raw_zone, write_versions
 from dockwatch.contract.registry import register
+from dockwatch.contract.analytics import KPI
 from dockwatch.operators import load
-from dockwatch.plans import monitoring as M
-from dockwatch.session import work_dir
+from dockwatch.operators.relations import latest_state, stack
+from dockwatch.plans import availability as V, monitoring as M
+from dockwatch.session import materialise, work_dir
 from dockwatch.sources import lake
 from dockwatch.streaming import live
 
@@ -78,19 +80,31 @@ def t5(spark, sf_dir):
     return rates.withColumn("window_start", ntz(F.col("window_start")))
 
 
-@register("t8_carried_codes", sql("SELECT r.row_id, r.station_id, coalesce(r.station_code, c.known_code) AS station_code FROM readings r LEFT JOIN codes c ON c.station_id = r.station_id", "readings", "codes"))
+# codes that change during the month; three batches of ten days
+CHANGED = "CASE WHEN collected_at < TIMESTAMP '2024-01-08 00:00:00' THEN 'old' || station_code WHEN row_id % 5 = 2 THEN NULL ELSE station_code END"
+
+
+@register("t8_carried_codes", sql(f"""SELECT b.row_id, b.station_id, coalesce(b.station_code, (SELECT arg_max(p.station_code, (p.collected_at, p.station_code)) FROM b p
+ WHERE p.station_id = b.station_id AND p.part <= b.part AND p.station_code IS NOT NULL)) AS station_code FROM b""", "readings", extra=[
+    ("b", f"SELECT row_id, station_id, collected_at, {CHANGED} AS station_code, least(2, (extract(day FROM collected_at) - 1) // 10) AS part FROM readings")]))
 def t8(spark, sf_dir):
-    rows = readings(spark, sf_dir).select("row_id", "station_id", "station_code")
-    known = rows.filter(F.col("station_code").isNotNull()).select("station_id", "station_code").distinct()
-    return live.latest_codes(rows, known)
+    """Lost codes filled batch by batch with the last code known at that time."""
+    store = f"{work_dir(spark)}/codes-{datetime.now():%H%M%S%f}"
+    rows = readings(spark, sf_dir).select("row_id", "station_id", "collected_at", F.expr(CHANGED).alias("station_code"))
+    part = F.least(F.lit(2), F.floor((F.dayofmonth("collected_at") - 1) / 10))
+    filled = [materialise(live.carry_code(rows.filter(part == n), store), "carried") for n in range(3)]
+    return stack(*filled).select("row_id", "station_id", "station_code")
 
 
-@register("l5_run_log", sql("SELECT * FROM runs", extra=RUNS))
+@register("l5_run_log", sql("SELECT * FROM runs WHERE run_id >= '2024-01-26'", extra=RUNS))
 def l5(spark, sf_dir):
-    """The run log written and read back."""
+    """The run log of the last days, recorded run by run (one run twice) and read back."""
     path = f"{work_dir(spark)}/runs-{datetime.now():%H%M%S%f}"
-    runs(spark, sf_dir).write.partitionBy("run_id").parquet(path)
-    return spark.read.schema("started_at timestamp_ntz, ended_at timestamp_ntz, files long, rows_raw long, rows_rejected long, rows_duplicate long, rows_loaded long, run_id string").parquet(path)
+    for run in runs(spark, sf_dir).filter("run_id >= '2024-01-26'").orderBy("run_id").collect():
+        for rows_raw in (0, run.rows_raw) if run.run_id == "2024-01-27" else (run.rows_raw,):
+            load.record_run(spark, path, {**run.asDict(), "rows_raw": rows_raw})
+    log = load.read_runs(spark, path)
+    return log.withColumns({c: ntz(F.col(c)) for c in ("started_at", "ended_at")})
 
 
 # --- streams run to the end of the supplied data ----------------------------------------------
@@ -107,7 +121,7 @@ def t3(spark, sf_dir):
     path = f"{work_dir(spark)}/dedup-{datetime.now():%H%M%S%f}"
     schema = table(spark, sf_dir, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    timed = source.select(F.col("user_id").alias("station_id"), F.date_trunc("hour", "ts").alias("collected_at"))
+    timed = source.select(F.expr(STATION_ID).alias("station_id"), F.date_trunc("hour", "ts").alias("collected_at"))
     out = live.dedup_stream(timed, "10 minutes").writeStream.format("parquet").option("path", f"{path}/rows").option(
         "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
     finish(out.start())
@@ -145,6 +159,14 @@ LOADED = f"""SELECT DISTINCT r.station_id, r.collected_at, n.station_code, regex
  CAST(n.capacity AS BIGINT) AS capacity, n.town_code, n.town_name FROM readings r JOIN {NEWEST} n ON n.station_code = r.station_code WHERE CAST(n.capacity AS BIGINT) > 0"""
 
 
+@register("m5_stream_report", sql(f"""SELECT count(*) AS messages, count(*) FILTER (WHERE n.station_code IS NULL) AS unmatched, 0::BIGINT AS lag
+ FROM readings r LEFT JOIN {NEWEST} n ON n.station_code = r.station_code""", "readings", "versions"))
+def m5(spark, sf_dir):
+    """What the message stream has recorded of its batches."""
+    report = live.stream_report(spark, live_lake(spark, sf_dir))
+    return report.agg(F.sum("messages").alias("messages"), F.sum("unmatched").alias("unmatched"), F.coalesce(F.max("lag"), F.lit(0)).cast("bigint").alias("lag"))
+
+
 @register("t4_live_load", sql(LOADED, "readings", "versions"))
 def t4(spark, sf_dir):
     """The whole live path: stream, zones, incremental cleaning, load, flat view."""
@@ -154,6 +176,46 @@ def t4(spark, sf_dir):
     return view.select("station_id", ntz(F.col("collected_at")).alias("collected_at"), "station_code", "station_name", "capacity", "town_code", "town_name")
 
 
+def stored_target(spark, sf_dir):
+    """The repaired tables stored by day and read back."""
+    from dockwatch.contract.quality import target
+
+    root = f"{work_dir(spark)}/target-{datetime.now():%H%M%S%f}"
+    lake.write_target(target(spark, sf_dir), root)
+    return lake.read_target(spark, root)
+
+
+LAST_POLL = [("last_poll", "SELECT * FROM after_ WHERE collected_at = (SELECT max(collected_at) FROM after_)")]
+
+
+@register("j7_stored_state", sql("SELECT station_id, station_code, collected_at, bikes_total, docks_free, CAST(collected_at AS DATE) AS date FROM last_poll", "after_", extra=LAST_POLL))
+def j7s(spark, sf_dir):
+    return latest_state(stored_target(spark, sf_dir)).select("station_id", "station_code", "collected_at", "bikes_total", "docks_free", "date")
+
+
+@register("a5_stored_kpis", sql(f"{KPI} FROM last_poll", "after_", extra=LAST_POLL))
+def a5s(spark, sf_dir):
+    return V.kpis(latest_state(stored_target(spark, sf_dir)))
+
+
+@register("a7_stored_top_towns", sql("""SELECT town_name, CAST(sum(bikes_mechanical) AS BIGINT) AS mechanical, CAST(sum(bikes_electric) AS BIGINT) AS electric,
+ CAST(sum(bikes_total) AS BIGINT) AS total FROM last_poll GROUP BY 1 ORDER BY total DESC, town_name LIMIT 15""", "after_", extra=LAST_POLL))
+def a7s(spark, sf_dir):
+    return V.top_towns(latest_state(stored_target(spark, sf_dir)))
+
+
+@register("a8_stored_fill_rate", sql("""SELECT town_name, count(*) AS stations, round_even(avg(bikes_total::DOUBLE / capacity) * 100, 1) AS fill_pct FROM last_poll GROUP BY 1""", "after_", extra=LAST_POLL))
+def a8s(spark, sf_dir):
+    return V.fill_rate(latest_state(stored_target(spark, sf_dir)), min_stations=1)
+
+
+@register("a6_stored_series", sql("""SELECT collected_at, CAST(sum(bikes_mechanical) AS BIGINT) AS mechanical, CAST(sum(bikes_electric) AS BIGINT) AS electric FROM after_
+ WHERE collected_at > TIMESTAMP '2024-01-30 22:00:00' - INTERVAL '24' HOUR GROUP BY 1""", "after_"))
+def a6s(spark, sf_dir):
+    view = load.flat_view(stored_target(spark, sf_dir))
+    return V.series_24h(view, ntz(F.lit(datetime(2024, 1, 30, 22))))
+
+
 @register("s14_read_target", sql("""SELECT 'town' AS table_name, count(*) AS n_rows FROM town_dim UNION ALL SELECT 'station', count(*) FROM station_dim
  UNION ALL SELECT 'bike_type', 2 UNION ALL SELECT 'reading', count(*) FROM reading_ UNION ALL SELECT 'reading_bikes', 2 * count(*) FROM reading_""", "reading_", "station_dim", "town_dim"))
 def s14(spark, sf_dir):

@@ -3,7 +3,10 @@
 from pyspark.sql import functions as F
 
 from dockwatch import schemas as S
-from dockwatch.contract.derived import MIN_NAMED, before, readings, sql, table, union_all, versions
+from dockwatch.contract.analytics import positioned
+from dockwatch.contract.derived import (
+    FAULTY, MIN_NAMED, READING_ID, READINGS_SQL, before, before_of, dirty, faulty, readings, replaced, replaced_sql, sql, union_all, versions,
+)
 from dockwatch.contract.registry import register
 from dockwatch.operators import constraints, load
 from dockwatch.operators.aggregates import incomplete_children, under_capacity
@@ -17,34 +20,35 @@ from dockwatch.session import materialise
 LABELS = "(VALUES " + ", ".join(f"('{i}', '{d}', '{label}')" for i, d, label, *_ in S.CHECKS) + ") AS c(check_id, dimension, label)"
 
 
-def audit_sql(source, phase, codes="versions"):
-    """Checking SQL of all checks on one relation, one scan per check."""
-    late = "updated_at > collected_at + INTERVAL '5' MINUTE"
+def audit_sql(source, phase, codes="versions", cadence="hour"):
+    """Checking SQL of all checks on one relation: one aggregate for the row checks, one per kind of group."""
     row = {
-        "C1": ("count(*)", "station_code IS NULL"),
-        "C2": ("count(*)", "bikes_mechanical IS NULL OR bikes_electric IS NULL"),
-        "C3": ("count(*)", "station_name IS NULL OR capacity IS NULL OR latitude IS NULL OR longitude IS NULL OR town_code IS NULL OR town_name IS NULL"),
-        "V1": ("count(capacity)", "capacity <= 0"),
-        "V2": ("count(*)", "bikes_total < 0 OR bikes_mechanical < 0 OR bikes_electric < 0 OR docks_free < 0"),
-        "V3": ("count(latitude)", "latitude NOT BETWEEN 48.1 AND 49.3 OR longitude NOT BETWEEN 1.4 AND 3.6"),
-        "V4": ("count(town_code)", "NOT regexp_full_match(town_code, '[0-9]{5}') OR left(town_code, 2) NOT IN ('75','77','78','91','92','93','94','95')"),
-        "V5": ("count(station_name)", r"station_name <> trim(station_name) OR regexp_matches(station_name, '\s{2,}')"),
-        "V6": ("count(*)", late),
-        "K1": ("count(*) FILTER (WHERE bikes_mechanical IS NOT NULL AND bikes_electric IS NOT NULL)", "bikes_total <> bikes_mechanical + bikes_electric"),
-        "K2": ("count(capacity)", "bikes_total + docks_free > capacity"),
-        "K3": ("count(*)", "updated_at < collected_at - INTERVAL '24' HOUR"),
-        "I1": ("count(station_code)", f"station_code IS NOT NULL AND station_code NOT IN (SELECT station_code FROM {codes} WHERE station_code IS NOT NULL)"),
-        "I2": ("count(*)", "station_id IS NULL OR station_code IS NULL OR town_code IS NULL"),
+        "C1": ("true", "station_code IS NULL"),
+        "C2": ("true", "bikes_mechanical + bikes_electric IS NULL"),
+        "C3": ("true", "list_contains([station_name IS NULL, capacity IS NULL, latitude + longitude IS NULL, town_code IS NULL, town_name IS NULL], true)"),
+        "V1": ("capacity IS NOT NULL", "NOT capacity > 0"),
+        "V2": ("true", "least(bikes_total, bikes_mechanical, bikes_electric, docks_free) < 0"),
+        "V3": ("latitude IS NOT NULL", "abs(latitude - 48.7) > 0.6 OR abs(longitude - 2.5) > 1.1"),
+        "V4": ("town_code IS NOT NULL", "NOT regexp_full_match(town_code, '(75|77|78|91|92|93|94|95)[0-9]{3}')"),
+        "V5": ("station_name IS NOT NULL", r"regexp_matches(station_name, '^ | $|\s\s')"),
+        "V6": ("true", "updated_at - collected_at > INTERVAL 5 MINUTE"),
+        "K1": ("bikes_mechanical + bikes_electric IS NOT NULL", "bikes_total - bikes_mechanical <> bikes_electric"),
+        "K2": ("capacity IS NOT NULL", "capacity - bikes_total < docks_free"),
+        "K3": ("true", "collected_at - updated_at > INTERVAL 24 HOUR"),
+        "I2": ("true", "coalesce(station_id::VARCHAR || station_code || town_code, '') = ''"),
     }
-    parts = [f"SELECT '{i}' AS check_id, {n} AS n_checked, count(*) FILTER (WHERE {bad}) AS n_anomalies FROM {source}" for i, (n, bad) in row.items()]
-    parts += [
-        f"SELECT 'C4', CAST(epoch(max(m) - min(m)) / 3600 + 1 AS BIGINT), CAST(epoch(max(m) - min(m)) / 3600 + 1 - count(DISTINCT m) AS BIGINT) FROM (SELECT date_trunc('hour', collected_at) AS m FROM {source})",
-        f"SELECT 'U1', count(*), count(*) - count(DISTINCT (station_id, collected_at)) FROM {source}",
-        f"SELECT 'U2', count(*), count(*) FILTER (WHERE n > 1) FROM (SELECT station_code, count(DISTINCT station_id) AS n FROM {source} WHERE station_code IS NOT NULL GROUP BY 1)",
-        f"SELECT 'K4', count(*), count(*) FILTER (WHERE n > 1) FROM (SELECT town_code, count(DISTINCT town_name) AS n FROM {source} WHERE town_code IS NOT NULL GROUP BY 1)",
+    counted = ", ".join(f"struct_pack(id := '{i}', n := count_if({n}), bad := coalesce(count_if({bad}), 0))" for i, (n, bad) in row.items())
+    slots = f"SELECT date_trunc('{cadence}', collected_at) AS slot FROM {source}"
+    parts = [
+        f"SELECT f.id AS check_id, f.n::BIGINT AS n_checked, f.bad::BIGINT AS n_anomalies FROM (SELECT unnest([{counted}]) AS f FROM {source})",
+        f"""SELECT 'C4', len(every), len(every) - len(seen) FROM (SELECT generate_series(min(slot), max(slot), INTERVAL 1 {cadence}) AS every, list_distinct(list(slot)) AS seen FROM ({slots}))""",
+        f"SELECT 'U1', sum(n)::BIGINT, sum(n - 1)::BIGINT FROM (SELECT count(*) AS n FROM {source} GROUP BY station_id, collected_at)",
+        f"SELECT 'U2', count(*), count_if(lo < hi) FROM (SELECT min(station_id) AS lo, max(station_id) AS hi FROM {source} GROUP BY station_code HAVING station_code IS NOT NULL)",
+        f"SELECT 'K4', count(*), count_if(lo < hi) FROM (SELECT min(town_name) AS lo, max(town_name) AS hi FROM {source} GROUP BY town_code HAVING town_code IS NOT NULL)",
+        f"SELECT 'I1', count(*), count(*) - count(k.code) FROM {source} s LEFT JOIN (SELECT DISTINCT station_code AS code FROM {codes}) k ON k.code = s.station_code WHERE s.station_code IS NOT NULL",
     ]
-    return f"""SELECT '{phase}' AS phase, r.check_id, c.dimension, c.label, r.n_checked, r.n_anomalies,
- round(100.0::DOUBLE * r.n_anomalies / nullif(r.n_checked, 0), 2) AS rate_pct FROM ({union_all(parts)}) r JOIN {LABELS} ON c.check_id = r.check_id"""
+    return f"""SELECT '{phase}' AS phase, r.check_id, c.dimension, c.label, r.n_checked::BIGINT AS n_checked, r.n_anomalies::BIGINT AS n_anomalies,
+ round(100.0::DOUBLE * r.n_anomalies / nullif(r.n_checked, 0), 2) AS rate_pct FROM ({union_all(parts)}) r JOIN {LABELS} USING (check_id)"""
 
 
 def stored(spark, sf_dir):
@@ -52,8 +56,9 @@ def stored(spark, sf_dir):
     return before(spark, sf_dir, stored=True), versions(spark, sf_dir)
 
 
-def repaired(spark, sf_dir):
-    rows, ref = stored(spark, sf_dir)
+def repaired(spark, sf_dir, rows=None):
+    rows = stored(spark, sf_dir)[0] if rows is None else materialise(rows, "before")
+    ref = versions(spark, sf_dir)
     result = C.repair(rows, ref, MIN_NAMED)
     return result, materialise(result.clean, "clean")
 
@@ -64,6 +69,18 @@ def q_before(spark, sf_dir):
     return Q.audit(rows, ref, "before", cadence="hour")
 
 
+@register("q_audit_dirty", sql(audit_sql("dirty_", "dirty"), "dirty_"))
+def q_dirty(spark, sf_dir):
+    """Rows with planted faults: every one of the eighteen checks finds some."""
+    return Q.audit(dirty(spark, sf_dir), versions(spark, sf_dir), "dirty", cadence="hour")
+
+
+@register("q_audit_minutes", sql(audit_sql("dirty_", "minutes", cadence="minute"), "dirty_"))
+def q_minutes(spark, sf_dir):
+    """The same at the default cadence of one collection a minute."""
+    return Q.audit(dirty(spark, sf_dir), versions(spark, sf_dir), "minutes")
+
+
 @register("q_audit_after", sql(audit_sql("after_", "after"), "after_"))
 def q_after(spark, sf_dir):
     result, clean = repaired(spark, sf_dir)
@@ -81,12 +98,15 @@ def q_clean(spark, sf_dir):
     return Q.audit(clean, result.reference, "clean", cadence="hour")
 
 
-@register("q_compare", sql(f"""SELECT b.check_id, b.dimension, b.label, b.n_anomalies AS anomalies_before, b.rate_pct AS rate_before, a.n_anomalies AS anomalies_after,
+DIMENSIONS = "['Completeness', 'Uniqueness', 'Validity', 'Consistency', 'Integrity']"
+
+
+@register("q_compare", sql(f"""SELECT row_number() OVER (ORDER BY list_position({DIMENSIONS}, b.dimension), b.check_id)::INTEGER AS position, b.check_id, b.dimension, b.label, b.n_anomalies AS anomalies_before, b.rate_pct AS rate_before, a.n_anomalies AS anomalies_after,
  a.rate_pct AS rate_after, CASE WHEN a.n_anomalies = 0 THEN 'OK' WHEN a.n_anomalies < b.n_anomalies THEN 'reduced' ELSE 'accepted' END AS status
  FROM b JOIN a ON a.check_id = b.check_id""", "before_", "after_", extra=[("b", audit_sql("before_", "before")), ("a", audit_sql("after_", "after"))]))
 def q_compare(spark, sf_dir):
     rows, ref = stored(spark, sf_dir)
-    return L.audit_path(rows, ref, MIN_NAMED, cadence="hour")["comparison"]
+    return positioned(L.audit_path(rows, ref, MIN_NAMED, cadence="hour")["comparison"])
 
 
 CATALOGUE = "(VALUES " + ", ".join(f"('{i}', '{crit}', '{target}', '{action}')" for i, _, _, crit, target, action in S.CHECKS) + ") AS k(check_id, criticality, target, action)"
@@ -102,21 +122,18 @@ def q_catalogue(spark, sf_dir):
 LIVE = """SELECT *, row_id AS reading_id FROM before_ WHERE capacity > 0 AND docks_free >= 0 AND town_code IS NOT NULL AND station_name IS NOT NULL AND station_code IS NOT NULL
  QUALIFY row_number() OVER (PARTITION BY station_id, collected_at ORDER BY row_id) = 1"""
 LIVE_STATION = "SELECT * FROM live QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY collected_at DESC, row_id DESC) = 1"
-UNTIL = "TIMESTAMP '2024-01-25 00:00:00'"
+UNTIL = "(SELECT max(collected_at) FROM before_)"
 
 
-def base_sql(station, town, reading, bound=""):
-    spaces = r"station_name <> trim(station_name) OR regexp_matches(station_name, '\s{2,}')"
-    r = f"(SELECT * FROM {reading} {bound})"
-    return union_all([
-        f"SELECT 1 AS position, count(*) AS n FROM {r}", f"SELECT 2, count(*) FROM {station}", f"SELECT 3, count(DISTINCT town_code) FROM {town}",
-        f"SELECT 4, count(DISTINCT collected_at) FROM {r}",
-        f"SELECT 5, count(*) FROM {r} WHERE (bikes_mechanical IS NOT NULL)::INT + (bikes_electric IS NOT NULL)::INT <> 2",
-        f"SELECT 6, count(*) FROM {station} WHERE station_id NOT IN (SELECT station_id FROM {r})",
-        f"SELECT 7, count(*) FROM {r} WHERE updated_at < collected_at - INTERVAL '24' HOUR",
-        f"SELECT 8, count(*) FROM {r} WHERE updated_at > collected_at + INTERVAL '5' MINUTE",
-        f"SELECT 9, count(*) FROM {station} WHERE {spaces}",
-    ])
+def base_sql(station, town, reading):
+    """The nine figures from one aggregate per table, readings up to the last collection of the unrepaired base."""
+    r = f"(SELECT * FROM {reading} WHERE collected_at <= {UNTIL})"
+    facts = f"""SELECT count(*) AS n, count(DISTINCT collected_at) AS polls, count_if(bikes_mechanical + bikes_electric IS NULL) AS incomplete,
+ count_if(collected_at - updated_at > INTERVAL 24 HOUR) AS silent, count_if(updated_at - collected_at > INTERVAL 5 MINUTE) AS late FROM {r}"""
+    stations = rf"""SELECT count(*) AS n, count_if(regexp_matches(station_name, '^ | $|\s\s')) AS spaced, count_if(used.station_id IS NULL) AS unused
+ FROM {station} s LEFT JOIN (SELECT DISTINCT station_id FROM {r}) used ON used.station_id = s.station_id"""
+    return f"""SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8, 9]) AS position, unnest([f.n, s.n, t.n, f.polls, f.incomplete, s.unused, f.silent, f.late, s.spaced])::BIGINT AS n
+ FROM ({facts}) f, ({stations}) s, (SELECT count(DISTINCT town_code) AS n FROM {town}) t"""
 
 
 INDICATOR_VALUES = "(VALUES " + ", ".join(f"({i}, '{name}')" for i, name in enumerate(L.INDICATORS, 1)) + ") AS i(position, indicator)"
@@ -139,11 +156,11 @@ def live_tables(rows):
 @register("q_base", sql(f"""SELECT i.position, i.indicator, l.n AS live, r.n AS repaired, r.n - l.n AS difference
  FROM l JOIN r ON r.position = l.position JOIN {INDICATOR_VALUES} ON i.position = l.position""", "before_", "reading_", "station_dim", "town_dim", extra=[
     ("live", LIVE), ("live_station", LIVE_STATION),
-    ("l", base_sql("live_station", "live_station", "live", f"WHERE collected_at <= {UNTIL}")), ("r", base_sql("station_dim", "town_dim", "reading_"))]))
+    ("l", base_sql("live_station", "live_station", "live")), ("r", base_sql("station_dim", "town_dim", "reading_"))]))
 def q_base(spark, sf_dir):
     result, clean = repaired(spark, sf_dir)
     rows = before(spark, sf_dir)
-    return L.base_vs_base(live_tables(rows), L.target_tables(result, clean), F.lit("2024-01-25 00:00:00").cast("timestamp_ntz"))
+    return L.base_vs_base(live_tables(rows), L.target_tables(result, clean), rows.agg(F.max("collected_at")).scalar())
 
 
 @register("a12_incomplete_children", sql("""SELECT row_id AS reading_id, CAST((bikes_mechanical IS NOT NULL)::INT + (bikes_electric IS NOT NULL)::INT AS BIGINT) AS n_children
@@ -306,18 +323,29 @@ COUNTS = [
 JOURNAL_SQL = union_all(
     f"SELECT {o}::BIGINT AS step, '{name}' AS rule, '{check}' AS check_id, '{action}' AS action, CAST(({count}) AS BIGINT) AS n_rows"
     for (o, name, check, action), count in zip(C.JOURNAL, COUNTS))
+JOURNAL_SQL = f"SELECT *, row_number() OVER (ORDER BY step, rule)::INTEGER AS position FROM ({JOURNAL_SQL})"
 
 
 @rule("r_journal", JOURNAL_SQL, "clean_", "before_")
 def r_journal(spark, sf_dir):
     result, clean = repaired(spark, sf_dir)
-    return C.journal(result, clean, MIN_NAMED)
+    return positioned(C.journal(result, clean, MIN_NAMED))
+
+
+@register("r_journal_faulty", sql(JOURNAL_SQL, "clean_", "before_", given={"readings": replaced_sql(FAULTY, f"({READINGS_SQL})")}))
+def r_journal_faulty(spark, sf_dir):
+    """Readings with splits that cannot be imputed and codes that no version knows: every rule touches some."""
+    result, clean = repaired(spark, sf_dir, before_of(faulty(spark, sf_dir), versions(spark, sf_dir)))
+    return positioned(C.journal(result, clean, MIN_NAMED))
 
 
 # --- load ----------------------------------------------------------------------------------
 
 HAS_STATION = "station_name IS NOT NULL AND station_code IS NOT NULL"
-OLD, NEW = "collected_at < TIMESTAMP '2024-01-20 00:00:00'", "collected_at >= TIMESTAMP '2024-01-15 00:00:00'"
+OLD = "collected_at < TIMESTAMP '2024-01-20 00:00:00'"
+# for every third station the next batch is late: it holds older readings than the ones loaded
+NEW = """CASE WHEN station_id % 3 = 0 THEN collected_at >= TIMESTAMP '2024-01-10 00:00:00' AND collected_at < TIMESTAMP '2024-01-12 00:00:00'
+ ELSE collected_at >= TIMESTAMP '2024-01-15 00:00:00' END"""
 STATION = ", ".join(load.STATION_COLUMNS)
 
 
@@ -342,15 +370,15 @@ def l1(spark, sf_dir):
 LAST = "QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY collected_at DESC, row_id DESC) = 1"
 
 
-@register("l2_upsert_stations", sql(f"""SELECT coalesce(o.station_id, n.station_id) AS station_id, coalesce(o.station_code, n.station_code) AS station_code,
- coalesce(n.station_name, o.station_name) AS station_name, coalesce(n.latitude, o.latitude) AS latitude, coalesce(n.longitude, o.longitude) AS longitude,
- coalesce(n.capacity, o.capacity) AS capacity, coalesce(n.town_code, o.town_code) AS town_code
- FROM (SELECT * FROM old {LAST}) o FULL JOIN (SELECT * FROM new {LAST}) n ON n.station_id = o.station_id""", "before_", extra=HALVES))
+@register("l2_upsert_stations", sql(f"""SELECT station_id, first(station_code ORDER BY part) AS station_code, {', '.join(f"arg_max({c}, (collected_at, part, row_id)) AS {c}" for c in ("station_name", "latitude", "longitude", "capacity", "town_code"))}
+ FROM (SELECT 0 AS part, * FROM (SELECT * FROM old {LAST}) UNION ALL SELECT 1, * FROM (SELECT * FROM new {LAST})) GROUP BY station_id""", "before_", extra=HALVES))
 def l2(spark, sf_dir):
+    """Newer rows replace the attributes of known stations; a late batch changes nothing."""
     old, new = halves(spark, sf_dir)
     existing = latest_by(old.select(*load.STATION_COLUMNS, "collected_at", "row_id"), ["station_id"], ["collected_at", "row_id"])
-    return load.upsert_latest(existing.select(*load.STATION_COLUMNS), new, "station_id", ["collected_at", "row_id"],
-                              ["station_name", "latitude", "longitude", "capacity", "town_code"])
+    stored = existing.select(*load.STATION_COLUMNS, F.col("collected_at").alias("seen_at"))
+    return load.upsert_latest(stored, new, "station_id", ["collected_at", "row_id"],
+                              ["station_name", "latitude", "longitude", "capacity", "town_code"]).drop("seen_at")
 
 
 INSERTED = """SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.station_id = n.station_id AND o.collected_at = n.collected_at)
@@ -363,64 +391,158 @@ def l3(spark, sf_dir):
     return load.insert_new_readings(old.select("station_id", "collected_at"), new).select("row_id", "station_id", "collected_at", "docks_free")
 
 
-@register("l4_insert_children", sql("""SELECT station_id * 8589934592 + CAST(epoch(collected_at) AS BIGINT) AS reading_id, 1 AS bike_type_id, bikes_mechanical AS bikes FROM ins
- UNION ALL SELECT station_id * 8589934592 + CAST(epoch(collected_at) AS BIGINT), 2, bikes_electric FROM ins""", "before_", extra=HALVES + [("ins", INSERTED)]))
+@register("l4_insert_children", sql(f"""SELECT {READING_ID} AS reading_id, 1 AS bike_type_id, bikes_mechanical AS bikes FROM ins
+ UNION ALL SELECT {READING_ID}, 2, bikes_electric FROM ins""", "before_", extra=HALVES + [("ins", INSERTED)]))
 def l4(spark, sf_dir):
     old, new = halves(spark, sf_dir)
     inserted = load.with_reading_id(load.insert_new_readings(old.select("station_id", "collected_at"), new))
     return load.insert_children(inserted, load.seed_types(spark))
 
 
-@register("l6_reading_ids", sql("SELECT row_id, station_id * 8589934592 + CAST(epoch(collected_at) AS BIGINT) AS reading_id FROM readings", "readings"))
+FINE = "SELECT row_id, station_id * (1 - 2 * (row_id % 2)) AS station_id, collected_at + to_microseconds(row_id % 1000000) AS collected_at FROM readings"
+
+
+@register("l6_reading_ids", sql(f"SELECT row_id, {READING_ID} AS reading_id FROM fine", "readings", extra=[("fine", FINE)]))
 def l6(spark, sf_dir):
-    return load.with_reading_id(readings(spark, sf_dir)).select("row_id", "reading_id")
+    """Ids of any BIGINT station, negative ones too, and of times with a fraction of a second."""
+    sign = 1 - 2 * (F.col("row_id") % 2)
+    fine = F.col("collected_at") + F.make_dt_interval(secs=((F.col("row_id") % 1000000) / 1000000).cast("decimal(18,6)"))
+    rows = readings(spark, sf_dir).select("row_id", (F.col("station_id") * sign).alias("station_id"), fine.alias("collected_at"))
+    return load.with_reading_id(rows).select("row_id", "reading_id")
+
+
+# the limits of the target schema, written out: table, rule, condition of a violating row
+ROW_LIMITS = """
+town|not null town_code|town_code IS NULL
+town|not null town_name|town_name IS NULL
+town|not null dept_code|dept_code IS NULL
+town|length town_code|length(rtrim(town_code)) > 5
+town|length dept_code|length(rtrim(dept_code)) > 2
+town|length town_name|length(rtrim(town_name)) > 100
+town|check population >= 0|population < 0
+town|check area_ha > 0|area_ha <= 0
+station|not null station_id|station_id IS NULL
+station|not null station_code|station_code IS NULL
+station|not null station_name|station_name IS NULL
+station|not null latitude|latitude IS NULL
+station|not null longitude|longitude IS NULL
+station|not null capacity|capacity IS NULL
+station|not null town_code|town_code IS NULL
+station|length town_code|length(rtrim(town_code)) > 5
+station|length station_code|length(rtrim(station_code)) > 10
+station|length station_name|length(rtrim(station_name)) > 150
+station|check latitude range|abs(latitude) > 90
+station|check longitude range|abs(longitude) > 180
+station|check capacity > 0|capacity <= 0
+station|smallint capacity|capacity > 32767 OR capacity < -32768
+bike_type|not null bike_type_id|bike_type_id IS NULL
+bike_type|not null type_code|type_code IS NULL
+bike_type|not null type_label|type_label IS NULL
+bike_type|length type_code|length(rtrim(type_code)) > 20
+bike_type|length type_label|length(rtrim(type_label)) > 50
+reading|not null reading_id|reading_id IS NULL
+reading|not null station_id|station_id IS NULL
+reading|not null collected_at|collected_at IS NULL
+reading|not null updated_at|updated_at IS NULL
+reading|not null docks_free|docks_free IS NULL
+reading|not null is_installed|is_installed IS NULL
+reading|not null is_renting|is_renting IS NULL
+reading|not null is_returning|is_returning IS NULL
+reading|check docks_free >= 0|docks_free < 0
+reading|smallint docks_free|docks_free > 32767 OR docks_free < -32768
+reading_bikes|not null reading_id|reading_id IS NULL
+reading_bikes|not null bike_type_id|bike_type_id IS NULL
+reading_bikes|not null bikes|bikes IS NULL
+reading_bikes|check bikes >= 0|bikes < 0
+reading_bikes|smallint bikes|bikes > 32767 OR bikes < -32768
+"""
+# table, rule, columns: rows beyond the first of a complete key
+KEY_LIMITS = """
+town|primary key town_code|town_code
+station|primary key station_id|station_id
+station|unique station_code|station_code
+bike_type|primary key bike_type_id|bike_type_id
+bike_type|unique type_code|type_code
+reading|primary key reading_id|reading_id
+reading|unique station_id, collected_at|station_id, collected_at
+reading_bikes|primary key reading_id, bike_type_id|reading_id, bike_type_id
+"""
+# table, column, parent: rows whose value has no parent row
+PARENTS = """
+station|town_code|town
+reading|station_id|station
+reading_bikes|reading_id|reading
+reading_bikes|bike_type_id|bike_type
+"""
+
+
+def _lines(text):
+    return [line.split("|") for line in text.strip().splitlines()]
 
 
 def violation_sql():
-    """Violations per rule when the unrepaired rows are taken as target tables."""
-    parts = []
-    for name, rules in S.TARGET_MODEL.items():
-        src = f"t_{name}"
-
-        def add(label, condition):
-            parts.append(f"SELECT '{name}' AS table_name, '{label}' AS rule, count(*) FILTER (WHERE {condition}) AS violations FROM {src}")
-        for c in rules["not_null"]:
-            add(f"not null {c}", f"{c} IS NULL")
-        for c, n in {**rules["exact_length"], **rules["max_length"]}.items():
-            add(f"length {c}", f"length(rtrim({c})) > {n}")
-        for label, condition in rules["checks"].items():
-            add(f"check {label}", f"NOT ({condition})")
-        for c in rules["smallint"]:
-            add(f"smallint {c}", f"{c} NOT BETWEEN -32768 AND 32767")
-        for kind, keys in [("primary key", rules["primary_key"])] + [("unique", k) for k in rules["unique"]]:
-            given = " AND ".join(f"{k} IS NOT NULL" for k in keys)
-            parts.append(f"SELECT '{name}', '{kind} {', '.join(keys)}', count(*) - count(DISTINCT ({', '.join(keys)})) FROM {src} WHERE {given}")
-        for c, (parent, key) in rules["foreign_keys"].items():
-            add(f"foreign key {c}", f"{c} IS NOT NULL AND {c} NOT IN (SELECT {key} FROM t_{parent} WHERE {key} IS NOT NULL)")
+    """Violations per rule of the tables ``t_<name>``."""
+    parts = [f"SELECT '{t}' AS table_name, '{rule}' AS rule, count_if({bad})::BIGINT AS violations FROM t_{t}" for t, rule, bad in _lines(ROW_LIMITS)]
+    for t, rule, columns in _lines(KEY_LIMITS):
+        complete = " AND ".join(f"{c.strip()} IS NOT NULL" for c in columns.split(","))
+        parts.append(f"SELECT '{t}', '{rule}', coalesce(sum(n - 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM t_{t} WHERE {complete} GROUP BY {columns})")
+    for t, column, parent in _lines(PARENTS):
+        parts.append(f"SELECT '{t}', 'foreign key {column}', count(*) FROM t_{t} c ANTI JOIN t_{parent} p ON p.{column} = c.{column} WHERE c.{column} IS NOT NULL")
     return union_all(parts)
 
 
-RAW_TABLES = [
-    ("t_town", f"SELECT DISTINCT town_code, town_name, {TOWN_TAIL} FROM before_"),
-    ("t_station", f"SELECT {STATION} FROM before_ {LAST}"),
-    ("t_bike_type", "SELECT * FROM (VALUES (1, 'mechanical', 'Mechanical bike'), (2, 'ebike', 'Electric bike')) AS t(bike_type_id, type_code, type_label)"),
-    ("t_reading", "SELECT station_id * 8589934592 + CAST(epoch(collected_at) AS BIGINT) AS reading_id, * FROM before_"),
-    ("t_reading_bikes", "SELECT reading_id, 1 AS bike_type_id, bikes_mechanical AS bikes FROM t_reading UNION ALL SELECT reading_id, 2, bikes_electric FROM t_reading"),
+# breaches of every kind of rule, valid in both engines
+BREACHES = {
+    "station_name": "CASE WHEN station_id % 13 = 1 THEN repeat('n', 151) ELSE station_name END",
+    "station_code": "CASE WHEN station_id % 17 = 2 THEN repeat('c', 11) ELSE station_code END",
+    "town_name": "CASE WHEN station_id % 19 = 3 THEN repeat('t', 101) ELSE town_name END",
+    "town_code": "CASE WHEN station_id % 47 = 7 THEN '7500000' ELSE town_code END",
+    "capacity": "CASE WHEN station_id % 23 = 4 THEN 40000 ELSE capacity END",
+    "latitude": "CASE WHEN station_id % 29 = 5 THEN CAST(95.0 AS DOUBLE) ELSE latitude END",
+    "longitude": "CASE WHEN station_id % 29 = 6 THEN CAST(200.0 AS DOUBLE) ELSE longitude END",
+    "docks_free": "CASE row_id % 31 WHEN 1 THEN 40000 WHEN 2 THEN -5 WHEN 3 THEN NULL ELSE docks_free END",
+    "bikes_mechanical": "CASE row_id % 37 WHEN 1 THEN 40000 WHEN 2 THEN -1 ELSE bikes_mechanical END",
+    "updated_at": "CASE WHEN row_id % 41 = 1 THEN NULL ELSE updated_at END",
+    "is_installed": "CASE WHEN row_id % 43 = 1 THEN NULL ELSE is_installed END",
+    "is_renting": "CASE WHEN row_id % 43 = 2 THEN NULL ELSE is_renting END",
+    "is_returning": "CASE WHEN row_id % 43 = 3 THEN NULL ELSE is_returning END",
+}
+NO_STATION, NO_TOWN, NO_READING, ODD_TYPE = "station_id % 11 <> 3", "town_code <> '75004'", "row_id % 53 <> 5", "row_id % 59 = 1"
+TOWN_FIGURES = {"population": "CAST(CASE WHEN town_code = '75001' THEN -1 ELSE population END AS INT)",
+                "area_ha": "CAST(CASE WHEN town_code = '75002' THEN 0 ELSE area_ha END AS DECIMAL(10,2))"}
+WRONG_TYPES = [(1, "mechanical", "Mechanical bike"), (2, "ebike", "Electric bike"), (2, "ebike", None), (None, "a code of more than twenty characters", "x" * 51)]
+BREACHED = [
+    ("breached", replaced_sql(BREACHES, "before_")),
+    ("t_town", replaced_sql(TOWN_FIGURES, f"(SELECT DISTINCT town_code, town_name, {TOWN_TAIL} FROM breached) WHERE town_code IS NULL OR {NO_TOWN}")),
+    ("t_station", f"SELECT {STATION} FROM breached WHERE {NO_STATION} {LAST}"),
+    ("t_bike_type", "SELECT * FROM (VALUES (1, 'mechanical', 'Mechanical bike'), (2, 'ebike', 'Electric bike'), (2, 'ebike', NULL), "
+                    "(NULL, 'a code of more than twenty characters', repeat('x', 51))) AS t(bike_type_id, type_code, type_label)"),
+    ("t_reading", f"SELECT {READING_ID} AS reading_id, * FROM breached WHERE {NO_READING}"),
+    ("t_reading_bikes", f"""SELECT {READING_ID} AS reading_id, 1 AS bike_type_id, bikes_mechanical AS bikes FROM breached UNION ALL
+ SELECT {READING_ID}, 2, bikes_electric FROM breached UNION ALL SELECT {READING_ID}, 3, 0 FROM breached WHERE {ODD_TYPE}"""),
 ]
 
 
-@register("l7_violations", sql(violation_sql(), "before_", extra=RAW_TABLES))
+@register("l7_violations", sql(violation_sql(), "before_", extra=BREACHED))
 def l7(spark, sf_dir):
-    rows = load.with_reading_id(before(spark, sf_dir, stored=True))
+    """Rows that break rules of every kind, taken as target tables."""
+    rows = load.with_reading_id(replaced(before(spark, sf_dir, stored=True), BREACHES))
     types = load.seed_types(spark)
-    last = latest_by(rows, ["station_id"], ["collected_at", "row_id"])
+    last = latest_by(rows.filter(NO_STATION), ["station_id"], ["collected_at", "row_id"])
+    children = load.insert_children(rows, types).unionByName(
+        rows.filter(ODD_TYPE).select("reading_id", F.lit(3).alias("bike_type_id"), F.lit(0).cast("bigint").alias("bikes")))
     return constraints.validate({
-        "town": load.towns_of(rows), "station": last.select(*load.STATION_COLUMNS), "bike_type": types,
-        "reading": rows.select(*load.READING_COLUMNS), "reading_bikes": load.insert_children(rows, types),
+        "town": replaced(load.towns_of(rows).filter(f"town_code IS NULL OR {NO_TOWN}"), TOWN_FIGURES), "station": last.select(*load.STATION_COLUMNS),
+        "bike_type": spark.createDataFrame(WRONG_TYPES, "bike_type_id int, type_code string, type_label string"),
+        "reading": rows.filter(NO_READING).select(*load.READING_COLUMNS), "reading_bikes": children,
     })
 
 
-@register("l7_target_valid", sql(f"SELECT table_name, rule, 0::BIGINT AS violations FROM ({violation_sql()})", "before_", extra=RAW_TABLES))
+NO_VIOLATION = " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{rule}' AS rule, 0::BIGINT AS violations" for t, rule, _ in [
+    *_lines(ROW_LIMITS), *_lines(KEY_LIMITS), *((t, f"foreign key {c}", p) for t, c, p in _lines(PARENTS))])
+
+
+@register("l7_target_valid", NO_VIOLATION)
 def l7b(spark, sf_dir):
     """The repaired tables break no rule."""
     return constraints.validate(target(spark, sf_dir))

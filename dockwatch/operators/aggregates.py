@@ -75,12 +75,12 @@ def changed_without_update(readings: DataFrame) -> DataFrame:
     bundled = readings.withColumn(
         "bundle", F.struct("updated_at", "bikes_mechanical", "bikes_electric")
     )
-    before = with_neighbours(bundled, "bundle", previous="p", following="f").filter(F.col("p").isNotNull())
-    joined = readings.join(before.select("row_id", "p"), "row_id")
-    changed = ~F.col("bikes_mechanical").eqNullSafe(F.col("p.bikes_mechanical")) | ~F.col("bikes_electric").eqNullSafe(
+    both = with_neighbours(bundled, "bundle", previous="p", following="f", current="c").filter(F.col("p").isNotNull())
+    changed = ~F.col("c.bikes_mechanical").eqNullSafe(F.col("p.bikes_mechanical")) | ~F.col("c.bikes_electric").eqNullSafe(
         F.col("p.bikes_electric")
     )
-    return joined.filter((F.col("updated_at") == F.col("p.updated_at")) & changed).drop("p")
+    # only the ids of the changed rows meet the readings again
+    return readings.join(both.filter((F.col("c.updated_at") == F.col("p.updated_at")) & changed).select("row_id"), "row_id", "left_semi")
 
 
 def reference_changes(versions: DataFrame, attributes=("station_name", "capacity", "town_code")) -> DataFrame:

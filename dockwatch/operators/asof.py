@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from dockwatch.session import materialise
+
 
 def asof_version(times: DataFrame, versions: DataFrame, time="collected_at", version="version_ts",
                  fallback: bool = False) -> DataFrame:
@@ -9,18 +11,23 @@ def asof_version(times: DataFrame, versions: DataFrame, time="collected_at", ver
 
     With ``fallback`` a time before the first version takes the first version.
 
-    Both lists are merged and scanned in time order, one day at a time, so the work is linear and
-    no (time, version) pairs are formed. What a day inherits from earlier days is found on a table
-    of one row per day, which is the only unpartitioned window.
+    Both lists are merged and scanned in time order, one hour at a time, so the work is linear and
+    no (time, version) pairs are formed. What an hour inherits from earlier hours of its day is found on one row per
+    hour, what a day inherits on one row per day; the latter is the only unpartitioned window. The distinct times are
+    stored, so the readings are read once.
     """
-    when = times.select(F.col(time).alias("at")).filter(F.col(time).isNotNull()).distinct()
-    known = versions.select(F.col(version).alias("at")).filter(F.col(version).isNotNull()).distinct()
+    when = materialise(times.select(F.col(time).alias("at")).filter(F.col(time).isNotNull()).distinct(), "times")
+    known = materialise(versions.select(F.col(version).alias("at")).filter(F.col(version).isNotNull()).distinct(), "known")
     points = known.select("at", F.col("at").alias("v"), F.lit(0).alias("kind")).unionByName(
         when.select("at", F.lit(None).cast(known.schema["at"].dataType).alias("v"), F.lit(1).alias("kind"))
-    ).withColumn("day", F.to_date("at"))
+    ).withColumn("day", F.to_date("at")).withColumn("slot", F.date_trunc("hour", "at"))
 
-    in_day = Window.partitionBy("day").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    same_day = points.withColumn("v", F.last("v", ignorenulls=True).over(in_day)).filter("kind = 1")
+    in_hour = Window.partitionBy("slot").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    same_hour = points.withColumn("v", F.last("v", ignorenulls=True).over(in_hour)).filter("kind = 1")
+    earlier_hours = Window.partitionBy("day").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    hours = points.groupBy("day", "slot").agg(F.max("v").alias("hour_last")).select(
+        "slot", F.last("hour_last", ignorenulls=True).over(earlier_hours).alias("from_hours"))
+    same_day = same_hour.join(hours, "slot")
 
     # one row per day: bounded by the calendar, whatever the volume of readings
     days = points.groupBy("day").agg(F.max("v").alias("day_last"), F.min("v").alias("day_first"))
@@ -31,7 +38,7 @@ def asof_version(times: DataFrame, versions: DataFrame, time="collected_at", ver
         F.last("day_last", ignorenulls=True).over(before).alias("carried"),
         F.min("day_first").over(overall).alias("earliest"),
     )
-    picks = [F.col("v"), F.col("carried")] + ([F.col("earliest")] if fallback else [])
+    picks = [F.col("v"), F.col("from_hours"), F.col("carried")] + ([F.col("earliest")] if fallback else [])
     return same_day.join(carried, "day").select(F.col("at").alias(time), F.coalesce(*picks).alias(version))
 
 

@@ -7,14 +7,16 @@ from dockwatch.functions import text as X
 from dockwatch.operators.ordering import dedup, first_by, latest_by
 from dockwatch.operators.relations import star_join, unpivot_types
 from dockwatch.session import fixed_rows
+from dockwatch.sources.lake import write_batch
 
 STATION_COLUMNS = ["station_id", "station_code", "station_name", "latitude", "longitude", "capacity", "town_code"]
 READING_COLUMNS = [
     "reading_id", "station_id", "collected_at", "updated_at", "docks_free", "is_installed", "is_renting", "is_returning",
 ]
-# a reading id is the station id followed by 33 bits of Unix seconds (good until the year 2242)
-SECONDS_BITS = 33
-MAX_STATION_ID = (1 << (63 - SECONDS_BITS)) - 1
+# a reading id is the station id followed by 18 digits: microseconds since the start of the year 1
+ID_TIME_DIGITS = 18
+MICROS_TO_1970 = 62_135_596_800_000_000
+READING_ID = "decimal(38,0)"
 
 
 def seed_types(spark: SparkSession) -> DataFrame:
@@ -38,7 +40,15 @@ def towns_of(staged: DataFrame) -> DataFrame:
 
 
 def upsert_latest(target: DataFrame, new: DataFrame, key: str, order, columns) -> DataFrame:
-    """Newest new row per key: inserted when the key is absent, else it replaces ``columns`` only."""
+    """Newest new row per key: inserted when the key is absent, else it replaces ``columns`` only.
+
+    With a column ``seen_at`` (time of the row the values come from) a stored row is only replaced by one that is not
+    older, so a batch that arrives late leaves newer values alone. The first of ``order`` is the time of a new row.
+    """
+    timed = "seen_at" in target.columns
+    if timed:
+        new = new.withColumn("seen_at", F.col(order[0]))
+        columns = [*columns, "seen_at"]
     newest = latest_by(new.select(*dict.fromkeys([*target.columns, *order])), [key], order)
     incoming = newest.select(F.col(key), *[F.col(c).alias(f"new_{c}") for c in target.columns if c != key], F.lit(True).alias("has_new"))
     existing = target.withColumn("has_old", F.lit(True))
@@ -50,6 +60,8 @@ def upsert_latest(target: DataFrame, new: DataFrame, key: str, order, columns) -
         takes_new = F.col("has_old").isNull()
         if column in columns:
             takes_new = F.col("has_new").isNotNull()
+            if timed:
+                takes_new = takes_new & (F.col("seen_at").isNull() | (F.col("new_seen_at") >= F.col("seen_at")))
         return F.when(takes_new, F.col(f"new_{column}")).otherwise(F.col(column)).alias(column)
 
     return merged.select(*[value(c) for c in target.columns])
@@ -80,19 +92,15 @@ def insert_children(inserted: DataFrame, types: DataFrame, ids=("reading_id",))
 
 
 def with_reading_id(df: DataFrame) -> DataFrame:
-    """Reproducible key: station id and collection second packed into one BIGINT.
+    """Reproducible key: station id and collection time written one after the other in one decimal.
 
-    No two readings of different keys can meet, unlike a 64-bit hash. A station id or time that
-    does not fit (or has a fraction of a second) gets NULL, which the NOT NULL rule then reports.
+    Every BIGINT station id and every time of the years 1 to 9999, to the microsecond, has its own id; unlike a
+    64-bit hash, two readings with different keys never meet. Only a reading without station or time has no id.
     """
-    at = F.col("collected_at").cast("timestamp")
-    seconds = F.unix_seconds(at)
-    fits = (
-        F.col("station_id").between(0, MAX_STATION_ID)
-        & seconds.between(0, (1 << SECONDS_BITS) - 1)
-        & (F.unix_micros(at) == seconds * 1000000)
-    )
-    return df.withColumn("reading_id", F.when(fits, F.shiftleft(F.col("station_id"), SECONDS_BITS) + seconds))
+    time = (F.unix_micros(F.col("collected_at").cast("timestamp")) + MICROS_TO_1970).cast(f"decimal({ID_TIME_DIGITS},0)")
+    place = F.lit(f"1{'0' * ID_TIME_DIGITS}").cast(f"decimal({ID_TIME_DIGITS + 1},0)")
+    station = F.col("station_id").cast("decimal(19,0)")
+    return df.withColumn("reading_id", (station * place + time).cast(READING_ID))
 
 
 def build_station_dim(valid_reference: DataFrame, seen: DataFrame) -> DataFrame:
@@ -138,7 +146,7 @@ def cascade_delete(tables: dict, station_ids: DataFrame) -> dict:
 
 
 def flat_view(tables: dict) -> DataFrame:
-    """The reporting view: one row per reading with station, town and both bike types."""
+    """The reporting view: one row per reading with station, town and both bike types, and the day of stored facts."""
     return star_join(tables, zero_missing=True)
 
 
@@ -166,10 +174,12 @@ def station_from_feeds(information: DataFrame, reference: DataFrame) -> DataFram
 
 
 def record_run(spark: SparkSession, path: str, row: dict) -> None:
-    """Add one line to the run log; a run recorded again replaces its own line."""
-    line = spark.createDataFrame([tuple(row[f.name] for f in S.RUN_LOG)], S.RUN_LOG)
-    line.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+    """Add one line to the run log, kept by day of the run; a run recorded again replaces its own line."""
+    line = spark.createDataFrame([tuple(row[f.name] for f in S.RUN_LOG)], S.RUN_LOG).coalesce(1)
+    write_batch(line.withColumn("date", F.to_date("started_at")), path, row["run_id"])
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.RUN_LOG).parquet(path)
+    """The run log; of a run recorded on several days the last line counts."""
+    lines = spark.read.schema(S.RUN_LOG).parquet(path).select(S.RUN_LOG.fieldNames())
+    return latest_by(lines, ["run_id"], ["started_at"])

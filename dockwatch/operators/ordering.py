@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-# rows of one instant are cut into blocks of at most this many row ids
-BLOCK_ROWS = 1 << 20
+# rows of one instant are cut into blocks of at most 2^20 row ids
+BLOCK_BITS = 20
 
 
 def _pick(df: DataFrame, keys, order, chooser) -> DataFrame:
@@ -38,7 +38,9 @@ def keep_lowest(df: DataFrame, keys, row_id="row_id") -> DataFrame:
     complete = F.lit(True)
     for key in keys:
         complete = complete & F.col(key).isNotNull()
-    return first_by(df.filter(complete), keys, [row_id]).unionByName(df.filter(~complete))
+    # a row with a NULL key is a group of its own, so one pass serves both kinds
+    alone = df.withColumn("alone", F.when(~complete, F.col(row_id)))
+    return first_by(alone, [*keys, "alone"], [row_id]).drop("alone")
 
 
 def repeated_keys(df: DataFrame, keys, row_id="row_id") -> DataFrame:
@@ -66,17 +68,18 @@ def latest_per_key(df: DataFrame, key: str, time: str) -> DataFrame:
 
 
 def with_neighbours(df: DataFrame, value: str, key="station_id", time="collected_at", row_id="row_id",
-                    previous="previous_value", following="next_value", only_missing: bool = False) -> DataFrame:
+                    previous="previous_value", following="next_value", only_missing: bool = False, current: str = None) -> DataFrame:
     """Value of the row just before and just after, per key by (time, row id); NULLs are not skipped.
 
-    Returns (row_id, previous, following), with ``only_missing`` just for rows without a value.
+    Returns (row_id, previous, following), with ``only_missing`` just for rows without a value, with ``current`` the row's
+    own value under that name too.
     Equal to ``lag``/``lead`` over one window per key, but no window holds a whole key: rows are
     compared inside one (key, time, id block), blocks inside one (key, day), days inside one key.
     Row ids must be unique.
     """
     narrow = df.select(
         F.col(key).alias("k"), F.col(time).alias("t"), F.col(row_id).alias("id"), F.col(value).alias("v"),
-        F.floor(F.col(row_id) / F.lit(BLOCK_ROWS)).alias("b"),
+        F.shiftright(F.col(row_id), BLOCK_BITS).alias("b"),
     )
     rows = Window.partitionBy("k", "t", "b").orderBy("id")
     inside = narrow.select(
@@ -111,7 +114,7 @@ def with_neighbours(df: DataFrame, value: str, key="station_id", time="collected
         chained, F.col("k").eqNullSafe(F.col("bk")) & F.col("t").eqNullSafe(F.col("bt")) & (F.col("b") == F.col("bb"))
     ).join(across, F.col("k").eqNullSafe(F.col("dk")) & F.col("day").eqNullSafe(F.col("dd")))
     return joined.select(
-        F.col("id").alias(row_id),
+        F.col("id").alias(row_id), *([F.col("v").alias(current)] if current else []),
         F.when(F.col("row_has_prev"), F.col("row_prev")).when(F.col("block_has_prev"), F.col("block_prev"))
         .otherwise(F.col("day_prev")).alias(previous),
         F.when(F.col("row_has_next"), F.col("row_next")).when(F.col("block_has_next"), F.col("block_next"))

@@ -34,6 +34,22 @@ def network_state(view: DataFrame, time="collected_at") -> DataFrame:
     return view.filter(F.col(time) == view.agg(F.max(time)).scalar())
 
 
+def latest_state(tables: dict, zero_missing: bool = True) -> DataFrame:
+    """Every station at the latest collection of the stored network, read from one day of the facts.
+
+    The newest day comes from the partition column, the newest time from that day's readings; both are scalar
+    subqueries that cut the facts before the flat view is built.
+    """
+    reading = tables["reading"]
+    day = reading.agg(F.max("date")).scalar()
+    time = reading.filter(F.col("date") == day).agg(F.max("collected_at")).scalar()
+    cut = {
+        "reading": reading.filter((F.col("date") == day) & (F.col("collected_at") == time)),
+        "reading_bikes": tables["reading_bikes"].filter(F.col("date") == day),
+    }
+    return star_join({**tables, **cut}, zero_missing)
+
+
 def without_readings(stations: DataFrame, readings: DataFrame) -> DataFrame:
     """Stations that have no reading."""
     return stations.join(readings.select("station_id").distinct(), "station_id", "left_anti")
@@ -86,12 +102,17 @@ def distinct_keys(df: DataFrame, *columns) -> DataFrame:
     return df.select(*columns).distinct()
 
 
+def _fact_key(table: DataFrame) -> list:
+    """Facts stored by day are matched day by day, so that a filter on the day reaches both tables."""
+    return ["date", "reading_id"] if "date" in table.columns else ["reading_id"]
+
+
 def pivot_types(children: DataFrame, types: DataFrame, keep_null: bool = True) -> DataFrame:
     """Type rows back to one row per reading: mechanical and electric counts."""
     typed = children.join(types.select("bike_type_id", "type_code"), "bike_type_id")
     def total(code):
         return F.sum(F.when(F.col("type_code") == code, F.col("bikes")))
-    out = typed.groupBy("reading_id").agg(
+    out = typed.groupBy(*_fact_key(children)).agg(
         total("mechanical").alias("bikes_mechanical"), total("ebike").alias("bikes_electric"),
         F.sum("bikes").alias("bikes_total"),
     )
@@ -108,16 +129,18 @@ def star_join(tables: dict, zero_missing: bool = True) -> DataFrame:
     """Flat reading rows: reading -> station -> town, with the bike types in columns.
 
     A reading without type rows is kept. With ``zero_missing`` absent types count 0 (the reporting
-    view); without it only the total does (the audit read-back).
+    view); without it only the total does (the audit read-back). Facts stored by ``date`` keep it: a filter on the
+    view's date then prunes both fact tables before they are joined.
     """
+    key = _fact_key(tables["reading_bikes"]) if "date" in tables["reading"].columns else ["reading_id"]
     counts = pivot_types(tables["reading_bikes"], tables["bike_type"])
     flat = (
         tables["reading"].join(tables["station"], "station_id")
         .join(tables["town"].select("town_code", "town_name"), "town_code")
-        .join(counts, "reading_id", "left")
+        .join(counts, key, "left")
     )
     split = ["bikes_mechanical", "bikes_electric"]
     return flat.fillna(0, ["bikes_total"] + (split if zero_missing else [])).select(
-        "reading_id", "collected_at", "updated_at", "station_id", "station_code", "station_name", "latitude", "longitude",
+        *key, "collected_at", "updated_at", "station_id", "station_code", "station_name", "latitude", "longitude",
         "capacity", "town_code", "town_name", "bikes_total", *split, "docks_free", "is_installed",
     )

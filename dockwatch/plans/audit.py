@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockwatch import schemas as S
 from dockwatch.functions import text as X
-from dockwatch.operators.ordering import order_by_rank
+from dockwatch.operators.ordering import order_by_rank, repeated_keys
+from dockwatch.operators.relations import not_in_list
 from dockwatch.plans.readings import silent_sql
 from dockwatch.session import fixed_rows
 
@@ -145,12 +146,42 @@ def compare_phases(before: DataFrame, after: DataFrame) -> DataFrame:
     return order_by_rank(joined, "dimension", S.DIMENSION_ORDER, "check_id")
 
 
-def anomaly_breakdown(df: DataFrame, check_id: str, by) -> DataFrame:
-    """Where and when one row check fails: rows, stations and largest excess per group."""
-    condition = F.expr(ROW_CHECKS[check_id][1])
+def _several(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Rows whose non-null key occurs with more than one value; keys are reduced before they are matched."""
+    keys = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias("lo"), F.max(value).alias("hi")).filter("lo <> hi")
+    return df.join(keys.select(key), key, "left_semi")
+
+
+def failing_rows(df: DataFrame, check_id: str, reference_codes: DataFrame = None) -> DataFrame:
+    """The rows that one check on rows or groups counts (of repeated readings those after the lowest row id)."""
+    if check_id in ROW_CHECKS:
+        return df.filter(F.coalesce(F.expr(ROW_CHECKS[check_id][1]), F.lit(False)))
+    if check_id == "U1":
+        keys = ["station_id", "collected_at"]
+        return df.join(repeated_keys(df, keys), keys).filter(F.col("row_id") > F.col("kept_id")).select(df.columns)
+    if check_id == "U2":
+        return _several(df, "station_code", "station_id")
+    if check_id == "K4":
+        return _several(df, "town_code", "town_name")
+    if check_id == "I1":
+        return not_in_list(df, reference_codes, "station_code")
+    raise ValueError(f"{check_id} does not count rows")
+
+
+def anomaly_breakdown(df: DataFrame, check_id: str, by, reference_codes: DataFrame = None, cadence: str = "minute") -> DataFrame:
+    """Where and when a check fails: rows, stations and largest excess per group.
+
+    C4 counts what is not there: missing collections per ``day``, without stations. I1 needs the reference.
+    """
+    if check_id == "C4":
+        slots = df.select(F.date_trunc(cadence, "collected_at").cast("timestamp_ntz").alias("slot")).distinct()
+        span = slots.agg(F.min("slot").alias("a"), F.max("slot").alias("b"))
+        every = span.select(F.explode(F.expr(f"sequence(a, b, INTERVAL 1 {cadence.upper()})")).alias("slot"))
+        missing = every.join(slots, "slot", "left_anti").groupBy(F.to_date("slot").alias("day")).agg(F.count(F.lit(1)).alias("n_readings"))
+        return missing.select("day", "n_readings", F.lit(0).cast("bigint").alias("n_stations"), F.lit(None).cast("bigint").alias("max_excess"))
     excess = F.col("bikes_total") + F.col("docks_free") - F.col("capacity")
-    failing = df.filter(F.coalesce(condition, F.lit(False)))
-    per_station = failing.groupBy(*by, "station_id").agg(F.count(F.lit(1)).alias("n"), F.max(excess).alias("excess"))
+    failing = failing_rows(df, check_id, reference_codes)
+    per_station = failing.groupBy(*dict.fromkeys([*by, "station_id"])).agg(F.count(F.lit(1)).alias("n"), F.max(excess).alias("excess"))
     return per_station.groupBy(*by).agg(
         F.sum("n").alias("n_readings"), F.count("station_id").alias("n_stations"), F.max("excess").alias("max_excess")
     )

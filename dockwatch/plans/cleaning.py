@@ -1,5 +1,7 @@
 """Ordered repair of the readings, with a journal of the rows each rule touched.
 
+A step function that is called without its lookup stores its input first, so that no step computes the earlier ones again.
+
 The rules are written as flags on one frame instead of successive deletes: the frame is stored
 once and the journal, the clean rows and the station dimension are all read from it.
 """
@@ -66,7 +68,9 @@ def late_collections(df: DataFrame, tolerance=S.CLOCK_TOLERANCE_MINUTES) -> Data
 
 def r1_clock(df: DataFrame, late: DataFrame = None) -> DataFrame:
     """Move each late collection, as a whole, to its last station update."""
-    late = late_collections(df) if late is None else late
+    if late is None:
+        df = materialise(df, "r0")
+        late = late_collections(df)
     joined = df.join(late, "collected_at", "left")
     moved = F.col("moved_to").isNotNull()
     return joined.withColumn("collected_at", F.coalesce("moved_to", "collected_at")).withColumn("r1", moved).drop("moved_to")
@@ -83,7 +87,9 @@ def r2_code(df: DataFrame, codes: DataFrame = None) -> DataFrame:
 
     Only the readings that lack one are joined; the others pass by without a shuffle.
     """
-    codes = known_codes(df) if codes is None else codes
+    if codes is None:
+        df = materialise(df, "r1")
+        codes = materialise(known_codes(df), "codes")
     missing = F.col("station_code").isNull()
     filled = update_from(df.filter(missing), codes, "station_id", ["station_code"])
     filled = filled.withColumn("r2", F.col("station_code").isNotNull())
@@ -95,7 +101,9 @@ def r3_impute(df: DataFrame, neighbours: DataFrame = None) -> DataFrame:
 
     Only the readings to impute are joined with their neighbours.
     """
-    neighbours = with_neighbours(df, "bikes_electric", only_missing=True) if neighbours is None else neighbours
+    if neighbours is None:
+        df = materialise(df, "r2")
+        neighbours = materialise(with_neighbours(df, "bikes_electric", only_missing=True), "donors")
     donors = neighbours.select("row_id", F.coalesce("previous_value", "next_value").alias("donor"))
     missing = F.col("bikes_electric").isNull()
     # an unknown total leaves the neighbour's count as it is (least ignores NULL)

@@ -76,12 +76,15 @@ def base_indicators(tables: dict, until=None) -> DataFrame:
     return out
 
 
-def base_vs_base(live: dict, repaired: dict, until=None) -> DataFrame:
-    """Nine indicators of the live and the repaired base over the same period, with the difference."""
+def base_vs_base(live: dict, repaired: dict, until) -> DataFrame:
+    """Nine indicators of the live and the repaired base over the same period, with the difference.
+
+    ``until`` (a Column or value) ends the period on both sides: the latest collection that both have had the chance to load.
+    """
     spark = live["station"].sparkSession
     labels = fixed_rows(spark, enumerate(INDICATORS, 1), {"position": "int", "indicator": "string"})
     both = base_indicators(live, until).select("position", F.col("n").alias("live"), F.lit(0).cast("bigint").alias("repaired")).unionByName(
-        base_indicators(repaired).select("position", F.lit(0).cast("bigint").alias("live"), F.col("n").alias("repaired"))
+        base_indicators(repaired, until).select("position", F.lit(0).cast("bigint").alias("live"), F.col("n").alias("repaired"))
     ).groupBy("position").agg(F.sum("live").alias("live"), F.sum("repaired").alias("repaired"))
     return both.join(labels, "position").select(
         "position", "indicator", "live", "repaired", (F.col("repaired") - F.col("live")).alias("difference")

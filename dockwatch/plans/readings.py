@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from dockwatch import schemas as S
 from dockwatch.functions import text as X
 
 
@@ -42,7 +43,7 @@ def type_raw(df: DataFrame) -> DataFrame:
     return df.select(
         "row_id",
         X.soft_int("station_id").alias("station_id"), "station_code",
-        F.to_timestamp("collected_at").alias("collected_at"),
+        X.iso_ts("collected_at").alias("collected_at"),
         X.epoch_ts("updated_at").alias("updated_at"),
         *[X.soft_int(c).alias(c) for c in ("bikes_total", "bikes_mechanical", "bikes_electric", "docks_free")],
         *[(F.col(c) == "1").alias(c) for c in ("is_installed", "is_renting", "is_returning")],
@@ -62,11 +63,22 @@ def is_valid():
     return F.coalesce(condition, F.lit(False))
 
 
+def within_model():
+    """Lengths, integer ranges and coordinates that the target tables accept, as one SQL condition."""
+    town, station, reading = (S.TARGET_MODEL[t] for t in ("town", "station", "reading"))
+    limits = {**town["max_length"], **station["max_length"], "town_code": town["exact_length"]["town_code"]}
+    small = [*station["smallint"], *reading["smallint"], "bikes_mechanical", "bikes_electric"]
+    parts = [f"length(rtrim({c})) <= {n}" for c, n in limits.items()]
+    parts += [f"{c} BETWEEN -32768 AND 32767" for c in small]
+    parts += [station["checks"]["latitude range"], station["checks"]["longitude range"]]
+    return F.expr(" AND ".join(f"({p})" for p in parts))
+
+
 def loadable():
     """Further conditions the target tables set: without them one bad row would fail a whole batch."""
-    return (
+    return F.coalesce(
         F.col("is_renting").isNotNull() & F.col("is_returning").isNotNull()
-        & F.col("station_code").isNotNull() & F.col("town_name").isNotNull()
+        & F.col("station_code").isNotNull() & F.col("town_name").isNotNull() & within_model(), F.lit(False)
     )
 
 

@@ -1,7 +1,9 @@
 """Session settings and shared-storage tables that cut lineage."""
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,10 @@ def build_session(app_name="dockwatch", master=None, extra=None):
     return builder.getOrCreate()
 
 
+_local = threading.local()  # lists of the tables stored inside open scratch blocks, per thread
+_fallback = {}  # application id -> local folder, when the session names none
+
+
 def work_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the shared one the cluster names, else a local one.
 
@@ -34,21 +40,39 @@ def work_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="dockwatch-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    name = spark.sparkContext.applicationId
+    if name not in _fallback:
+        _fallback[name] = tempfile.mkdtemp(prefix="dockwatch-")
+    return _fallback[name]
 
 
 def _tables_of(spark: SparkSession) -> str:
     return f"{work_dir(spark)}/tables-{spark.sparkContext.applicationId}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application once its results are stored."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_tables_of(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_folder(spark, _tables_of(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables stored inside the block are deleted when it ends: what a long-running job makes per batch."""
+    stack = _local.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            delete_folder(spark, path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -59,6 +83,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_tables_of(spark)}/{name}-{uuid.uuid4().hex}"
+    for stored in _local.__dict__.get("stack", [])[-1:]:
+        stored.append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

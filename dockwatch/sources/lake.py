@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockwatch import schemas as S
 from dockwatch.functions import text as X
-from dockwatch.session import fixed_rows
+from dockwatch.session import delete_folder, fixed_rows
 
 # fixed value: zone files sit under date=YYYY-MM-DD and carry HHMMSS in their file or folder name
 FILE_KEY = r"date=(\d{4}-\d{2}-\d{2})/(?:[^/]*[_=])(\d{6})"
@@ -174,9 +174,54 @@ def read_batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def write_snapshot(df: DataFrame, path: str, name: str) -> None:
-    """A dimension as a new folder; the copy it was built from stays readable meanwhile."""
+def _children(spark: SparkSession, path: str) -> list:
+    """Names of the entries of one folder, without those that readers skip."""
+    if not exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = (s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder))
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def _move(spark: SparkSession, old: str, new: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    if not path(old).getFileSystem(spark._jsc.hadoopConfiguration()).rename(path(old), path(new)):
+        raise OSError(f"cannot move {old} to {new}")
+
+
+def compact_day(spark: SparkSession, path: str, day: str) -> bool:
+    """Rewrite all batches of one closed ``day`` into one folder; False when there is at most one.
+
+    The new files are complete under a hidden name before the old folders go, and an interrupted run is finished by
+    the next one, so no row is lost or doubled for good. Run it where no other job reads that day at the same time.
+    """
+    done, ready = f"{path}/date={day}/batch=compacted", f"{path}/_compacted-{day}"
+    if not exists(spark, f"{ready}/_SUCCESS"):
+        batches = _children(spark, f"{path}/date={day}")
+        if len(batches) < 2:
+            return False
+        rows = spark.read.option("basePath", path).parquet(f"{path}/date={day}").drop("date", "batch")
+        rows.repartition(max(1, len(batches) // 64)).write.mode("overwrite").parquet(ready)
+    for name in _children(spark, f"{path}/date={day}"):
+        delete_folder(spark, f"{path}/date={day}/{name}")
+    _move(spark, ready, done)
+    return True
+
+
+def compact_before(spark: SparkSession, path: str, day: str) -> list:
+    """Compact the days before ``day`` that hold more than one batch; one listing per day."""
+    days = [n.split("=", 1)[1] for n in _children(spark, path) if n.startswith("date=")]
+    return [d for d in days if d < day and compact_day(spark, path, d)]
+
+
+def write_snapshot(df: DataFrame, path: str, name: str, keep: int = 3) -> None:
+    """A dimension as a new folder; the copy it was built from stays readable meanwhile.
+
+    Only the newest ``keep`` snapshots stay.
+    """
     df.write.mode("errorifexists").parquet(f"{path}/snapshot={name}")
+    for old in _children(df.sparkSession, path)[:-keep]:
+        delete_folder(df.sparkSession, f"{path}/{old}")
 
 
 def read_snapshot(spark: SparkSession, path: str, like: DataFrame = None) -> DataFrame:
@@ -201,7 +246,7 @@ def write_target(tables: dict, root: str, name: str = "0") -> None:
 
 
 def read_target(spark: SparkSession, root: str) -> dict:
-    """The five target tables as DataFrames by name."""
+    """The five target tables as DataFrames by name; the facts keep the ``date`` they are stored by."""
     dimensions = {n: read_snapshot(spark, f"{root}/{n}") for n in ("town", "station")}
     facts = {n: spark.read.parquet(f"{root}/{n}").drop("batch") for n in ("reading", "reading_bikes")}
     types = fixed_rows(spark, S.BIKE_TYPES, {"bike_type_id": "int", "type_code": "string", "type_label": "string"})

@@ -6,20 +6,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockwatch import schemas as S
 from dockwatch.functions import text as X
-from dockwatch.sources.lake import FILE_KEY
+from dockwatch.sources.lake import FILE_KEY, _children
 
 
 def read_reference_versions(spark: SparkSession, path) -> DataFrame:
-    """Every row of every version, all text, with the full path and download time of its file.
+    """Every row of every version, all text, with the full path, download time and line position of its rows.
 
     The day folder and the HHMMSS of the file give the download time (UTC). A version is its full path, not its base name: two days may hold the same HHMMSS.
     """
-    raw = spark.read.schema(S.REFERENCE_CSV_SCHEMA).csv(path, sep=";", header=True, enforceSchema=True)
+    # the header is compared by name: a file with other columns, or in another order, fails instead of shifting values
+    raw = spark.read.schema(S.REFERENCE_CSV_SCHEMA).csv(path, sep=";", header=True, enforceSchema=False)
     file_path = F.col("_metadata.file_path")
     stamp = F.concat_ws(" ", F.regexp_extract(file_path, FILE_KEY, 1), F.regexp_extract(file_path, FILE_KEY, 2))
     return raw.select(
         *[X.blank_to_null(f).alias(c) for f, c in S.REFERENCE_CSV.items()],
         file_path.alias("version_file"),
+        # rows of one split are numbered in file order, and splits by their place in the file
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("line"),
         F.try_to_timestamp(F.concat(stamp, F.lit("+00")), F.lit("yyyy-MM-dd HHmmssx")).alias("version_ts"),
     )
 
@@ -27,28 +30,45 @@ def read_reference_versions(spark: SparkSession, path) -> DataFrame:
 def read_newest_version(spark: SparkSession, path: str, min_named: int = None) -> DataFrame:
     """Rows of the newest version only, found by file name: older files are not opened.
 
-    With ``min_named`` a blank newest file is passed over for the newest valid one. None when
-    there is no such version yet.
+    Days are tried from the newest on, and only the files of a tried day are listed. With ``min_named`` a blank
+    newest file is passed over for the newest valid one. None when there is no such version yet.
     """
-    by_key = {}
-    # one name per download on the driver, the same list the file scan itself needs
-    for name in spark.read.schema(S.REFERENCE_CSV_SCHEMA).csv(path).inputFiles():
-        found = re.search(FILE_KEY, name)
-        if found:
-            by_key.setdefault(found.groups(), []).append(name)
-    for key in sorted(by_key, reverse=True):
-        rows = read_reference_versions(spark, by_key[key])
-        if min_named is None or rows.filter(F.col("station_name").isNotNull()).count() >= min_named:
-            return one_row_per_code(rows)
+    for day in sorted((d for d in _children(spark, path) if d.startswith("date=")), reverse=True):
+        by_key = {}
+        for name in files_below(spark, f"{path}/{day}"):
+            found = re.search(FILE_KEY, name)
+            if found:
+                by_key.setdefault(found.groups(), []).append(name)
+        for key in sorted(by_key, reverse=True):
+            rows = read_reference_versions(spark, by_key[key])
+            if min_named is None or rows.filter(F.col("station_name").isNotNull()).count() >= min_named:
+                return one_row_per_code(rows)
     return None
 
 
+def files_below(spark: SparkSession, path: str) -> list:
+    """Full names of the data files in a folder and its subfolders."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found, out = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True), []
+    while found.hasNext():
+        file = found.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            out.append(file.toString())
+    return out
+
+
+def unplaced_files(spark: SparkSession, path: str) -> list:
+    """Reference files whose name gives no download time; they belong to no version."""
+    return [name for name in files_below(spark, path) if not re.search(FILE_KEY, name)]
+
+
 def one_row_per_code(rows: DataFrame) -> DataFrame:
-    """A code listed twice keeps a fixed row (greatest name) instead of the file's last line."""
+    """A code listed twice keeps its last line; rows that carry no line position keep a fixed row (greatest name)."""
     coded = rows.filter(F.col("station_code").isNotNull())
-    others = [c for c in rows.columns if c != "station_code"]
-    ranked = F.struct("station_name", *[c for c in others if c != "station_name"])
-    best = coded.groupBy("station_code").agg(F.max(ranked).alias("r"))
+    others = [c for c in rows.columns if c not in ("station_code", "line")]
+    values = F.struct("station_name", *[c for c in others if c != "station_name"])
+    best = coded.groupBy("station_code").agg(
+        (F.max_by(values, F.struct("version_file", "line")) if "line" in rows.columns else F.max(values)).alias("r"))
     return best.select("station_code", *[F.col(f"r.{c}").alias(c) for c in others])
 
 

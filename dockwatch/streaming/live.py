@@ -1,8 +1,8 @@
 """Live path: status messages to the raw and aggregated zones, then incremental cleaning and load."""
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from dockwatch import schemas as S
 from dockwatch.operators import load
@@ -11,7 +11,8 @@ from dockwatch.operators.relations import enrich_latest
 from dockwatch.plans.readings import observe_run, split_valid, type_readings
 from dockwatch.sources import lake
 from dockwatch.sources.reference import keep_groups, read_newest_version
-from dockwatch.session import materialise
+from dockwatch.operators.constraints import require_valid_dimensions
+from dockwatch.session import materialise, scratch
 
 POLL = "60 seconds"
 CLEANING_INTERVAL = "120 seconds"
@@ -37,8 +38,8 @@ def trigger_of(once: bool, interval: str) -> dict:
 
 
 def latest_codes(flat: DataFrame, known: DataFrame) -> DataFrame:
-    """Fill missing station codes from the (station id, code) pairs seen so far."""
-    pairs = known.groupBy("station_id").agg(F.max("station_code").alias("known_code"))
+    """Fill missing station codes with the last code seen per station id (``known``: station_id, station_code, seen_at)."""
+    pairs = known.groupBy("station_id").agg(F.max_by("station_code", F.struct("seen_at", "station_code")).alias("known_code"))
     lost = flat.filter(F.col("station_code").isNull()).join(pairs, "station_id", "left")
     return flat.filter(F.col("station_code").isNotNull()).unionByName(
         lost.withColumn("station_code", F.col("known_code")).drop("known_code")
@@ -48,16 +49,19 @@ def latest_codes(flat: DataFrame, known: DataFrame) -> DataFrame:
 def carry_code(batch: DataFrame, store: str) -> DataFrame:
     """Fill the codes of a micro-batch from all batches before it and remember its own new pairs.
 
-    The memory is a small append-only table of pairs: unlike keyed operator state it can be read
-    by other jobs and starts again from storage after a crash.
+    The memory is a table of one row per station id with its last known code and the time it was seen, stored as
+    snapshots: unlike keyed operator state it can be read by other jobs and starts again from storage after a crash.
+    A batch that is run again finds its own codes in it and gives the same rows.
     """
     spark = batch.sparkSession
     coded = batch.filter(F.col("station_code").isNotNull() & F.col("station_id").isNotNull())
-    pairs = coded.select("station_id", "station_code").distinct()
-    seen = spark.read.schema(pairs.schema).parquet(store) if lake.exists(spark, store) else None
-    fresh = pairs if seen is None else pairs.join(seen, ["station_id", "station_code"], "left_anti")
-    fresh.write.mode("append").parquet(store)
-    return latest_codes(batch, spark.read.schema(pairs.schema).parquet(store))
+    now = coded.groupBy("station_id").agg(
+        F.max_by("station_code", F.struct("collected_at", "station_code")).alias("station_code"), F.max("collected_at").alias("seen_at"))
+    seen = lake.read_snapshot(spark, store, now)
+    newest = seen.unionByName(now).groupBy("station_id").agg(
+        F.max_by("station_code", F.struct("seen_at", "station_code")).alias("station_code"), F.max("seen_at").alias("seen_at"))
+    lake.write_snapshot(newest, store, f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}")
+    return latest_codes(batch, lake.read_snapshot(spark, store, now))
 
 
 def process_batch(batch: DataFrame, root: str, reference_path: str, min_named: int = None, code_store: str = None,
@@ -76,7 +80,6 @@ def process_batch(batch: DataFrame, root: str, reference_path: str, min_named: i
         newest = read_newest_version(spark, reference_path, min_named)
         if newest is None:
             raise RuntimeError("no station reference yet")
-        newest = materialise(newest, "newest")
         written_at = datetime.now(timezone.utc)
         flat = lake.flatten_raw_status(kept.select("value"))
         if code_store:
@@ -94,14 +97,37 @@ def process_batch(batch: DataFrame, root: str, reference_path: str, min_named: i
 
 def run_two_zone_stream(messages: DataFrame, root: str, reference_path: str, checkpoint: str, once: bool = False,
                         min_named: int = None, code_store: str = None):
-    """Start the message stream. Offsets are committed after both zones are written (at least once)."""
-    def handle(batch, _batch_id):
-        process_batch(batch, root, reference_path, min_named, code_store)
+    """Start the message stream. Offsets are committed after both zones are written (at least once).
+
+    Each micro-batch adds a line with its messages and unmatched messages to ``stream_runs`` below ``root``; a batch that
+    is run again replaces its line. ``stream_report`` reads them beside the lag of the running query. How much one batch
+    takes is set where the messages are read (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
+    """
+    def handle(batch, batch_id):
+        spark = batch.sparkSession
+        if batch.isEmpty():
+            return
+        seen, started_at = Observation(), datetime.now(timezone.utc)
+        process_batch(batch, root, reference_path, min_named, code_store, seen)
+        label, counts = batch_label(spark, batch_id), seen.get
+        line = spark.createDataFrame([(label, started_at, counts["messages"], counts["unmatched"])], STREAM_LOG)
+        lake.write_batch(line.coalesce(1).withColumn("date", F.to_date("started_at")), f"{root}/stream_runs", label)
 
     return messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(
         **trigger_of(once, POLL)).start()
 
 
+STREAM_LOG = "run_id string, started_at timestamp, messages long, unmatched long"
+
+
+def stream_report(spark: SparkSession, root: str, query=None) -> DataFrame:
+    """Messages and unmatched messages per micro-batch, and the rows the given running query has still to read."""
+    lags = [int(v) for v in (lag_of(query) if query is not None else {}).values() if v is not None]
+    lag = F.lit(sum(lags) if lags else None).cast("bigint")
+    lines = spark.read.schema(STREAM_LOG).parquet(f"{root}/stream_runs")
+    return lines.select("run_id", "started_at", "messages", "unmatched", lag.alias("lag"))
+
+
 def dedup_stream(df: DataFrame, delay: str, time: str = "collected_at") -> DataFrame:
     """Drop repeated messages inside the watermark; what slips through is stopped by the load."""
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(["station_id", time])
@@ -112,10 +138,18 @@ def load_batch(batch: DataFrame, root: str, label: str = "batch", drop_silent: b
 
     Everything a batch writes sits in folders of its own ``label``, so a batch that is run again
     replaces its own rows; rows of other batches are left out by an anti join. The dimensions are
-    written as new snapshots, never in place.
+    written as new snapshots, never in place. A row that the target could not take is rejected before; should the
+    dimensions still break a rule of the model, the batch stops before anything is written.
     """
+    with scratch(batch.sparkSession):
+        return _load_batch(batch, root, label, drop_silent)
+
+
+def _load_batch(batch: DataFrame, root: str, label: str, drop_silent: bool) -> dict:
     spark = batch.sparkSession
     started_at = datetime.now(timezone.utc)
+    files = batch.select(F.input_file_name().alias("file")).filter("file <> ''").distinct()
+    n_files = files.count()
     observed, seen = observe_run(type_readings(batch), f"load-{label}-{started_at:%H%M%S%f}", drop_silent)
     usable, _ = split_valid(observed, drop_silent)
     staged = materialise(usable, "staged")
@@ -124,13 +158,16 @@ def load_batch(batch: DataFrame, root: str, label: str = "batch", drop_silent: b
     types = load.seed_types(spark)
     target = f"{root}/target"
     towns = lake.read_snapshot(spark, f"{target}/town", load.towns_of(staged))
-    stations = lake.read_snapshot(spark, f"{target}/station", staged.select(*load.STATION_COLUMNS))
+    stations = lake.read_snapshot(spark, f"{target}/station", staged.select(*load.STATION_COLUMNS, F.col("collected_at").alias("seen_at")))
     snapshot = f"{started_at:%Y%m%dT%H%M%S%f}"
-    lake.write_snapshot(load.insert_absent(towns, load.towns_of(staged), "town_code", ["town_name"]), f"{target}/town", snapshot)
-    lake.write_snapshot(
+    towns_now = materialise(load.insert_absent(towns, load.towns_of(staged), "town_code", ["town_name"]), "town")
+    stations_now = materialise(
         load.upsert_latest(stations, staged, "station_id", ["collected_at", "updated_at", "station_code"],
-                           ["station_name", "latitude", "longitude", "capacity", "town_code"]),
-        f"{target}/station", snapshot)
+                           ["station_name", "latitude", "longitude", "capacity", "town_code"]), "station")
+    require_valid_dimensions({"town": towns_now, "station": stations_now, "bike_type": types})
+    if not lake.exists(spark, f"{target}/town") or towns_now.count() != towns.count():  # towns are only ever added
+        lake.write_snapshot(towns_now, f"{target}/town", snapshot)
+    lake.write_snapshot(stations_now, f"{target}/station", snapshot)
 
     numbered = load.with_reading_id(staged).withColumn("date", F.to_date("collected_at"))
     known = lake.read_batches(spark, f"{target}/reading", numbered.select(*load.READING_COLUMNS, "date"))
@@ -146,7 +183,7 @@ def load_batch(batch: DataFrame, root: str, label: str = "batch", drop_silent: b
     n_loaded = inserted.count()
     run = {
         "run_id": label, "started_at": started_at, "ended_at": datetime.now(timezone.utc),
-        "files": len(batch.inputFiles()), "rows_raw": counts["rows_raw"], "rows_rejected": counts["rows_rejected"],
+        "files": n_files, "rows_raw": counts["rows_raw"], "rows_rejected": counts["rows_rejected"],
         "rows_duplicate": counts["rows_raw"] - counts["rows_rejected"] - n_loaded, "rows_loaded": n_loaded,
     }
     load.record_run(spark, f"{root}/runs", run)
@@ -159,13 +196,32 @@ def batch_label(spark: SparkSession, batch_id: int) -> str:
     return f"{query}-{batch_id}"
 
 
-def run_incremental(spark: SparkSession, root: str, checkpoint: str, once: bool = True, drop_silent: bool = False):
-    """Start the cleaning job over files of the aggregated zone it has not read yet."""
-    source = spark.readStream.schema(S.AGGREGATED_SCHEMA).json(f"{root}/aggregated")
+BATCHED = ("target/reading", "target/reading_bikes", "clean/readings", "runs", "stream_runs")
+
+
+def compact_closed(spark: SparkSession, root: str, before) -> dict:
+    """Join the per-batch folders of the days before ``before`` (a date) in every table the live path writes."""
+    return {name: lake.compact_before(spark, f"{root}/{name}", f"{before:%Y-%m-%d}") for name in BATCHED}
+
+
+def run_incremental(spark: SparkSession, root: str, checkpoint: str, once: bool = True, drop_silent: bool = False, compact: bool = True,
+                    **options):
+    """Start the cleaning job over files of the aggregated zone it has not read yet.
+
+    ``options`` go to the file source, for example ``maxFilesPerTrigger``: a long history then comes in many batches.
+    With ``compact`` the first batch of a calendar day joins the folders of the days that ended two days before, between
+    its own reads and writes, so no other job should read those days at that moment.
+    """
+    source = spark.readStream.schema(S.AGGREGATED_SCHEMA).options(**options).json(f"{root}/aggregated")
+    last = []
     renamed = source.select(*[F.col(f).alias(c) for f, c in S.AGGREGATED_FIELDS.items()])
 
     def handle(batch, batch_id):
         if not batch.isEmpty():
+            today = datetime.now(timezone.utc).date()
+            if compact and last != [today]:
+                last[:] = [today]
+                compact_closed(spark, root, today - timedelta(days=1))
             load_batch(batch, root, batch_label(spark, batch_id), drop_silent)
 
     return renamed.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(
@@ -179,4 +235,8 @@ def enrich_asof(flat: DataFrame, reference: DataFrame, min_named: int = None) ->
     picks = asof_version(timed, usable, time="at", fallback=True)
     columns = ["station_code", "station_name", "capacity", "coordinates", "town_name", "town_code", "version_ts"]
     named = usable.filter(F.col("station_code").isNotNull()).select(*columns)
-    return timed.join(picks, "at", "left").join(named, ["version_ts", "station_code"], "left").drop("version_ts", "at")
+    # messages without a code match nothing: they pass by the join instead of meeting in one task
+    placed = timed.join(picks, "at", "left")
+    coded = placed.filter(F.col("station_code").isNotNull()).join(named, ["version_ts", "station_code"], "left")
+    lost = placed.filter(F.col("station_code").isNull())
+    return coded.unionByName(lost, allowMissingColumns=True).drop("version_ts", "at")

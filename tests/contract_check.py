@@ -24,7 +24,7 @@ def connect(sf_dir):
 
 
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
-         "timestamp_ntz": "TIMESTAMP", "date": "DATE", "smallint": "SMALLINT", "decimal(10,2)": "DECIMAL(10,2)"}
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE", "smallint": "SMALLINT", "decimal(10,2)": "DECIMAL(10,2)", "decimal(38,0)": "DECIMAL(38,0)"}
 
 
 def normal(value):

@@ -68,6 +68,9 @@ def test_live_path(spark, tmp_path):
     log = load.read_runs(spark, f"{root}/runs").collect()
     assert [(r.rows_raw, r.rows_rejected, r.rows_duplicate, r.rows_loaded) for r in log] == [(5, 2, 1, 2)]
 
+    report = live.stream_report(spark, root).collect()
+    assert [(r.messages, r.unmatched) for r in report] == [(5, 1)]
+
     # a second batch with one known and one new reading, and a renamed station
     version(tmp_path, "2024-01-01", "010000", ["A;Stop A2;12;48.8, 2.3;Town;75001"])
     topic(tmp_path, "t2", [message(1, "A", 1), message(1, "A", 2)])
@@ -96,13 +99,122 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
 
 def test_codes_are_carried_between_batches(spark, tmp_path):
     store = str(tmp_path / "codes")
-    columns = "station_id string, station_code string"
-    first = live.carry_code(spark.createDataFrame([("1", "A"), ("2", None)], columns), store)
-    assert rows(first) == [("1", "A"), ("2", None)]
-    second = live.carry_code(spark.createDataFrame([("1", None), ("2", "B")], columns), store)
-    assert rows(second) == [("1", "A"), ("2", "B")]
-    third = live.carry_code(spark.createDataFrame([("2", None)], columns), store)
-    assert rows(third) == [("2", "B")]
+    def carried(*batch):
+        frame = spark.createDataFrame(list(batch), "station_id string, station_code string, collected_at string")
+        return rows(live.carry_code(frame, store), "station_id", "station_code")
+
+    assert carried(("1", "Z", "2024-01-01T00"), ("2", None, "2024-01-01T00")) == sorted([("1", "Z"), ("2", None)], key=repr)
+    assert carried(("1", None, "2024-01-01T01"), ("2", "B", "2024-01-01T01")) == [("1", "Z"), ("2", "B")]
+    # the last code counts, not the greatest, and a late one changes nothing
+    assert carried(("1", "A", "2024-01-01T02")) == [("1", "A")]
+    assert carried(("1", "Y", "2023-12-31T00"), ("1", None, "2024-01-01T03"), ("2", None, "2024-01-01T03")) == [("1", "A"), ("1", "Y"), ("2", "B")]
+    for n in range(6):
+        carried(("1", f"N{n}", f"2024-01-02T0{n}"))
+    assert len(list((tmp_path / "codes").glob("snapshot=*"))) == 3
+
+
+def batch_of(spark, *messages):
+    """Aggregated-zone rows: (station id, minute, mechanical, change of other fields)."""
+    names = ["station_id", "station_code", "collected_at", "updated_at", "bikes_mechanical", "bikes_electric", "docks_free", "is_installed", "is_renting",
+             "is_returning", "station_name", "capacity", "coordinates", "town_name", "town_code"]
+    made = []
+    for station, at, mechanical, change in messages:
+        row = dict(zip(names, (str(station), f"C{station % 1000}", at, "1704067200", str(mechanical), "2", "3", "1", "1", "1", "S", "10", "48.8, 2.3", "T", "75001")))
+        made.append(tuple({**row, **change}[n] for n in names))
+    return spark.createDataFrame(made, ", ".join(f"{n} string" for n in names))
+
+
+def test_no_bikes_are_lost(spark, tmp_path):
+    """Large station ids and fractions of a second keep their type rows, and what the model refuses is rejected."""
+    stations = [5, 5_000_000_001, (1 << 63) - 1]
+    times = ["2024-01-01T00:00:00+00:00", "2024-01-01T00:00:00.000001+00:00"]
+    batch = batch_of(spark, *[(s, t, 3, {}) for s in stations for t in times], (6, times[0], 1, {"station_name": "n" * 151}), (7, times[0], 40000, {}))
+    run_row = live.load_batch(batch, str(tmp_path), "q-0")
+    assert (run_row["rows_loaded"], run_row["rows_rejected"]) == (6, 2)
+    view = load.flat_view(lake.read_target(spark, f"{tmp_path}/target"))
+    assert rows(view, "bikes_total") == [(5,)] * 6 and view.filter("reading_id is null").count() == 0
+
+
+def test_broken_dimension_stops_the_batch(spark, tmp_path):
+    import pytest
+
+    from dockwatch.operators.constraints import ConstraintViolation
+
+    at = "2024-01-01T00:00:00+00:00"
+    with pytest.raises(ConstraintViolation, match="unique station_code"):
+        live.load_batch(batch_of(spark, (1, at, 1, {}), (2, at, 1, {"station_code": "C1"})), str(tmp_path), "q-0")
+    assert not (tmp_path / "target").exists()
+
+
+def test_state_stays_bounded(spark, tmp_path):
+    """Twenty batches over two days: intermediate tables go, snapshots are pruned, closed days are joined."""
+    from dockwatch.session import work_dir
+
+    def intermediate():
+        import glob
+        return len(glob.glob(f"{work_dir(spark)}/tables-*/*"))
+
+    before = intermediate()
+    for n in range(20):
+        at = f"2024-01-0{1 + n // 10}T00:{n:02d}:00+00:00"
+        live.load_batch(batch_of(spark, (1, at, n, {}), (2, at, n, {})), str(tmp_path), f"q-{n}")
+        if n == 9:
+            late = live.load_batch(batch_of(spark, (1, "2023-12-31T00:00:00+00:00", 1, {"station_name": "Old"})), str(tmp_path), "q-late")
+            assert late["rows_loaded"] == 1
+    assert intermediate() == before
+    assert len(list((tmp_path / "target/station").glob("snapshot=*"))) == 3 and len(list((tmp_path / "target/town").glob("snapshot=*"))) == 1
+    tables = lake.read_target(spark, f"{tmp_path}/target")
+    assert {r.station_name for r in tables["station"].collect()} == {"S"}
+    view = rows(load.flat_view(tables), "reading_id", "bikes_total", "date")
+    assert len(view) == 41
+    folders = lambda day: len(list((tmp_path / f"target/reading/date={day}").glob("batch=*")))
+    assert (folders("2024-01-01"), folders("2024-01-02")) == (10, 10)
+    live.compact_closed(spark, str(tmp_path), datetime(2024, 1, 2))
+    assert (folders("2024-01-01"), folders("2024-01-02")) == (1, 10)
+    assert rows(load.flat_view(lake.read_target(spark, f"{tmp_path}/target")), "reading_id", "bikes_total", "date") == view
+    # a batch that is run again after that adds nothing, and a stopped compaction is finished
+    again = live.load_batch(batch_of(spark, (1, "2024-01-01T00:00:00+00:00", 0, {}), (2, "2024-01-01T00:00:00+00:00", 0, {})), str(tmp_path), "q-0")
+    assert again["rows_loaded"] == 0
+    reading = f"{tmp_path}/target/reading"
+    lake._move(spark, f"{reading}/date=2024-01-01/batch=compacted", f"{reading}/_compacted-2024-01-01")
+    lake.compact_before(spark, reading, "2024-01-02")
+    assert rows(load.flat_view(lake.read_target(spark, f"{tmp_path}/target")), "reading_id", "bikes_total", "date") == view
+    assert load.read_runs(spark, f"{tmp_path}/runs").count() == 21
+
+
+def test_reads_of_the_view_are_cut_by_day(spark, tmp_path):
+    """Both fact tables get partition filters in the reports of the stored target."""
+    from dockwatch.operators.relations import latest_state
+    from dockwatch.plans.availability import series_24h
+
+    for n in (1, 2, 3):
+        live.load_batch(batch_of(spark, (1, f"2024-01-0{n}T00:00:00+00:00", n, {})), str(tmp_path), f"q-{n}")
+    tables = lake.read_target(spark, f"{tmp_path}/target")
+
+    def day_filters(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.splitlines() if "FileScan parquet" in line and ("collected_at#" in line or "bikes#" in line) and "PartitionFilters: []" not in line]
+
+    series = series_24h(load.flat_view(tables), datetime(2024, 1, 3, 12))
+    assert len(day_filters(series)) == 2 and [r.mechanical for r in series.collect()] == [3]
+    state = latest_state(tables)
+    assert len([line for line in day_filters(state) if "date" in line]) >= 2 and [r.bikes_total for r in state.collect()] == [5]
+
+
+def test_reference_header_and_repeated_code(spark, tmp_path):
+    import pytest
+
+    version(tmp_path, "2024-01-01", "060000", ["A;Zed;10;48.8, 2.3;Town;75001", "B;B;1;48.8, 2.3;Town;75001", "A;Last;11;48.8, 2.3;Town;75001"])
+    path = str(tmp_path / "raw/source2")
+    assert rows(reference.read_newest_version(spark, path), "station_code", "station_name") == [("A", "Last"), ("B", "B")]
+    assert rows(reference.newest_version(reference.read_reference_versions(spark, path)), "station_code", "station_name") == [("A", "Last"), ("B", "B")]
+    (tmp_path / "raw/source2/notes.csv").write_text(HEADER)
+    assert [name.rsplit("/", 1)[1] for name in reference.unplaced_files(spark, path)] == ["notes.csv"]
+    folder = tmp_path / "other/date=2024-01-01"
+    folder.mkdir(parents=True)
+    (folder / "stations_060000.csv").write_text("name;stationcode;capacity;coordonnees_geo;nom_arrondissement_communes;code_insee_commune\nB;A;1;x;T;75001\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        reference.read_reference_versions(spark, str(tmp_path / "other")).collect()
 
 
 def test_enrichment_by_collection_time(spark):

@@ -35,10 +35,24 @@ def test_insert_new_readings(spark):
 
 
 def test_reading_ids(spark):
-    data = [(5, T0), (load.MAX_STATION_ID, T0), (load.MAX_STATION_ID + 1, T0), (-1, T0), (5, T0 + timedelta(microseconds=1)), (None, T0)]
-    got = load.with_reading_id(spark.createDataFrame(data, "station_id long, collected_at timestamp")).collect()
-    seconds = int((T0 - datetime(1970, 1, 1)).total_seconds())
-    assert [r.reading_id for r in got] == [(5 << 33) + seconds, (load.MAX_STATION_ID << 33) + seconds, None, None, None, None]
+    """Every station id and microsecond has an id of its own; only a missing part gives none."""
+    ends = [0, 5, -1, 1 << 30, 5_000_000_000, (1 << 63) - 1, -(1 << 63)]
+    times = [T0, T0 + timedelta(microseconds=1), datetime(1, 1, 2), datetime(9999, 12, 30, 23, 59, 59, 999999), datetime(1969, 12, 31, 23, 59, 59)]
+    data = [(s, t) for s in ends for t in times] + [(None, T0), (5, None)]
+    got = load.with_reading_id(spark.createDataFrame(data, "station_id long, collected_at timestamp_ntz")).collect()
+    ids = [int(r.reading_id) for r in got[:-2]]
+    assert len(set(ids)) == len(ids) and [r.reading_id for r in got[-2:]] == [None, None]
+    micros = (T0 - datetime(1, 1, 1)) // timedelta(microseconds=1)
+    assert ids[0] == micros and ids[len(times)] == 5 * 10**18 + micros
+
+
+def test_late_rows_leave_newer_attributes(spark):
+    target = spark.createDataFrame([(1, "old", T0 + timedelta(days=5)), (2, "old", None)], "station_id long, station_name string, seen_at timestamp")
+    new = spark.createDataFrame([(1, "late", T0), (2, "first", T0), (3, "new", T0)], "station_id long, station_name string, collected_at timestamp")
+    once = load.upsert_latest(target, new, "station_id", ["collected_at"], ["station_name"])
+    assert rows(once.select("station_id", "station_name")) == [(1, "old"), (2, "first"), (3, "new")]
+    later = new.withColumn("collected_at", F.lit(T0 + timedelta(days=6))).withColumn("station_name", F.lit("newest"))
+    assert rows(load.upsert_latest(once, later, "station_id", ["collected_at"], ["station_name"]).select("station_name")) == [("newest",)] * 3
 
 
 def test_station_dim_keeps_older_usable_version(spark):
@@ -60,7 +74,9 @@ GOOD = dict(station_id="1", station_code="A", station_name="S", coordinates="48.
     ({"capacity": "0"}, "invalid"), ({"capacity": None}, "invalid"), ({"docks_free": "-1"}, "invalid"), ({"docks_free": None}, "invalid"),
     ({"bikes_mechanical": "-1"}, "invalid"), ({"bikes_electric": "-1"}, "invalid"), ({"is_installed": None}, "invalid"),
     ({"bikes_mechanical": None}, None), ({"is_renting": None}, "not loadable"), ({"is_returning": ""}, "not loadable"),
-    ({"station_code": None}, "not loadable"),
+    ({"station_code": None}, "not loadable"), ({"station_code": "c" * 11}, "not loadable"), ({"station_name": "n" * 151}, "not loadable"),
+    ({"town_name": "t" * 101}, "not loadable"), ({"town_code": "750561"}, None), ({"capacity": "40000"}, "not loadable"),
+    ({"docks_free": "40000"}, "not loadable"), ({"bikes_electric": "40000"}, "not loadable"), ({"coordinates": "95.0, 2.3"}, "not loadable"),
 ])
 def test_validity(spark, change, reason):
     row = {**GOOD, **change}

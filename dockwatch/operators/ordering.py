@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-# rows of one instant are cut into blocks of at most 2^20 row ids
-BLOCK_BITS = 20
+# rows of one instant are cut into blocks of at most this many row ids (a power of two)
+BLOCK_ROWS = 1 << 20
 
 
 def _pick(df: DataFrame, keys, order, chooser) -> DataFrame:
@@ -79,7 +79,7 @@ def with_neighbours(df: DataFrame, value: str, key="station_id", time="collected
     """
     narrow = df.select(
         F.col(key).alias("k"), F.col(time).alias("t"), F.col(row_id).alias("id"), F.col(value).alias("v"),
-        F.shiftright(F.col(row_id), BLOCK_BITS).alias("b"),
+        F.shiftright(F.col(row_id), BLOCK_ROWS.bit_length() - 1).alias("b"),
     )
     rows = Window.partitionBy("k", "t", "b").orderBy("id")
     inside = narrow.select(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from dockwatch.session import materialise
 
-__all__ = ["hashed_sample", "materialise", "read_table", "repeat_rows", "utf8_array"]
+__all__ = ["hashed_sample", "split_by_ids", "materialise", "read_table", "repeat_rows", "utf8_array"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,30 @@ def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key).cast("string")), F.col(key)).limit(rows)
 
 
+#: Bits of the map that ``split_by_ids`` broadcasts: at most BITS / 64 rows of 16 bytes, 4 MB, whatever the data.
+ID_BITS = 1 << 24
+
+
+def split_by_ids(df: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` that may have their ``key`` among ``ids`` and rows that surely have not, columns unchanged.
+
+    A bit map of hashed ids is broadcast, so an exact join that follows need not shuffle the texts of all rows, only those
+    of the first frame. With very many ids all bits are set and all rows are in the first frame, which is still right.
+    """
+    place = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(ID_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    word = F.floor(place / 64).cast("int")
+    columns = df.columns
+    name = "_word"
+    while name in {c.lower() for c in columns}:
+        name = "_" + name
+    words = ids.where(F.col(key).isNotNull()).select(word.alias(name), bit.alias(f"{name}_bit")).groupBy(name).agg(F.bit_or(f"{name}_bit").alias(f"{name}_bits"))
+    words = materialise(words, "id_bits")
+    marked = df.withColumn(name, word).join(F.broadcast(words), name, "left")
+    hit = F.col(key).isNotNull() & (F.coalesce(F.col(f"{name}_bits"), F.lit(0).cast("long")).bitwiseAND(bit) != 0)
+    return marked.where(hit).select(columns), marked.where(~hit).select(columns)
+
+
 def utf8_array(column):
     """An Arrow string column (plain or large) as text bytes and offsets; a null is an empty text."""
     import numpy as np

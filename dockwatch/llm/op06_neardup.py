@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockwatch.llm.common import materialise, utf8_array
+from dockwatch.llm.common import materialise, split_by_ids, utf8_array
 from dockwatch.llm.components import components
 from dockwatch.llm.textscan import STEP, mix, shingle_set, slices, span_hashes, words
 from dockwatch.llm.tokens import ragged
@@ -201,7 +201,8 @@ def near_duplicates(df: DataFrame, k=5, num=4, den=5, id_col="doc_id", text_col=
     stars = materialise(members.join(hubs, "key").where("rep <> hub").select("hub", "rep").distinct(), "stars")
 
     nodes = materialise(stars.select(F.col("hub").alias("id")).union(stars.select(F.col("rep").alias("id"))).distinct(), "nodes")
-    sets = full_sets(docs.join(nodes, "id"), k).join(classes.select(F.col("rep").alias("id"), "f1", "f2"), ["id", "f1", "f2"])
+    involved, _ = split_by_ids(docs, "id", nodes)
+    sets = full_sets(involved.join(nodes, "id"), k).join(classes.select(F.col("rep").alias("id"), "f1", "f2"), ["id", "f1", "f2"])
     sets = materialise(sets.dropDuplicates(["id", "f1", "f2"]).select("id", "members"), "sets")
     pairs = (stars.join(sets.select(F.col("id").alias("rep"), F.col("members").alias("right")), "rep")
              .join(sets.select(F.col("id").alias("hub"), F.col("members").alias("left")), "hub")
@@ -245,7 +246,8 @@ def keep_one(df: DataFrame, k=5, num=4, den=5, id_col="doc_id", text_col="text")
     """
     found = materialise(near_duplicates(df, k, num, den, id_col, text_col), "groups")
     gone = found.where("not kept").select(F.col(id_col)).distinct()
-    left = df.join(gone, id_col, "left_anti").select(df.columns)
+    maybe, stay = split_by_ids(df, id_col, gone)
+    left = stay.unionByName(maybe.join(gone, id_col, "left_anti").select(df.columns))
     repeated = materialise(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "repeated")
     if repeated.isEmpty():
         return left

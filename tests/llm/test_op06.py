@@ -80,3 +80,15 @@ def test_signature_estimates_similarity():
             s = one_permutation([np.unique(base), np.unique(other)], 252)
             agree.append((s[0] == s[1]).mean())
         assert abs(np.mean(agree) - 0.9 / 1.1) < 0.03
+
+
+def test_split_by_ids(spark):
+    from dockwatch.llm.common import split_by_ids
+
+    df = spark.createDataFrame([(i if i else None, f"t{i}") for i in range(3000)], "doc_id long, _word string")
+    ids = spark.createDataFrame([(i,) for i in range(-5, 3000, 7)] + [(None,)], "doc_id long")
+    maybe, not_there = split_by_ids(df, "doc_id", ids)
+    a, b = [r.doc_id for r in maybe.collect()], [r.doc_id for r in not_there.collect()]
+    assert len(a) + len(b) == 3000 and maybe.columns == df.columns
+    wanted = {i for i in range(-5, 3000, 7) if i > 0}
+    assert wanted <= set(a) and len(a) < len(wanted) + 30 and None in b

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from dockwatch.session import materialise
 
-__all__ = ["hashed_sample", "split_by_ids", "materialise", "read_table", "repeat_rows", "utf8_array"]
+__all__ = ["hashed_sample", "lean", "split_by_ids", "materialise", "read_table", "repeat_rows", "utf8_array"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,22 @@ def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key).cast("string")), F.col(key)).limit(rows)
 
 
+def lean(run):
+    """A ``mapInArrow`` function that hands freed batch memory back, so that waiting workers hold little."""
+    import pyarrow as pa
+
+    def wrapped(batches):
+        def given():
+            for batch in batches:
+                yield batch
+                pa.default_memory_pool().release_unused()
+
+        yield from run(given())
+        pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 #: Bits of the map that ``split_by_ids`` broadcasts: at most BITS / 64 rows of 16 bytes, 4 MB, whatever the data.
 ID_BITS = 1 << 24
 
@@ -78,4 +94,4 @@ def repeat_rows(df: DataFrame, text_col: str, counts, others=()) -> DataFrame:
                 n = counts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], *(part.column(c) for c in rest))
                 yield part.take(np.repeat(np.arange(b - a), np.asarray(n, np.int64)))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(lean(run), df.schema)

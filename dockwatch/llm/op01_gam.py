@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockwatch.llm.common import hashed_sample, materialise, repeat_rows, utf8_array
+from dockwatch.llm.common import hashed_sample, lean, materialise, repeat_rows, utf8_array
 from dockwatch.llm.op05_rules import Texts
 from dockwatch.llm.textscan import slices, span_hashes
 
@@ -71,7 +71,7 @@ def feature_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), rows], ["id", "x"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, x array<float>")
+    return rows.mapInArrow(lean(run), "id long, x array<float>")
 
 
 def _best_cut(g, h, ridge):
@@ -239,7 +239,7 @@ def quality_scores(df: DataFrame, labels: DataFrame, label_col="quality", id_col
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(model.score(x))], ["id", "score"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    scored = rows.mapInArrow(run, "id long, score double")
+    scored = rows.mapInArrow(lean(run), "id long, score double")
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

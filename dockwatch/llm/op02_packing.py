@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockwatch.llm.common import materialise, utf8_array
+from dockwatch.llm.common import lean, materialise, utf8_array
 from dockwatch.llm.op09_shards import BUCKET_ROWS, MAX_BUCKETS, with_offset
 from dockwatch.llm.tokens import encoder as encoder_of
 
@@ -66,7 +66,7 @@ def token_lengths(df: DataFrame, tokenizer: str, id_col: str, text_col: str) ->
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(at) + 1)], ["id", "n_tokens"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, n_tokens long")
+    return rows.mapInArrow(lean(run), "id long, n_tokens long")
 
 
 def pack(lengths: DataFrame, buckets=BUCKETS, budget=TOKEN_BUDGET, seed=29, bucket_rows=BUCKET_ROWS) -> DataFrame:

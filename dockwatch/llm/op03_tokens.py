@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dockwatch.llm.common import hashed_sample, materialise, utf8_array
+from dockwatch.llm.common import hashed_sample, lean, materialise, utf8_array
 from dockwatch.llm.tokens import encoder as encoder_of
 from dockwatch.session import work_dir
 
@@ -97,7 +97,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, id_col="doc_id", text
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(np.diff(at)), pa.array(packed, pa.binary())], ["id", "n_tokens", "frame"])
 
-    frames = materialise(given.mapInArrow(compress, "id long, n_tokens long, frame binary"), "frames")
+    frames = materialise(given.mapInArrow(lean(compress), "id long, n_tokens long, frame binary"), "frames")
     size = frames.agg(F.coalesce(F.sum(F.length("frame")), F.lit(0))).first()[0]
     parts = max(1, -(-size // part_bytes), min(spark.sparkContext.defaultParallelism, size >> 20))
     # the hash of the frame lets one id with very many rows lie in several parts
@@ -127,7 +127,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, id_col="doc_id", text
         if ids:
             yield close()
 
-    ordered.mapInArrow(segments, SEGMENTS).write.options(**WRITE).parquet(f"{path}/segments")
+    ordered.mapInArrow(lean(segments), SEGMENTS).write.options(**WRITE).parquet(f"{path}/segments")
     written = spark.read.schema(SEGMENTS).parquet(f"{path}/segments")
     totals = written.groupBy("part").agg(F.sum(F.expr("aggregate(n_tokens, 0L, (s, n) -> s + n)")).alias("tokens"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
@@ -185,7 +185,7 @@ def read_tokens(spark: SparkSession, path: str, only_id=None, digest=False) -> D
                     yield decoded(out, digest)
 
     last = "ids_crc32 long" if digest else "ids array<long>"
-    return rows.mapInArrow(decode, f"doc_id long, start long, n_tokens long, {last}")
+    return rows.mapInArrow(lean(decode), f"doc_id long, start long, n_tokens long, {last}")
 
 
 def decoded(out, digest):

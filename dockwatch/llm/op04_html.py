@@ -17,7 +17,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockwatch.llm.common import hashed_sample, materialise
+from dockwatch.llm.common import hashed_sample, lean, materialise
 from dockwatch.llm.html_blocks import Paths, blocks
 from dockwatch.llm.textscan import mix, span_hashes, words
 
@@ -334,11 +334,11 @@ def extract_main_text(df: DataFrame, id_col="page_id", url_col="url", html_col="
                     describer = Describer()
 
     kinds = {f.name: f.dataType.simpleString() for f in given.schema}
-    out = given.mapInArrow(run, f"id {kinds['id']}, url {kinds['url']}, text string, n_chars long")
+    out = given.mapInArrow(lean(run), f"id {kinds['id']}, url {kinds['url']}, text string, n_chars long")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")
 
 
-def page_slices(column, limit=4 << 20):
+def page_slices(column, limit=1 << 20):
     """Ranges of pages of about ``limit`` characters."""
     start, held = 0, 0
     for i, size in enumerate(pa.compute.utf8_length(column).to_pylist()):

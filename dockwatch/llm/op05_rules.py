@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockwatch.llm.common import hashed_sample, repeat_rows, utf8_array
+from dockwatch.llm.common import hashed_sample, lean, repeat_rows, utf8_array
 from dockwatch.llm.textscan import slices, span_hashes, windows, words
 
 #: Rows timed to order the rules; a longer text than SAMPLE_CHARS is not timed (it is judged like any other).
@@ -205,7 +205,7 @@ def quality_rules(df: DataFrame, id_col="doc_id", text_col="text", rules=None, r
                     [batch.column(0).slice(a, b - a), *shown, pa.array(verdict < 0), names],
                     [id_col, *report, "kept", "rule"])
 
-    return df.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(judge, schema)
+    return df.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(lean(judge), schema)
 
 
 def keep_passing(df: DataFrame, id_col="doc_id", text_col="text", rules=None, order=None) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockwatch.llm.common import materialise, split_by_ids, utf8_array
+from dockwatch.llm.common import lean, materialise, split_by_ids, utf8_array
 from dockwatch.llm.components import components
 from dockwatch.llm.textscan import STEP, mix, shingle_set, slices, span_hashes, words
 from dockwatch.llm.tokens import ragged
@@ -104,7 +104,7 @@ def sketch(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                     [ids, pa.array(size), pa.array(f1), pa.array(f2), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))],
                     ["id", "n", "f1", "f2", "bands"])
 
-    return docs.mapInArrow(run, "id long, n long, f1 long, f2 long, bands array<long>")
+    return docs.mapInArrow(lean(run), "id long, n long, f1 long, f2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -117,7 +117,7 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(f1), pa.array(f2), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "f1", "f2", "members"])
 
-    return docs.mapInArrow(run, "id long, f1 long, f2 long, members binary")
+    return docs.mapInArrow(lean(run), "id long, f1 long, f2 long, members binary")
 
 
 def confirm(pairs: DataFrame) -> DataFrame:
@@ -140,7 +140,7 @@ def confirm(pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(inter, pa.int64()), pa.array(total, pa.int64())], ["a", "b", "inter", "total"])
 
-    return pairs.select("a", "b", "left", "right").mapInArrow(run, "a long, b long, inter long, total long")
+    return pairs.select("a", "b", "left", "right").mapInArrow(lean(run), "a long, b long, inter long, total long")
 
 
 def block_links(num: int, den: int):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockwatch.llm.common import hashed_sample, materialise, repeat_rows, utf8_array
+from dockwatch.llm.common import hashed_sample, lean, materialise, repeat_rows, utf8_array
 from dockwatch.llm.textscan import mix, slices, span_hashes, words
 
 #: Labelled rows that teach at most; the posteriors then cover all documents.
@@ -106,7 +106,7 @@ def fit_domains(df: DataFrame, labelled: DataFrame, id_col: str, text_col: str,
                     batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * KINDS), pa.array(shares.ravel())),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(slot.astype(np.int32)))], ["id", "shares", "slots"])
 
-    described = texts.join(known.select("id"), "id", "left_semi").mapInArrow(run, "id long, shares array<double>, slots array<int>")
+    described = texts.join(known.select("id"), "id", "left_semi").mapInArrow(lean(run), "id long, shares array<double>, slots array<int>")
     smallest = described.groupBy("id").agg(F.min(F.struct("shares", "slots")).alias("x"))
     found = smallest.join(known, "id").select("id", "x.shares", "x.slots", "domain").orderBy("id").toArrow()
     domains, n = found["domain"].to_pylist(), len(found)
@@ -143,7 +143,7 @@ def fit_rates(table: DataFrame, shares: list[float], steps=STEPS, tolerance=TOLE
             row = np.concatenate([sums, gram.ravel(), [every]])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(row))), pa.array(row)], ["i", "v"])
 
-        found = table.select("tokens", "posterior").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+        found = table.select("tokens", "posterior").mapInArrow(lean(run), "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
         row = np.zeros(k + k * k + 1)
         for r in found:  # k + k*k + 1 rows
             row[r.i] = r.v
@@ -189,7 +189,7 @@ def fit_mixture(df: DataFrame, labelled: DataFrame, targets: dict, id_col="doc_i
                     [batch.column(0).slice(a, b - a), pa.array(rows[2]), pa.ListArray.from_arrays(pa.array(ends), pa.array(p.ravel()))], ["id", "tokens", "posterior"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    table = materialise(rows.mapInArrow(run, "id long, tokens long, posterior array<double>"), "posteriors")
+    table = materialise(rows.mapInArrow(lean(run), "id long, tokens long, posterior array<double>"), "posteriors")
     steps = fit_rates(table, [targets[d] for d in model.domains])[0] if k else []
     return model, table, steps
 
@@ -215,7 +215,7 @@ def mixture_rates(df: DataFrame, labelled: DataFrame, targets: dict, seed=31, id
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(r), pa.array(_copies(r, _uniform(batch.column(0), seed)))], ["id", "tokens", "posterior", "rate", "copies"])
 
     names = F.array(*[F.lit(d) for d in model.domains]).cast("array<string>")
-    out = table.mapInArrow(run, "id long, tokens long, posterior array<double>, rate double, copies long")
+    out = table.mapInArrow(lean(run), "id long, tokens long, posterior array<double>, rate double, copies long")
     return out.select(F.col("id").alias(id_col), "tokens", names.alias("domains"), "posterior", "rate", "copies")
 
 

@@ -16,7 +16,7 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes hashed at once; bounds the 64-bit working arrays whatever the length of a text.
 CHUNK = 1 << 20
 #: Bytes of text per slice of a batch.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 def mix(x):

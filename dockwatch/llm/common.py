@@ -92,6 +92,9 @@ def repeat_rows(df: DataFrame, text_col: str, counts, others=()) -> DataFrame:
             for a, b in slices(offsets):
                 part = batch.slice(a, b - a)
                 n = counts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], *(part.column(c) for c in rest))
-                yield part.take(np.repeat(np.arange(b - a), np.asarray(n, np.int64)))
+                chosen = np.repeat(np.arange(b - a), np.asarray(n, np.int64))
+                held = np.concatenate([[0], np.cumsum(np.diff(offsets[a:b + 1])[chosen] + 64)])
+                for c, d in slices(held):  # many copies of a row are no large batch
+                    yield part.take(chosen[c:d])
 
     return df.mapInArrow(lean(run), df.schema)

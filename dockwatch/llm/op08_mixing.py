@@ -1,18 +1,21 @@
 """Mixing to target weights by soft membership.
 
 A classifier learnt from a labelled table gives every document a posterior over domains, so a document counts for each domain
-in part and unlabelled documents count too. Document rates (how often a document is read per epoch) start at 1 and follow
-projected gradient steps of the least squares problem
+in part and unlabelled documents count too. Document rates (how often a document is read per epoch) start at 1 and take one
+projected step, 1 + posterior x weights and never below 0, to the solution of
 
-    sum over domains (expected tokens of the domain - target)^2 / scale,    rates >= 0,
+    least sum of tokens x (rate - 1)^2 + sum over domains (expected tokens of the domain - target)^2 / (all tokens x slack),
 
-where expected tokens are the sum of rate x tokens x posterior. Steps are taken in the metric of token counts, so documents
-with equal posteriors get equal rates whatever their length. A step needs only one vector of domain totals, summed by
-Spark; tasks recompute their rates from the vectors of the earlier steps, so no state is kept between steps.
+where expected tokens are the sum of rate x tokens x posterior. The step is taken in the metric of token counts, so documents
+with equal posteriors get equal rates whatever their length. The weights, one per domain, are the dual solution; active-set
+(Newton) steps find them from domain totals and products summed by Spark, and the slack falls until the targets are met.
+Targets that no rates >= 0 meet are reported with the totals that were reached.
 
 Rates become whole numbers of copies by seeded rounding whose mean is the rate.
 """
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,8 +28,12 @@ from dockwatch.llm.textscan import mix, slices, span_hashes, words
 TRAIN_ROWS = 4000
 WORD_SLOTS = 1 << 14
 EPOCHS = 60
-STEPS = 60
+#: Miss of a domain's tokens, as a share of all tokens, that counts as met.
 TOLERANCE = 1e-3
+#: Slack of the targets: the first, and the least before unmet targets are given up.
+SLACK, LEAST_SLACK = 1e-2, 1e-12
+#: Parts of a Newton step that are tried in one pass.
+TRIED = 0.25 ** np.arange(8)
 _KIND = np.full(256, 9, np.uint8)
 for _n, _chars in enumerate((b" \t\n\v\f\r", bytes(range(0x61, 0x7B)), bytes(range(0x41, 0x5B)), b"0123456789", b"|", b"!", b"#*$%&<>", b".,", bytes(range(128, 256)))):
     _KIND[list(_chars)] = _n
@@ -119,47 +126,85 @@ def fit_domains(df: DataFrame, labelled: DataFrame, id_col: str, text_col: str,
     return DomainModel(names).fit((shares, sparse, None), np.array([names.index(d) for d in domains], np.int64))
 
 
-def rates(posteriors, steps):
-    """Rates of documents after the given steps (one vector over the domains each), never below 0."""
+def rates(posteriors, steps, tokens=None):
+    """Rates of documents after the given steps (one vector over the domains each), never below 0.
+
+    Documents without ``tokens`` count for no domain and keep rate 1.
+    """
     r = np.ones(len(posteriors))
     for step in steps:
         r = np.maximum(0, r - posteriors @ step)
-    return r
+    return r if tokens is None else np.where(np.asarray(tokens) > 0, r, 1.0)
+
 
+def fit_rates(table: DataFrame, shares: list[float], tolerance=TOLERANCE):
+    """The step that leads to the targets, from ``table`` of ``tokens, posterior``: its vector in a list, the totals it reaches and the targets.
 
-def fit_rates(table: DataFrame, shares: list[float], steps=STEPS, tolerance=TOLERANCE):
-    """Steps that lead to the targets, from ``table`` of ``tokens, posterior``: the vectors, the last totals and the targets."""
+    The list is empty if rates of 1 meet the targets. The slack falls tenfold until every total is within ``tolerance`` of all tokens.
+    """
     k = len(shares)
 
-    def totals(done):
+    def measured(tried):
+        """Totals, products of documents with a rate above 0, sum of tokens x rate^2 and largest exponent, for each vector of weights."""
+        m = len(tried)
+
         def run(batches):
-            sums, gram, every = np.zeros(k), np.zeros((k, k)), 0.0
+            sums, gram, squares, largest = np.zeros((m, k)), np.zeros((m, k, k)), np.zeros(m), np.full(m, -np.inf)
             for batch in batches:
                 t = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
                 p = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-                sums += (rates(p, done) * t) @ p
-                gram += (p * t[:, None]).T @ p
-                every += t.sum()
-            row = np.concatenate([sums, gram.ravel(), [every]])
+                p, t = p[t > 0], t[t > 0]
+                for n, weights in enumerate(tried):
+                    r = rates(p, [-weights])
+                    sums[n] += (r * t) @ p
+                    gram[n] += (p * (t * (r > 0))[:, None]).T @ p
+                    squares[n] += t @ r**2
+                    largest[n] = max(largest[n], (p @ weights).max(initial=-np.inf))
+            row = np.concatenate([sums.ravel(), gram.ravel(), squares, largest])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(row))), pa.array(row)], ["i", "v"])
 
-        found = table.select("tokens", "posterior").mapInArrow(lean(run), "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
-        row = np.zeros(k + k * k + 1)
-        for r in found:  # k + k*k + 1 rows
-            row[r.i] = r.v
-        return row[:k], row[k:-1].reshape(k, k), row[-1]
-
-    done = []
-    now, gram, every = totals(done)
+        found = table.select("tokens", "posterior").mapInArrow(lean(run), "i long, v double").groupBy("i").agg(F.sum("v").alias("v"), F.max("v").alias("most")).collect()
+        row, most = np.zeros(m * (k + k * k + 2)), np.full(m * (k + k * k + 2), -np.inf)
+        for r in found:  # one per number
+            row[r.i], most[r.i] = r.v, r.most
+        ends = np.cumsum([m * k, m * k * k, m])
+        sums, gram, squares, _ = np.split(row, ends)
+        return sums.reshape(m, k), gram.reshape(m, k, k), squares, most[ends[-1]:]
+
+    weights = np.zeros(k)
+    (now,), (gram,), (squares,), _ = measured([weights])
+    every = now.sum()
     target = np.array(shares) / max(sum(shares), 1e-300) * every
-    scale = np.maximum(np.diag(gram), 1e-12)
-    largest = max(float(np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max()), 1e-12)
-    for _ in range(steps):
-        if not every or np.abs(now - target).max() <= tolerance * every:
-            break
-        done.append((now - target) / scale / largest)
-        now = totals(done)[0]
-    return done, now, target
+    if not every or np.abs(now - target).max() <= tolerance * every:
+        return [], now, target
+
+    def height(w, squares, slack):
+        return 0.5 * squares - target @ w + 0.5 * slack * every * w @ w
+
+    slack, impossible = SLACK, False
+    while True:
+        low = height(weights, squares, slack)
+        parts = TRIED
+        while parts[0] > 1e-12:
+            slope = now - target + slack * every * weights
+            step = np.linalg.solve(gram / every + slack * np.eye(k), -slope / every)
+            if -slope @ step <= 1e-12 * every:
+                break
+            tried = [weights + part * step for part in parts]
+            sums, grams, square, largest = measured(tried)
+            heights = np.array([height(w, q, slack) for w, q in zip(tried, square)])
+            at = int(np.argmin(heights))
+            if not heights[at] < low:
+                parts = parts * TRIED[-1]
+                continue
+            weights, now, gram, squares, low, parts = tried[at], sums[at], grams[at], square[at], heights[at], TRIED
+            # totals within the tolerance would give target @ weights <= bound
+            bound = largest[at] + tolerance * (np.abs(weights).sum() + k * abs(largest[at]))
+            impossible |= bool(target @ weights > bound * every)
+        miss = np.abs(now - target).max() / every
+        if miss <= tolerance or slack <= LEAST_SLACK or impossible:
+            return [-weights], now, target
+        slack /= 10
 
 
 def _uniform(ids, seed):
@@ -172,7 +217,8 @@ def fit_mixture(df: DataFrame, labelled: DataFrame, targets: dict, id_col="doc_i
     """Classifier, table ``id, tokens, posterior`` of all documents and the fitted steps.
 
     Domains of ``targets`` that no labelled document of ``df`` has are left out, and the others keep their proportions; labels of
-    other domains are ignored. If the targets cannot be met with rates >= 0, the steps end near the closest totals.
+    other domains are ignored. If the targets cannot be met with rates >= 0, the slack stays where that is proved and a warning
+    names the shares that were reached and wanted.
     """
     labelled = labelled.where(F.col("domain").isin([str(d) for d in targets]))
     model = fit_domains(df, labelled, id_col, text_col)
@@ -190,7 +236,13 @@ def fit_mixture(df: DataFrame, labelled: DataFrame, targets: dict, id_col="doc_i
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     table = materialise(rows.mapInArrow(lean(run), "id long, tokens long, posterior array<double>"), "posteriors")
-    steps = fit_rates(table, [targets[d] for d in model.domains])[0] if k else []
+    if not k:
+        return model, table, []
+    steps, now, target = fit_rates(table, [targets[d] for d in model.domains])
+    every = target.sum()
+    if np.abs(now - target).max() > TOLERANCE * every:
+        told = ", ".join(f"{d} {a / every:.4f} instead of {b / every:.4f}" for d, a, b in zip(model.domains, now, target))
+        warnings.warn(f"no rates meet the targets; tokens as shares of all: {told}", RuntimeWarning, stacklevel=2)
     return model, table, steps
 
 
@@ -203,7 +255,7 @@ def mixture_rates(df: DataFrame, labelled: DataFrame, targets: dict, seed=31, id
 
     ``targets``: domain -> weight; together they share as many tokens (words) as ``df`` has. ``copies`` is the rate rounded up or down
     so that its mean is the rate; it depends on id and seed only. A null text has no tokens; a null id rounds as id 0;
-    repeated rows count each; other columns are ignored; without labels every rate is 1; an empty table gives an empty result.
+    repeated rows count each; rows without tokens keep rate 1; other columns are ignored; without labels every rate is 1; an empty table gives an empty result.
     """
     model, table, steps = fit_mixture(df, labelled, targets, id_col, text_col)
     k = len(model.domains)
@@ -211,7 +263,7 @@ def mixture_rates(df: DataFrame, labelled: DataFrame, targets: dict, seed=31, id
     def run(batches):
         for batch in batches:
             p = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, k)
-            r = rates(p, steps)
+            r = rates(p, steps, batch.column(1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(r), pa.array(_copies(r, _uniform(batch.column(0), seed)))], ["id", "tokens", "posterior", "rate", "copies"])
 
     names = F.array(*[F.lit(d) for d in model.domains]).cast("array<string>")
@@ -226,6 +278,7 @@ def mix_rows(df: DataFrame, labelled: DataFrame, targets: dict, seed=31, id_col=
         return df
 
     def counts(data, offsets, ids):
-        return _copies(rates(model.posteriors(inputs(data, offsets)), steps), _uniform(ids.cast(pa.int64()), seed))
+        rows = inputs(data, offsets)
+        return _copies(rates(model.posteriors(rows), steps, rows[2]), _uniform(ids.cast(pa.int64()), seed))
 
     return repeat_rows(df, text_col, counts, [id_col])

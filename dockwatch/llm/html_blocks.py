@@ -1,7 +1,7 @@
 """Text blocks of an HTML page, in page order, with the path of elements around each.
 
 A block is the text between two block-level tags; inline tags do not end it and a line break is white space in it. Nothing
-in ``head``, ``script``, ``style`` and the like is text. Tags that are never closed are closed as browsers do for
+in ``head``, ``script``, ``style`` and the like is text; a head without end tag ends where something begins that cannot stand in it. Tags that are never closed are closed as browsers do for
 paragraphs, list items and cells; comments and stray end tags are skipped.
 """
 
@@ -10,7 +10,8 @@ import re
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|svg|textarea|select|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<empty>svg)(?=[\s/])(?:\"[^\"]*\"|'[^']*'|[^'\"/>]|/(?!>))*+/>"
+    r"|<(?P<raw>script|style|noscript|template|iframe|svg|textarea|select|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s>/]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s>/]*)(?P<attrs2>[^>]*)>"
     r"|<[!?][^>]*>", re.S | re.I)
@@ -18,6 +19,8 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _NAME = re.compile(r"[a-z]+|[0-9]+")
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: A head without end tag lasts until another start tag.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: A start tag closes an open element of these names, up to the named boundary.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr",), ("table",)),
@@ -85,6 +88,9 @@ def blocks(page: str, paths: Paths):
         add(page[last:token.start()])
         last = token.end()
         tag = token["tag"] or token["tag2"]
+        begun = token["raw"] or token["empty"] or (tag if not (token["end"] or token["end2"]) else None)
+        if begun and stack and stack[-1][3] and begun.lower() not in _IN_HEAD:
+            close(next(i for i, entry in enumerate(stack) if entry[3]))
         if tag is None:
             if token["raw"]:
                 flush()
@@ -114,11 +120,6 @@ def blocks(page: str, paths: Paths):
                 if stack[i][0] in shut:
                     close(i)
                     break
-        if tag == "body":  # a head that was never closed ends here
-            for i, entry in enumerate(stack):
-                if entry[0] == "head":
-                    close(i)
-                    break
         above = stack[-1] if stack else ("", 0, False, False)
         path = paths.child(above[1], tag, names_of(attributes) if attributes else ())
         stack.append((tag, path, above[2] or tag == "a", above[3] or tag == "head"))

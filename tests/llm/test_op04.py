@@ -32,6 +32,17 @@ def test_blocks(page, want):
     assert got == want or page.startswith("<p class=\"a>b")
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<article><p>a <svg class="i"/> b</p><p>rest of the article</p></article>', ["a b", "rest of the article"]),
+    ("<p>a<svg viewBox='0 0 > 1' /><svg><path d='x'/></svg>b</p><svg a=/b>no", ["a", "b"]),
+    ("<html><head><title>t</title><meta x><p>one<p>two</html>", ["one", "two"]),
+    ("<head><script>s</script>no<link x><img src=x>yes", ["yes"]), ("<head><style>s</style><svg/>yes", ["yes"]), ("<head>no<br>yes<p>too", ["yes", "too"]),
+    ("<p>a<svg-icon/></svg-icon></p><title-bar>b</title-bar>c", ["a", "b", "c"]),
+])
+def test_blocks_after_empty_svg_and_open_head(page, want):
+    assert texts(page) == want
+
+
 def test_paths():
     paths = Paths()
     found = blocks('<body><div class="Side-bar box"><p id=x>t <a role="n">u</a></p></div></body>', paths)

@@ -6,7 +6,7 @@ labels every block as main text or not, so a label can depend on the whole page.
 
 No page comes labelled, so the labeller is taught at run time from a bounded sample of the pages themselves (TRAIN_PAGES): plain
 element semantics label their blocks, and the sample's blocks are set again into page layouts with known labels, among them
-parts that the sample may lack (sidebars, notices, forms, comments, articles in plain containers).
+parts that the sample may lack (sidebars, notices, forms, comments, articles in plain or misleadingly named containers, figures).
 """
 
 import random
@@ -34,7 +34,7 @@ EPOCHS = 14
 #: Cells (pages x longest page) that are labelled at once.
 CELLS = 8192
 
-OUTSIDE_TAGS = frozenset("nav header footer aside form button menu dialog fieldset figure".split())
+OUTSIDE_TAGS = frozenset("nav header footer aside form button menu dialog fieldset".split())
 OUTSIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert popup modal overlay "
     "newsletter subscribe signup sidebar side menu nav navbar navigation breadcrumb breadcrumbs toolbar header masthead footer contentinfo complementary "
@@ -43,15 +43,47 @@ OUTSIDE_NAMES = frozenset(
 INSIDE_TAGS = ("article", "main")
 
 
-def outside(chain) -> bool:
-    """Does a chain of elements (innermost first) put a block outside the main text?"""
-    chain = list(chain)
-    tags = [tag for tag, _ in chain]
-    for at, (tag, names) in enumerate(chain):
-        title = tag == "header" and any(t in ("h1", "h2") for t in tags[:at]) and any(t in INSIDE_TAGS for t in tags[at:])
-        if (tag in OUTSIDE_TAGS and not title) or (not title and tag not in ("body", "html", "article", "main") and OUTSIDE_NAMES.intersection(names)):
-            return True
-    return False
+def marks(paths, path, spared=frozenset()):
+    """Elements around a block (numbers of paths) that put it outside the main text; names of spared elements do not count."""
+    out, inner = [], []
+    while path > 0:
+        parent, tag, names = paths.parts[path]
+        title = tag == "header" and any(t in ("h1", "h2") for t in inner) and any(t in INSIDE_TAGS for t, _ in paths.chain(path))
+        if (tag in OUTSIDE_TAGS and not title) or (not title and path not in spared and tag not in ("body", "html", "article", "main") and OUTSIDE_NAMES.intersection(names)):
+            out.append(path)
+        inner.append(tag)
+        path = parent
+    return out
+
+
+def _above(paths, path):
+    while path > 0:
+        yield path
+        path = paths.parts[path][0]
+
+
+def main_blocks(page, paths):
+    """Main text or not of every block of a page, by the elements around it.
+
+    Names such as ``has-sidebar`` or ``body-copy`` do not count on an element that holds the page's article or more than half of
+    its text (without an article: of the text of the page). An article inside such elements counts as the page's if it
+    has as much text as all that would be main without it, so that teasers in a sidebar do not.
+    """
+    held, free = {}, 0
+    for path, text, _ in page:
+        for at in _above(paths, path):
+            held[at] = held.get(at, 0) + len(text)
+        free += 0 if marks(paths, path) else len(text)
+    articles = sorted((len(marks(paths, at)), -size, at) for at, size in held.items() if paths.parts[at][1] in INSIDE_TAGS)
+    every, spared, article = sum(len(text) for _, text, _ in page), set(), None
+    if articles and (articles[0][0] == 0 or -articles[0][1] >= free):
+        article = articles[0][2]
+        spared.update(_above(paths, article))
+        every = held[article]
+    for at, size in held.items():
+        if 2 * size > every and (not articles or article in _above(paths, at)):
+            spared.add(at)
+    return [not marks(paths, path, spared) for path, _, _ in page]
 
 
 def _hashed(token: str):
@@ -231,6 +263,9 @@ _HOLDERS = [("<article>", "</article>"), ("<main>", "</main>"), ('<div class="co
 _LISTS = [("<nav><ul>", "</ul></nav>"), ('<ul class="menu">', "</ul>"), ('<div class="breadcrumbs"><ul>', "</ul></div>"), ('<aside><ul>', "</ul></aside>"),
           ('<div class="related"><ul>', "</ul></div>"), ('<div role="navigation"><ul>', "</ul></div>")]
 _PARTS = [("<header><p>", "</p></header>"), ("<footer>", "</footer>"), ("<aside><p>", "</p></aside>"), ("<form><label>", "</label></form>"), ("<form><p>", "</p><button>Go</button></form>")]
+#: Classes of wrappers around main text and other parts; figures are main text.
+_WRAPPERS = ("has-{}", "with-{}", "{}-fixed", "{}-layout", "body-{}", "page {}")
+_FIGURES = [("<figure><figcaption>", "</figcaption></figure>"), ("<figure><pre>", "</pre></figure>"), ("<figure><table><tr><td>", "</td></tr></table></figure>"), ("<figure><img src=x><p>", "</p></figure>")]
 
 
 def layouts(pages, count, seed=13):
@@ -268,18 +303,30 @@ def layouts(pages, count, seed=13):
 
         for _ in range(rng.randint(0, 4)):
             part()
-        start, end = rng.choice(_HOLDERS)
+        wrapped = rng.random() < 0.2
+        if wrapped:
+            start, end = rng.choice(_HOLDERS[:-1])
+            made.append(f'<div class="{rng.choice(_WRAPPERS).format(rng.choice(names))}">')
+            if rng.random() < 0.5:
+                part()
+        else:
+            start, end = rng.choice(_HOLDERS)
         made.append(start)
         body = rng.choice(inside)[:rng.randint(1, 30)]
         for n, text in enumerate(body):
             tag = "h1" if n == 0 and rng.random() < 0.6 else rng.choice(("p", "p", "p", "p", "h2", "blockquote", "li", "pre")) if rng.random() < 0.3 else "p"
-            made.append(f"<{tag}>{escape(text)}</{tag}>")
+            before, after = rng.choice(_FIGURES) if rng.random() < 0.05 else (f"<{tag}>", f"</{tag}>")
+            made.append(before + escape(text) + after)
             labels.append(1)
             if rng.random() < 0.05:
                 part()
         if rng.random() < 0.15:
             part()
         made.append(end)
+        if wrapped:
+            if rng.random() < 0.5:
+                part()
+            made.append("</div>")
         for _ in range(rng.randint(0, 4)):
             part()
         yield "<html><body>" + "".join(made) + "</body></html>", labels
@@ -291,7 +338,7 @@ def teach(pages) -> BlockLabeller:
     found, x = describer.pages(pages)
     sequences, known, at = [], [], 0
     for page in found:
-        labels = np.array([0.0 if outside(describer.paths.chain(path)) else 1.0 for path, _, _ in page])
+        labels = np.array(main_blocks(page, describer.paths), float)
         sequences.append((x[at:at + len(page)][:TRAIN_BLOCKS], labels[:TRAIN_BLOCKS]))
         known.append([(text, bool(main)) for (_, text, _), main in zip(page, labels)])
         at += len(page)

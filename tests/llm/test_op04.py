@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dockwatch.llm.html_blocks import Paths, blocks
-from dockwatch.llm.op04_html import INPUTS, BlockLabeller, Describer, extract_main_text, layouts, teach
+from dockwatch.llm.op04_html import INPUTS, BlockLabeller, Describer, extract_main_text, layouts, main_blocks, teach
 from dockwatch.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -112,6 +112,27 @@ def test_layouts_not_seen_in_the_pages(spark):
     assert np.mean(got == np.concatenate([np.array(m) for _, m in made])) > 0.95
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<div class="has-sidebar"><article><p>main text</p></article><div class="sidebar"><p>no</p></div></div>', "10"),
+    ('<section class="discussion header-fixed"><main><div class="body-copy"><p>main text</p></div></main></section><nav>a long menu</nav>', "10"),
+    ('<article><div class="body-copy"><p>the text of it</p></div><div class="comments"><p>no</p></div></article>', "10"),
+    ('<div class="page-header"><div><p>much of the text</p></div><div class="related"><p>no</p></div></div><footer>x</footer>', "100"),
+    ('<div><p>the text of the page</p></div><div class="related"><article><p>teaser</p></article></div>', "10"),
+    ("<article><p>a</p><figure><figcaption>caption</figcaption><pre>code</pre><table><td>cell</table></figure></article>", "1111"),
+])
+def test_names_of_wrappers_and_figures(page, want):
+    paths = Paths()
+    assert main_blocks(blocks(page, paths), paths) == [x == "1" for x in want]
+
+
+def test_template_with_a_misleading_wrapper(spark):
+    given = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").limit(120).collect()]
+    pages = [p.replace("<article>", '<div class="has-sidebar"><article><figure><figcaption>What the figure shows.</figcaption></figure>').replace("</article>", "</article></div>") for p in given]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").withColumn("url", F.lit("u"))
+    got = {r.page_id: r.text for r in extract_main_text(df).collect()}
+    assert np.mean([got[n] == "What the figure shows.\n" + article(p) for n, p in enumerate(given)]) > 0.95
+
+
 def test_odd_pages(spark):
     page = spark.read.parquet(f"{SF}/pages.parquet").first().html
     rows = [(1, None, page), (None, "u", page), (2, "u", None), (2, "u", ""), (3, "u", "no tags at all"), (4, "u", "<p>" * 3000 + "deep"), (5, "u", "<article>" + "<p>word " * 20_000), (6, "u", "<" * 500)] + [(7, "u", page)] * 2

@@ -173,8 +173,12 @@ def station_from_feeds(information: DataFrame, reference: DataFrame) -> DataFram
     return feed.join(towns, "station_code", "left").select(*STATION_COLUMNS)
 
 
-def record_run(spark: SparkSession, path: str, row: dict) -> None:
-    """Add one line to the run log, kept by day of the run; a run recorded again replaces its own line."""
+def record_run(spark: SparkSession, path: str, row: dict | DataFrame) -> None:
+    """Add one line, or a frame of lines in one write, to the run log, kept by day of the run; a run recorded again replaces its own line."""
+    if isinstance(row, DataFrame):
+        lines = row.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.RUN_LOG])
+        write_batch(lines.withColumn("date", F.to_date("started_at")), path, F.col("run_id"))
+        return
     line = spark.createDataFrame([tuple(row[f.name] for f in S.RUN_LOG)], S.RUN_LOG).coalesce(1)
     write_batch(line.withColumn("date", F.to_date("started_at")), path, row["run_id"])
 

@@ -1,6 +1,6 @@
 """Lake zones: status documents and messages in, raw / aggregated / clean zones out and back."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dockwatch import schemas as S
 from dockwatch.functions import text as X
@@ -162,8 +162,8 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def write_batch(df: DataFrame, path: str, label: str) -> None:
-    """Write rows under date and batch label; only the folders of this label are replaced."""
+def write_batch(df: DataFrame, path: str, label: str | Column) -> None:
+    """Write rows under date and batch label (a column: each row's own); only the folders of these labels are replaced."""
     df.withColumn("batch", F.lit(label)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "date", "batch").parquet(path)
 

@@ -152,3 +152,12 @@ def op4_main_text(spark, sf_dir):
     from dockwatch.llm.op04_html import extract_main_text
 
     return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
+@register("op11_token_counts")
+def op11_token_counts(spark, sf_dir):
+    """Bytes and tokens of every whole text, counted by the compiled tokenizer."""
+    from dockwatch.llm.op11_counts import token_counts
+    from dockwatch.llm.tokens import tokenizer_file
+
+    return token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file())

@@ -161,3 +161,98 @@ def op11_token_counts(spark, sf_dir):
     from dockwatch.llm.tokens import tokenizer_file
 
     return token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file())
+
+def crc32_sql(codes):
+    """CRC-32 of a list of byte values; its table follows from the generator polynomial."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    step = f"xor(a >> 8, list_extract({table}, (xor(a, b) & 255) + 1)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: {step}), 4294967295)"
+
+
+def resampling_sql():
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    runs = """unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+ list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))"""
+    codes = "list_transform(range(1, 2 * strlen(g), 2), lambda i: ('0x' || substr(hex(encode(g)), i, 2))::BIGINT)"
+    return f"""WITH d AS (SELECT doc_id, row_number() OVER () AS k, {words} AS w FROM documents),
+f AS (SELECT k, {runs} AS g FROM d), e AS (SELECT {runs} AS g FROM (SELECT {words} AS w FROM benchmark)),
+c AS MATERIALIZED (SELECT g, {crc32_sql(codes)} % 10000 AS b FROM (SELECT g FROM f UNION SELECT g FROM e)),
+fb AS (SELECT k, b FROM f JOIN c USING (g)),
+s AS (SELECT b, count(*) AS s FROM fb GROUP BY b), t AS (SELECT b, count(*) AS t FROM e JOIN c USING (g) GROUP BY b),
+tot AS (SELECT (SELECT sum(s) FROM s)::DOUBLE AS sa, coalesce((SELECT sum(t) FROM t), 0)::DOUBLE AS ta),
+gain AS (SELECT s.b, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (sa + 10000) / ((s + 1.0::DOUBLE) * (ta + 10000))))::BIGINT AS gain
+ FROM s LEFT JOIN t USING (b), tot),
+w AS (SELECT k, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM fb JOIN gain USING (b) GROUP BY k),
+x AS (SELECT doc_id, len(w) AS n, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+ ('0x' || left(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT AS h FROM d LEFT JOIN w USING (k)),
+y AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score, n >= 20 AS may FROM x),
+z AS (SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id NULLS FIRST) AS place, count(*) FILTER (may) OVER () AS every FROM y)
+SELECT doc_id, n_features, weight, score, CASE WHEN may AND place <= 5 * every // 100 THEN place END::BIGINT AS rank FROM z"""
+
+
+@register("op12_resampling", resampling_sql())
+def op12_resampling(spark, sf_dir):
+    """All documents scored towards the benchmark texts; five in a hundred are drawn."""
+    from dockwatch.llm.op12_resampling import resample
+
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def tampered_text():
+    """Lower-case A-Z of the text where 3 divides the CRC-32 of the id."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return F.when(hit, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+
+
+def manifest_sql(levels=7, top=2, fanout=8):
+    """Levels are written out one by one: seven inside a language (2 million documents each), two over the languages."""
+    fields = [f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars")]
+    given = "coalesce(strlen({0})::VARCHAR || ':' || {0}, '-')"
+    codes = "list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        f"d AS (SELECT *, row_number() OVER () AS k, coalesce({crc32_sql(codes)} % 3 = 0, false) AS hit FROM documents)",
+        f"""l AS (SELECT k, doc_id, lang, sha256({' || '.join(fields)} || {given.format('text')}) AS leaf,
+ sha256({' || '.join(fields)} || {given.format(f'CASE WHEN hit THEN {lower} ELSE text END')}) AS later FROM d)""",
+        """p AS (SELECT *, coalesce(lang, '') AS g, lang IS NOT NULL AS named, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, k) - 1 AS i,
+ count(*) OVER (PARTITION BY lang) AS n FROM l)""",
+        "a0 AS (SELECT named, g, i, n, leaf AS h FROM p)"]
+
+    def climb(name, keys, k):
+        many = f"{fanout}"
+        return [
+            f"r{name}{k} AS MATERIALIZED (SELECT {keys} i // {many} AS i, any_value(n) AS n, list(h ORDER BY i) AS hs FROM {name}{k} GROUP BY {keys} i // {many})",
+            f"{name}{k + 1} AS (SELECT {keys} i, (n + {fanout - 1}) // {many} AS n, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM r{name}{k})"]
+
+    for k in range(levels):
+        parts += climb("a", "named, g,", k)
+    parts.append(f"b0 AS (SELECT row_number() OVER (ORDER BY named, g) - 1 AS i, count(*) OVER () AS n, h, named, g FROM a{levels})")
+    for k in range(top):
+        parts += climb("b", "", k)
+    joins, at = ["p JOIN b0 s USING (named, g)"], []
+    for name, keys, place, count in (("a", True, "p.i", levels), ("b", False, "s.i", top)):
+        for k in range(count):
+            r = f"r{name}{k}"
+            joins.append(f"JOIN {r} ON {f'{r}.named = p.named AND {r}.g = p.g AND ' if keys else ''}{r}.i = {place} // {fanout**(k + 1)}")
+            at.append((r, f"({place} // {fanout**k}) % {fanout}"))
+    sides = [(f"CASE WHEN {r}.n > 1 THEN array_to_string({r}.hs[1:{d}], '') ELSE '' END", f"CASE WHEN {r}.n > 1 THEN array_to_string({r}.hs[{d} + 2:], '') ELSE '' END", r) for r, d in at]
+    shown = ", ".join(f"{a} AS x{i}, {b} AS y{i}, {r}.n > 1 AS z{i}" for i, (a, b, r) in enumerate(sides))
+    parts.append(f"j AS (SELECT doc_id, leaf, later AS f0, s.h AS subroot, (SELECT h FROM b{top}) AS root, {shown} FROM {' '.join(joins)})")
+    for i in range(len(sides)):
+        before = "j" if i == 0 else f"f{i}_"
+        parts.append(f"f{i + 1}_ AS (SELECT * EXCLUDE (f0), CASE WHEN z{i} THEN sha256(x{i} || f0 || y{i}) ELSE f0 END AS f0 FROM {before})")
+    proof = " || ".join(f"x{i} || y{i}" for i in range(len(sides)))
+    return f"""WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, f0 AS folded_root, f0 = root AS verified FROM f{len(sides)}_"""
+
+
+@register("op13_manifest", manifest_sql())
+def op13_manifest(spark, sf_dir):
+    """Leaf, roots and proof of every document, and whether its later state still folds to the root."""
+    from dockwatch.llm.op13_manifest import manifest
+
+    return manifest(read_table(spark, sf_dir, "documents"), changed={"text": tampered_text()})

@@ -53,6 +53,11 @@ def _tables_of(spark: SparkSession) -> str:
     return f"{work_dir(spark)}/tables-{spark.sparkContext.applicationId}"
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a folder that no other run, day or job uses; ``release`` deletes it with the intermediate tables."""
+    return f"{_tables_of(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
@@ -82,7 +87,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     the planner a true byte size, so a lookup is broadcast only when it is really small.
     """
     spark = df.sparkSession
-    path = f"{_tables_of(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     for stored in _local.__dict__.get("stack", [])[-1:]:
         stored.append(path)
     df.write.mode("errorifexists").parquet(path)

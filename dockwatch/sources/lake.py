@@ -1,6 +1,10 @@
 """Lake zones: status documents and messages in, raw / aggregated / clean zones out and back."""
 
+import json
+from datetime import date, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from dockwatch import schemas as S
 from dockwatch.functions import text as X
@@ -90,13 +94,18 @@ def files_until(df: DataFrame, cutoff: str, date_column="date") -> DataFrame:
     return df.filter((F.col(date_column).cast("string") <= cutoff.split("/")[0]) & (F.col("file_key") <= cutoff))
 
 
-def read_raw_status(spark: SparkSession, path: str, cutoff: str = None) -> DataFrame:
+def read_raw_status(spark: SparkSession, path: str, cutoff: str = None, root: str = None) -> DataFrame:
     """Raw zone to numbered all-text rows, optionally only the files up to ``cutoff``.
 
+    With ``root``, the folder that holds the zone and its commits, rows of batches that are not committed are left out.
+
     ``row_id`` is unique and fixed once the caller writes the result (the number depends on the
     layout of the files); write it before using it as a key.
     """
-    lines = spark.read.schema("value string, date date").text(path)
+    if root is None:
+        lines = spark.read.schema("value string, date date").text(path)
+    else:
+        lines = committed(spark.read.schema("value string, date date, time string").text(path), root)
     lines = with_file_key(lines)
     if cutoff is not None:
         lines = files_until(lines, cutoff)
@@ -145,10 +154,126 @@ def write_staging(df: DataFrame, target, jdbc_options=None) -> None:
         df.write.mode("overwrite").parquet(target)
 
 
-def zone_counts(spark: SparkSession, zones: dict) -> DataFrame:
-    """Records per lake zone; ``zones`` maps a zone name to its path."""
+# --- zones written batch by batch -------------------------------------------------------------
+#
+# A batch has a label that is the same when it is run again. It opens with a file that fixes its time of writing, so every attempt
+# writes the same folders and replaces what an earlier attempt left; it ends with a commit file, and then the open file
+# goes. A batch counts from its commit on: readers leave out the folders of open batches, and a batch that is run
+# again after its commit writes nothing.
+
+COMMITS = "zone_commits"
+COMMIT = "label string, written_at string, messages long, unmatched long, folder string"
+
+
+def _fs(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete under a hidden name before it gets its own."""
+    parent, name = path.rsplit("/", 1)
+    fs, hidden = _fs(spark, f"{parent}/_{name}.part")
+    out = fs.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if exists(spark, path):
+        delete_folder(spark, path)
+    _move(spark, f"{parent}/_{name}.part", path)
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, file = _fs(spark, path)
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _fs(spark, path)
+    fs.mkdirs(folder)
+
+
+def begin_batch(spark: SparkSession, root: str, label: str, now: datetime) -> tuple[datetime, dict | None]:
+    """Time of writing of a batch, ``now`` if it is new, and its commit if it has one already."""
+    opened = f"{root}/{COMMITS}/_open/{label}"
+    done = f"{root}/{COMMITS}/{label}.json"
+    if exists(spark, done):
+        commit = json.loads(_read_text(spark, done))
+        delete_folder(spark, opened)
+        return datetime.fromisoformat(commit["written_at"]), commit
+    if exists(spark, opened):
+        return datetime.fromisoformat(_read_text(spark, opened)), None
+    make_folder(spark, f"{root}/{COMMITS}/_open")
+    _write_text(spark, opened, now.isoformat())
+    return now, None
+
+
+def batch_folder(label: str, written_at: datetime) -> str:
+    return f"date={written_at:%Y-%m-%d}/time={written_at:%H%M%S}-{label}"
+
+
+def write_zone_batch(df: DataFrame, root: str, zone: str, label: str, written_at: datetime) -> None:
+    """Write the lines of a batch into its own folder of ``zone``; an earlier attempt of the same batch is replaced."""
+    target = f"{root}/{zone}/{batch_folder(label, written_at)}"
+    writer = df.write.mode("overwrite")
+    if df.columns == ["value"]:
+        writer.text(target)
+    else:
+        writer.option("ignoreNullFields", "false").json(target)
+
+
+def commit_batch(spark: SparkSession, root: str, label: str, written_at: datetime, messages: int, unmatched: int) -> dict:
+    """All zones of the batch are written: from now on it counts."""
+    commit = {"label": label, "written_at": written_at.isoformat(), "messages": messages, "unmatched": unmatched,
+              "folder": batch_folder(label, written_at)}
+    _write_text(spark, f"{root}/{COMMITS}/{label}.json", json.dumps(commit))
+    delete_folder(spark, f"{root}/{COMMITS}/_open/{label}")
+    return commit
+
+
+def open_folders(spark: SparkSession, root: str) -> list:
+    """``time`` values of the batches that have begun and not ended: one or none per running stream."""
+    opened = f"{root}/{COMMITS}/_open"
+    out = []
+    for label in _children(spark, opened):
+        if not exists(spark, f"{root}/{COMMITS}/{label}.json"):
+            out.append(batch_folder(label, datetime.fromisoformat(_read_text(spark, f"{opened}/{label}"))).split("time=", 1)[1])
+    return out
+
+
+def committed(df: DataFrame, root: str) -> DataFrame:
+    """Rows of a zone scan (with its partition column ``time``) without those of open batches; a partition filter."""
+    left_out = open_folders(df.sparkSession, root)
+    return df.filter(~F.col("time").cast("string").isin(left_out)) if left_out else df
+
+
+def read_zone(spark: SparkSession, root: str, zone: str) -> DataFrame:
+    """Lines of the committed batches of a zone: ``value, date, time``."""
+    return committed(spark.read.schema("value string, date date, time string").text(f"{root}/{zone}"), root)
+
+
+def read_commits(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(COMMIT).json(f"{root}/{COMMITS}")
+
+
+def read_committed_batches(spark: SparkSession, root: str, commits: DataFrame) -> DataFrame:
+    """Aggregated rows of the batches whose commits are given: one path per batch reaches the driver."""
+    folders = sorted({r.folder for r in commits.select("folder").collect()})
+    return read_aggregated(spark, [f"{root}/aggregated/{f}" for f in folders])
+
+
+def zone_counts(spark: SparkSession, zones: dict, root: str = None) -> DataFrame:
+    """Records per lake zone; ``zones`` maps a zone name to its path. With ``root`` open batches do not count."""
+    def lines(path):
+        if root is None:
+            return spark.read.text(path)
+        return committed(spark.read.schema("value string, date date, time string").text(path), root)
+
     frames = [
-        spark.read.text(path).agg(F.count(F.lit(1)).alias("records")).select(F.lit(zone).alias("zone"), "records")
+        lines(path).agg(F.count(F.lit(1)).alias("records")).select(F.lit(zone).alias("zone"), "records")
         for zone, path in zones.items()
     ]
     out = frames[0]
@@ -214,6 +339,73 @@ def compact_before(spark: SparkSession, path: str, day: str) -> list:
     return [d for d in days if d < day and compact_day(spark, path, d)]
 
 
+def day_folder(path: str, day) -> str:
+    """Folder of a day (a date or its text); the day NULL is where rows without a day lie."""
+    return f"{path}/date={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
+
+
+def days_with_batch(spark: SparkSession, path: str, batch: str) -> list:
+    """Days that hold a folder of the given batch."""
+    fs, pattern = _fs(spark, f"{path}/date=*/batch={batch}")
+    days = [str(status.getPath().getParent().getName()).split("=", 1)[1] for status in fs.globStatus(pattern) or []]
+    return [date.fromisoformat(d) for d in days]
+
+
+def drop_day(spark: SparkSession, path: str, day) -> None:
+    delete_folder(spark, day_folder(path, day))
+
+
+def keep_schema(spark: SparkSession, path: str, schema) -> None:
+    """Note the columns of a table beside its files, so that it can be read while no day has rows."""
+    if not exists(spark, f"{path}/_schema.json"):
+        make_folder(spark, path)
+        _write_text(spark, f"{path}/_schema.json", schema.json())
+
+
+def read_kept(spark: SparkSession, path: str) -> DataFrame:
+    """A table kept by date and batch whose columns were noted."""
+    schema = StructType.fromJson(json.loads(_read_text(spark, f"{path}/_schema.json"))).add("batch", "string")
+    return spark.read.schema(schema).parquet(path)
+
+
+def replace_days(df: DataFrame, path: str, days, batch: str) -> None:
+    """Replace the given ``days`` of a table kept by date and batch with the rows of ``df`` (column ``date``), as one ``batch``.
+
+    Other days keep their files, and a day without rows is emptied. The new rows are complete under a hidden name, and a plan file
+    lists the days, before an old folder goes; ``finish_swap`` ends a swap that was interrupted. Run it where no other job reads
+    these days at the same moment.
+    """
+    spark = df.sparkSession
+    finish_swap(spark, path)
+    ready = f"{path}/_swap"
+    delete_folder(spark, ready)
+    df.write.mode("overwrite").partitionBy("date").parquet(f"{ready}/rows")
+    made = {n.split("=", 1)[1] for n in _children(spark, f"{ready}/rows") if n.startswith("date=")}
+    listed = {str(d): str(d) in made for d in days}
+    if not made <= set(listed):
+        raise ValueError(f"rows of days that are not replaced: {sorted(made - set(listed))}")
+    _write_text(spark, f"{ready}/plan.json", json.dumps({"batch": batch, "days": listed}))
+    finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> bool:
+    """Carry out the swap whose plan is written; False if there is none."""
+    ready = f"{path}/_swap"
+    if not exists(spark, f"{ready}/plan.json"):
+        return False
+    plan = json.loads(_read_text(spark, f"{ready}/plan.json"))
+    for day, has_rows in plan["days"].items():
+        new = f"{ready}/rows/date={day}"
+        if has_rows and not exists(spark, new):
+            continue  # moved before the interruption
+        drop_day(spark, path, day)
+        if has_rows:
+            make_folder(spark, day_folder(path, day))
+            _move(spark, new, f"{day_folder(path, day)}/batch={plan['batch']}")
+    delete_folder(spark, ready)
+    return True
+
+
 def write_snapshot(df: DataFrame, path: str, name: str, keep: int = 3) -> None:
     """A dimension as a new folder; the copy it was built from stays readable meanwhile.
 
@@ -247,7 +439,10 @@ def write_target(tables: dict, root: str, name: str = "0") -> None:
 
 def read_target(spark: SparkSession, root: str) -> dict:
     """The five target tables as DataFrames by name; the facts keep the ``date`` they are stored by."""
-    dimensions = {n: read_snapshot(spark, f"{root}/{n}") for n in ("town", "station")}
+    from dockwatch.sources import buckets  # which builds on this module
+
+    dimensions = {n: buckets.read_buckets(spark, f"{root}/{n}") if buckets.newest_manifest(spark, f"{root}/{n}") else read_snapshot(spark, f"{root}/{n}")
+                  for n in ("town", "station")}
     facts = {n: spark.read.parquet(f"{root}/{n}").drop("batch") for n in ("reading", "reading_bikes")}
     types = fixed_rows(spark, S.BIKE_TYPES, {"bike_type_id": "int", "type_code": "string", "type_label": "string"})
     return {**dimensions, "bike_type": types, **facts}

@@ -1,5 +1,6 @@
 """Live path: status messages to the raw and aggregated zones, then incremental cleaning and load."""
 
+import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -9,7 +10,7 @@ from dockwatch.operators import load
 from dockwatch.operators.asof import asof_version
 from dockwatch.operators.relations import enrich_latest
 from dockwatch.plans.readings import observe_run, split_valid, type_readings
-from dockwatch.sources import lake
+from dockwatch.sources import buckets, lake
 from dockwatch.sources.reference import keep_groups, read_newest_version
 from dockwatch.operators.constraints import require_valid_dimensions
 from dockwatch.session import materialise, scratch
@@ -65,39 +66,45 @@ def carry_code(batch: DataFrame, store: str) -> DataFrame:
 
 
 def process_batch(batch: DataFrame, root: str, reference_path: str, min_named: int = None, code_store: str = None,
-                  observer=None) -> None:
-    """One micro-batch into both zones: raw lines unchanged, and enriched rows.
+                  label: str = None) -> dict | None:
+    """One micro-batch into both zones: raw lines unchanged, and enriched rows. Returns its commit, None for an empty batch.
 
     The reference is resolved again for each batch, so a newer file is picked up at once. A batch
     that comes before any reference fails, and is read again when the query restarts.
+
+    Both zones count together: the batch is open until both are written and is then committed (``sources.lake``). Run again with
+    the same ``label`` it replaces what an attempt before its commit has left, and does nothing after it.
     """
     spark = batch.sparkSession
     if batch.isEmpty():
-        return
+        return None
+    label = uuid.uuid4().hex if label is None else label
+    written_at, commit = lake.begin_batch(spark, root, label, datetime.now(timezone.utc))
+    if commit is not None:
+        return commit
     # zones take the same rows twice: the source is read once
     kept = batch.persist()
     try:
         newest = read_newest_version(spark, reference_path, min_named)
         if newest is None:
             raise RuntimeError("no station reference yet")
-        written_at = datetime.now(timezone.utc)
         flat = lake.flatten_raw_status(kept.select("value"))
         if code_store:
             flat = carry_code(flat, code_store)
-        enriched = enrich_latest(flat, newest)
-        if observer is not None:
-            enriched = enriched.observe(
-                observer, F.count(F.lit(1)).alias("messages"), F.count_if(~F.col("matched")).alias("unmatched")
-            )
-        lake.write_zone(kept.select("value"), root, "raw/api", written_at)
-        lake.write_zone(lake.to_aggregated_fields(enriched), root, "aggregated", written_at)
+        seen = Observation()
+        enriched = enrich_latest(flat, newest).observe(
+            seen, F.count(F.lit(1)).alias("messages"), F.count_if(~F.col("matched")).alias("unmatched"))
+        lake.write_zone_batch(kept.select("value"), root, "raw/api", label, written_at)
+        lake.write_zone_batch(lake.to_aggregated_fields(enriched), root, "aggregated", label, written_at)
+        counts = seen.get
+        return lake.commit_batch(spark, root, label, written_at, counts["messages"], counts["unmatched"])
     finally:
         kept.unpersist()
 
 
 def run_two_zone_stream(messages: DataFrame, root: str, reference_path: str, checkpoint: str, once: bool = False,
                         min_named: int = None, code_store: str = None):
-    """Start the message stream. Offsets are committed after both zones are written (at least once).
+    """Start the message stream. Offsets are committed after both zones are; a batch that is run again in between is known by its label.
 
     Each micro-batch adds a line with its messages and unmatched messages to ``stream_runs`` below ``root``; a batch that
     is run again replaces its line. ``stream_report`` reads them beside the lag of the running query. How much one batch
@@ -105,12 +112,11 @@ def run_two_zone_stream(messages: DataFrame, root: str, reference_path: str, che
     """
     def handle(batch, batch_id):
         spark = batch.sparkSession
-        if batch.isEmpty():
+        label, started_at = batch_label(spark, batch_id), datetime.now(timezone.utc)
+        commit = process_batch(batch, root, reference_path, min_named, code_store, label)
+        if commit is None:
             return
-        seen, started_at = Observation(), datetime.now(timezone.utc)
-        process_batch(batch, root, reference_path, min_named, code_store, seen)
-        label, counts = batch_label(spark, batch_id), seen.get
-        line = spark.createDataFrame([(label, started_at, counts["messages"], counts["unmatched"])], STREAM_LOG)
+        line = spark.createDataFrame([(label, started_at, commit["messages"], commit["unmatched"])], STREAM_LOG)
         lake.write_batch(line.coalesce(1).withColumn("date", F.to_date("started_at")), f"{root}/stream_runs", label)
 
     return messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(
@@ -133,24 +139,27 @@ def dedup_stream(df: DataFrame, delay: str, time: str = "collected_at") -> DataF
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(["station_id", time])
 
 
-def load_batch(batch: DataFrame, root: str, label: str = "batch", drop_silent: bool = False) -> dict:
+def load_batch(batch: DataFrame, root: str, label: str = "batch", drop_silent: bool = False, station_buckets: int = None) -> dict:
     """Clean one batch of aggregated rows and load it into the clean zone and the target tables.
 
     Everything a batch writes sits in folders of its own ``label``, so a batch that is run again
     replaces its own rows; rows of other batches are left out by an anti join. The dimensions are
     written as new snapshots, never in place. A row that the target could not take is rejected before; should the
-    dimensions still break a rule of the model, the batch stops before anything is written.
+    dimensions still break a rule of the model, the batch stops before anything counts.
+
+    With ``station_buckets`` (or once it was given) the stations lie in hash buckets, of which a batch rewrites those it touches
+    (``sources.buckets``); else they are a snapshot as a whole, which is cheaper while they are few.
     """
     with scratch(batch.sparkSession):
-        return _load_batch(batch, root, label, drop_silent)
+        return _load_batch(batch, root, label, drop_silent, station_buckets)
 
 
-def _load_batch(batch: DataFrame, root: str, label: str, drop_silent: bool) -> dict:
+def _load_batch(batch: DataFrame, root: str, label: str, drop_silent: bool, station_buckets: int) -> dict:
     spark = batch.sparkSession
     started_at = datetime.now(timezone.utc)
     files = batch.select(F.input_file_name().alias("file")).filter("file <> ''").distinct()
     n_files = files.count()
-    observed, seen = observe_run(type_readings(batch), f"load-{label}-{started_at:%H%M%S%f}", drop_silent)
+    observed, seen = observe_run(type_readings(batch), f"load-{label}-{uuid.uuid4().hex}", drop_silent)
     usable, _ = split_valid(observed, drop_silent)
     staged = materialise(usable, "staged")
     counts = seen.get
@@ -158,16 +167,23 @@ def _load_batch(batch: DataFrame, root: str, label: str, drop_silent: bool) -> d
     types = load.seed_types(spark)
     target = f"{root}/target"
     towns = lake.read_snapshot(spark, f"{target}/town", load.towns_of(staged))
-    stations = lake.read_snapshot(spark, f"{target}/station", staged.select(*load.STATION_COLUMNS, F.col("collected_at").alias("seen_at")))
     snapshot = f"{started_at:%Y%m%dT%H%M%S%f}"
     towns_now = materialise(load.insert_absent(towns, load.towns_of(staged), "town_code", ["town_name"]), "town")
-    stations_now = materialise(
-        load.upsert_latest(stations, staged, "station_id", ["collected_at", "updated_at", "station_code"],
-                           ["station_name", "latitude", "longitude", "capacity", "town_code"]), "station")
+    like = staged.select(*load.STATION_COLUMNS, F.col("collected_at").alias("seen_at"))
+    upsert = "station_id", ["collected_at", "updated_at", "station_code"], ["station_name", "latitude", "longitude", "capacity", "town_code"]
+    change = None
+    if station_buckets or buckets.newest_manifest(spark, f"{target}/station"):
+        change = buckets.upsert_buckets(staged, f"{target}/station", *upsert, like, station_buckets or buckets.BUCKETS)
+        stations_now = change.table
+    else:
+        stations_now = materialise(load.upsert_latest(lake.read_snapshot(spark, f"{target}/station", like), staged, *upsert), "station")
     require_valid_dimensions({"town": towns_now, "station": stations_now, "bike_type": types})
     if not lake.exists(spark, f"{target}/town") or towns_now.count() != towns.count():  # towns are only ever added
         lake.write_snapshot(towns_now, f"{target}/town", snapshot)
-    lake.write_snapshot(stations_now, f"{target}/station", snapshot)
+    if change is not None:
+        change.commit()
+    else:
+        lake.write_snapshot(stations_now, f"{target}/station", snapshot)
 
     numbered = load.with_reading_id(staged).withColumn("date", F.to_date("collected_at"))
     known = lake.read_batches(spark, f"{target}/reading", numbered.select(*load.READING_COLUMNS, "date"))
@@ -205,16 +221,22 @@ def compact_closed(spark: SparkSession, root: str, before) -> dict:
 
 
 def run_incremental(spark: SparkSession, root: str, checkpoint: str, once: bool = True, drop_silent: bool = False, compact: bool = True,
-                    **options):
-    """Start the cleaning job over files of the aggregated zone it has not read yet.
+                    committed: bool = True, station_buckets: int = None, **options):
+    """Start the cleaning job over the batches of the aggregated zone it has not read yet.
 
-    ``options`` go to the file source, for example ``maxFilesPerTrigger``: a long history then comes in many batches.
+    The stream follows the commit files of the zones, so it never sees a batch before its end, nor twice. A zone that another program
+    fills without commits is followed file by file with ``committed=False``. ``options`` go to the file source, for example
+    ``maxFilesPerTrigger`` (commits or files): a long history then comes in many batches.
     With ``compact`` the first batch of a calendar day joins the folders of the days that ended two days before, between
     its own reads and writes, so no other job should read those days at that moment.
     """
-    source = spark.readStream.schema(S.AGGREGATED_SCHEMA).options(**options).json(f"{root}/aggregated")
     last = []
-    renamed = source.select(*[F.col(f).alias(c) for f, c in S.AGGREGATED_FIELDS.items()])
+    if committed:
+        lake.make_folder(spark, f"{root}/{lake.COMMITS}")
+        source = spark.readStream.schema(lake.COMMIT).options(**options).json(f"{root}/{lake.COMMITS}")
+    else:
+        source = spark.readStream.schema(S.AGGREGATED_SCHEMA).options(**options).json(f"{root}/aggregated")
+        source = source.select(*[F.col(f).alias(c) for f, c in S.AGGREGATED_FIELDS.items()])
 
     def handle(batch, batch_id):
         if not batch.isEmpty():
@@ -222,9 +244,10 @@ def run_incremental(spark: SparkSession, root: str, checkpoint: str, once: bool
             if compact and last != [today]:
                 last[:] = [today]
                 compact_closed(spark, root, today - timedelta(days=1))
-            load_batch(batch, root, batch_label(spark, batch_id), drop_silent)
+            rows = lake.read_committed_batches(batch.sparkSession, root, batch) if committed else batch
+            load_batch(rows, root, batch_label(spark, batch_id), drop_silent, station_buckets)
 
-    return renamed.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(
+    return source.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(
         **trigger_of(once, CLEANING_INTERVAL)).start()
 
 

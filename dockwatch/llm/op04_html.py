@@ -21,18 +21,22 @@ from dockwatch.llm.common import hashed_sample, lean, materialise
 from dockwatch.llm.html_blocks import Paths, blocks
 from dockwatch.llm.textscan import mix, span_hashes, words
 
-#: Pages that teach, layouts made of them, and blocks of a page used in teaching (all blocks are labelled later).
+#: Pages that teach, layouts made of them, and blocks of a page used in teaching: a third each from its head, middle and end. All
+#: blocks of all pages are labelled later. A page of any length may teach; of a block that teaches, a layout takes LAYOUT_CHARS.
 TRAIN_PAGES = 160
 LAYOUTS = 640
 TRAIN_BLOCKS = 80
-#: Longer pages do not teach.
-TRAIN_CHARS = 100_000
+#: How often the pages themselves are shown for each showing of the layouts.
+REPEATS = 3
+LAYOUT_CHARS = 2000
 PATH_SLOTS, WORD_SLOTS, COUNTS = 96, 32, 7
 INPUTS = PATH_SLOTS + WORD_SLOTS + COUNTS
 HIDDEN = 20
 EPOCHS = 14
 #: Cells (pages x longest page) that are labelled at once.
 CELLS = 8192
+#: How often layouts hold plain elements whose names say nothing.
+PLAIN = 1.0
 
 OUTSIDE_TAGS = frozenset("nav header footer aside form button menu dialog fieldset".split())
 OUTSIDE_NAMES = frozenset(
@@ -43,23 +47,34 @@ OUTSIDE_NAMES = frozenset(
 INSIDE_TAGS = ("article", "main")
 
 
-def marks(paths, path, spared=frozenset()):
-    """Elements around a block (numbers of paths) that put it outside the main text; names of spared elements do not count."""
-    out, inner = [], []
-    while path > 0:
-        parent, tag, names = paths.parts[path]
-        title = tag == "header" and any(t in ("h1", "h2") for t in inner) and any(t in INSIDE_TAGS for t, _ in paths.chain(path))
-        if (tag in OUTSIDE_TAGS and not title) or (not title and path not in spared and tag not in ("body", "html", "article", "main") and OUTSIDE_NAMES.intersection(names)):
-            out.append(path)
-        inner.append(tag)
-        path = parent
-    return out
+def _around(paths, found):
+    """All paths of the blocks ``found`` and of the elements around them, parents first."""
+    seen = set()
+    for path, _, _ in found:
+        while path > 0 and path not in seen:
+            seen.add(path)
+            path = paths.parts[path][0]
+    return sorted(seen)
+
 
+def marks(paths, order, spared=frozenset()):
+    """Per path of ``order`` the number of elements that put it outside the main text; names of spared elements do not count.
 
-def _above(paths, path):
-    while path > 0:
-        yield path
-        path = paths.parts[path][0]
+    A header inside an article counts only where no title stands between it and the path.
+    """
+    state = {0: (0, 0, False)}  # elements, headers that a title would make harmless, inside an article
+    for path in order:
+        parent, tag, names = paths.parts[path]
+        n, headers, inside = state[parent]
+        inside = inside or tag in INSIDE_TAGS
+        if tag in ("h1", "h2"):
+            headers = 0
+        if tag == "header" and inside:
+            headers += 1
+        elif tag in OUTSIDE_TAGS or (path not in spared and tag not in ("body", "html", "article", "main") and OUTSIDE_NAMES.intersection(names)):
+            n += 1
+        state[path] = n, headers, inside
+    return {path: n + headers for path, (n, headers, _) in state.items()}
 
 
 def main_blocks(page, paths):
@@ -69,21 +84,28 @@ def main_blocks(page, paths):
     its text (without an article: of the text of the page). An article inside such elements counts as the page's if it
     has as much text as all that would be main without it, so that teasers in a sidebar do not.
     """
-    held, free = {}, 0
+    order = _around(paths, page)
+    plain, held = marks(paths, order), dict.fromkeys([0, *order], 0)
     for path, text, _ in page:
-        for at in _above(paths, path):
-            held[at] = held.get(at, 0) + len(text)
-        free += 0 if marks(paths, path) else len(text)
-    articles = sorted((len(marks(paths, at)), -size, at) for at, size in held.items() if paths.parts[at][1] in INSIDE_TAGS)
+        held[path] += len(text)
+    for path in reversed(order):
+        held[paths.parts[path][0]] += held[path]
+    free = sum(len(text) for path, text, _ in page if not plain[path])
+    articles = sorted((plain[at], -held[at], at) for at in order if paths.parts[at][1] in INSIDE_TAGS)
     every, spared, article = sum(len(text) for _, text, _ in page), set(), None
     if articles and (articles[0][0] == 0 or -articles[0][1] >= free):
-        article = articles[0][2]
-        spared.update(_above(paths, article))
+        article = at = articles[0][2]
         every = held[article]
-    for at, size in held.items():
-        if 2 * size > every and (not articles or article in _above(paths, at)):
+        while at > 0:
             spared.add(at)
-    return [not marks(paths, path, spared) for path, _, _ in page]
+            at = paths.parts[at][0]
+    within = {0: False}
+    for at in order:
+        within[at] = at == article or within[paths.parts[at][0]]
+        if 2 * held[at] > every and (not articles or within[at]):
+            spared.add(at)
+    outside = marks(paths, order, spared)
+    return [not outside[path] for path, _, _ in page]
 
 
 def _hashed(token: str):
@@ -96,19 +118,30 @@ class Describer:
     """Input vectors of the blocks of many pages."""
 
     def __init__(self):
-        self.paths, self._vectors = Paths(), {0: np.zeros(PATH_SLOTS, np.float32)}
+        self.paths, self._vectors, self._slots = Paths(), {0: np.zeros(PATH_SLOTS, np.float32)}, {}
+
+    def _add(self, vector, token):
+        if token not in self._slots:
+            self._slots[token] = _hashed(token)
+        for slot, sign in self._slots[token]:
+            vector[slot] += sign
 
     def path_vector(self, path):
-        found = self._vectors.get(path)
-        if found is None:
-            found = np.zeros(PATH_SLOTS, np.float32)
-            chain = list(self.paths.chain(path))
-            tokens = {f"in:{tag}" for tag, _ in chain} | {f"named:{n}" for _, names in chain for n in names} | {f"at:{chain[0][0]}"}
-            for token in tokens:
-                for slot, sign in _hashed(token):
-                    found[slot] += sign
-            self._vectors[path] = found
-        return found
+        """Sum over the distinct words of the elements around; a path adds its fresh words to the sum of its parent."""
+        todo = []
+        while path not in self._vectors:
+            todo.append(path)
+            path = self.paths.parts[path][0]
+        vector = self._vectors[path]
+        for path in reversed(todo):
+            vector = vector.copy()
+            for token in self.paths.fresh[path]:
+                self._add(vector, token)
+            self._vectors[path] = vector
+        vector = vector.copy()
+        if path:
+            self._add(vector, f"at:{self.paths.parts[path][1]}")
+        return vector
 
     def pages(self, texts):
         """Blocks of each page, and the input rows of all blocks one page after the other."""
@@ -263,6 +296,9 @@ _HOLDERS = [("<article>", "</article>"), ("<main>", "</main>"), ('<div class="co
 _LISTS = [("<nav><ul>", "</ul></nav>"), ('<ul class="menu">', "</ul>"), ('<div class="breadcrumbs"><ul>', "</ul></div>"), ('<aside><ul>', "</ul></aside>"),
           ('<div class="related"><ul>', "</ul></div>"), ('<div role="navigation"><ul>', "</ul></div>")]
 _PARTS = [("<header><p>", "</p></header>"), ("<footer>", "</footer>"), ("<aside><p>", "</p></aside>"), ("<form><label>", "</label></form>"), ("<form><p>", "</p><button>Go</button></form>")]
+#: Plain elements whose names say nothing, for bars, endings and holders.
+_PLAIN = [('<div class="{}">', "</div>"), ('<div id="{}">', "</div>"), ("<div>", "</div>"), ('<section class="{} {}">', "</section>"), ('<p class="{}">', "</p>")]
+_ENDINGS = ("© {} {}", "Copyright {} {}. All rights reserved.", "{1}, {0}", "© {1} {0} - {1}", "{1} (c) {0}")
 #: Classes of wrappers around main text and other parts; figures are main text.
 _WRAPPERS = ("has-{}", "with-{}", "{}-fixed", "{}-layout", "body-{}", "page {}")
 _FIGURES = [("<figure><figcaption>", "</figcaption></figure>"), ("<figure><pre>", "</pre></figure>"), ("<figure><table><tr><td>", "</td></tr></table></figure>"), ("<figure><img src=x><p>", "</p></figure>")]
@@ -281,10 +317,31 @@ def layouts(pages, count, seed=13):
     for _ in range(count):
         made, labels = [], []
 
-        def part():
+        def name():
+            return "".join(rng.choice("bcdfghklmnprstvw") + rng.choice("aeiou") for _ in range(rng.randint(1, 3)))
+
+        def nameless(texts):
+            """A bar of short links or an ending, in elements that do not tell what they are."""
+            start, end = rng.choice(_PLAIN)
+            start = start.format(name(), name())
+            short = [w for t in texts for w in t.split()[:2]][:8] or ["Home"]
+            if rng.random() < 0.5 or start.startswith("<p"):
+                line = rng.choice(_ENDINGS).format(rng.randint(1995, 2030), " ".join(short[:3]))
+                made.append(start + (escape(line) if start.startswith("<p") else f"<p>{escape(line)}</p>") + end)
+                labels.append(0)
+            elif rng.random() < 0.5:
+                made.append(start + "".join(f'<p><a href="/{w}">{escape(w)}</a></p>' for w in short) + end)
+                labels.extend([0] * len(short))
+            else:
+                made.append(start + " | ".join(f'<a href="/{w}">{escape(w)}</a>' for w in short) + end)
+                labels.append(0)
+
+        def part(within=False):
             texts = [rng.choice(rng.choice(inside)) if rng.random() < 0.3 else rng.choice(other) for _ in range(rng.randint(1, 4))]
             kind = rng.random()
-            if kind < 0.25:
+            if kind < 0.12 * PLAIN and not within:
+                nameless(texts)
+            elif kind < 0.3:
                 start, end = rng.choice(_LISTS)
                 items = [w for t in texts for w in t.split()[:3]][:6] or ["Home"]
                 made.append(start + "".join(f'<li><a href="/{n}">{escape(w)}</a></li>' for n, w in enumerate(items)) + end)
@@ -311,6 +368,9 @@ def layouts(pages, count, seed=13):
                 part()
         else:
             start, end = rng.choice(_HOLDERS)
+            if rng.random() < 0.25 * PLAIN:
+                start, end = rng.choice(_PLAIN[:-1])
+                start = start.format(name(), name())
         made.append(start)
         body = rng.choice(inside)[:rng.randint(1, 30)]
         for n, text in enumerate(body):
@@ -319,9 +379,9 @@ def layouts(pages, count, seed=13):
             made.append(before + escape(text) + after)
             labels.append(1)
             if rng.random() < 0.05:
-                part()
+                part(within=True)
         if rng.random() < 0.15:
-            part()
+            part(within=True)
         made.append(end)
         if wrapped:
             if rng.random() < 0.5:
@@ -329,42 +389,75 @@ def layouts(pages, count, seed=13):
             made.append("</div>")
         for _ in range(rng.randint(0, 4)):
             part()
+        if rng.random() < 0.3 * PLAIN:
+            nameless([rng.choice(other)])
         yield "<html><body>" + "".join(made) + "</body></html>", labels
 
 
+def chosen(n):
+    """Places of the blocks of a page of ``n`` blocks that teach: all, or as many from its head, middle and end."""
+    if n <= TRAIN_BLOCKS:
+        return np.arange(n)
+    part = TRAIN_BLOCKS // 3
+    middle = (n - part) // 2
+    return np.concatenate([np.arange(part), np.arange(middle, middle + part), np.arange(n - (TRAIN_BLOCKS - 2 * part), n)])
+
+
+def lesson(page: str, describer: Describer):
+    """What a page teaches: inputs, labels and texts of some of its blocks."""
+    (found,), x = describer.pages([page])
+    main, at = main_blocks(found, describer.paths), chosen(len(found))
+    return x[at], np.array([main[i] for i in at], bool), [found[i][1][:LAYOUT_CHARS] for i in at]
+
+
 def teach(pages) -> BlockLabeller:
     """Labeller from the html of some pages."""
     describer = Describer()
-    found, x = describer.pages(pages)
-    sequences, known, at = [], [], 0
-    for page in found:
-        labels = np.array(main_blocks(page, describer.paths), float)
-        sequences.append((x[at:at + len(page)][:TRAIN_BLOCKS], labels[:TRAIN_BLOCKS]))
-        known.append([(text, bool(main)) for (_, text, _), main in zip(page, labels)])
-        at += len(page)
-    made = list(layouts(known, LAYOUTS))
-    _, x = describer.pages([page for page, _ in made])
+    return teach_lessons([lesson(page, describer) for page in pages])
+
+
+def teach_lessons(lessons) -> BlockLabeller:
+    sequences = [(x, main.astype(float)) for x, main, _ in lessons] * REPEATS
+    made = list(layouts([list(zip(texts, main.tolist())) for _, main, texts in lessons], LAYOUTS))
+    _, x = Describer().pages([page for page, _ in made])
     at = 0
     for page, labels in made:
-        sequences.append((x[at:at + len(labels)][:TRAIN_BLOCKS], np.array(labels[:TRAIN_BLOCKS], float)))
+        sequences.append((x[at:at + len(labels)][chosen(len(labels))], np.array(labels, float)[chosen(len(labels))]))
         at += len(labels)
     if at != len(x):
         raise ValueError("a layout has other blocks than labels")
     return BlockLabeller().fit(sequences)
 
 
+LESSON = "id {}, x array<float>, main array<boolean>, texts array<string>"
+
+
+def lessons_of(pages: DataFrame):
+    """Lessons of the pages ``id, html``, made by tasks; what reaches the driver is bounded per page."""
+    def run(batches):
+        describer = Describer()
+        for batch in batches:
+            for page_id, page in zip(batch.column(0), batch.column(1).to_pylist()):
+                x, main, texts = lesson(page, describer)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([page_id.as_py()], batch.column(0).type), pa.array([x.ravel().tolist()], pa.list_(pa.float32())), pa.array([main.tolist()], pa.list_(pa.bool_())),
+                     pa.array([texts], pa.list_(pa.string()))], ["id", "x", "main", "texts"])
+
+    made = pages.mapInArrow(lean(run), LESSON.format(pages.schema["id"].dataType.simpleString()))
+    return [(np.array(r["x"], np.float32).reshape(-1, INPUTS), np.array(r["main"], bool), r["texts"]) for r in made.orderBy("id").toArrow().to_pylist()]
+
+
 def extract_main_text(df: DataFrame, id_col="page_id", url_col="url", html_col="html", train_pages=TRAIN_PAGES) -> DataFrame:
     """``id_col, url_col, text, n_chars`` of every page of ``df``: its main blocks in page order, joined by a newline.
 
     Character references are decoded, white space inside a block is one space, and nothing is cut. A null or empty page and
-    one without main text give an empty text. Ids and urls may be null and rows repeated; other columns are ignored; an
+    one without main text give an empty text; hostile markup takes time linear in its length. Ids and urls may be null and rows repeated; other columns are ignored; an
     empty table gives an empty result (and nothing to learn from: then no block is main text).
     """
     given = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     picked = materialise(hashed_sample(given.select("id").where("id is not null").distinct(), "id", train_pages), "known")
-    taught = (given.where(F.length("html").between(1, TRAIN_CHARS)).join(F.broadcast(picked), "id")
-              .groupBy("id").agg(F.min("html").alias("html")).orderBy("id").toArrow()["html"].to_pylist())
-    labeller = teach(taught)
+    taught = given.where(F.length("html") > 0).join(F.broadcast(picked), "id").groupBy("id").agg(F.min("html").alias("html"))
+    labeller = teach_lessons(lessons_of(taught))
 
     def run(batches):
         describer = Describer()

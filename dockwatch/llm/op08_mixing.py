@@ -1,15 +1,19 @@
 """Mixing to target weights by soft membership.
 
 A classifier learnt from a labelled table gives every document a posterior over domains, so a document counts for each domain
-in part and unlabelled documents count too. Document rates (how often a document is read per epoch) start at 1 and take one
-projected step, 1 + posterior x weights and never below 0, to the solution of
+in part and unlabelled documents count too. Document rates (how often a document is read per epoch) start at 1 and follow projected
+gradients of the least squares
 
-    least sum of tokens x (rate - 1)^2 + sum over domains (expected tokens of the domain - target)^2 / (all tokens x slack),
+    sum over domains of miss^2, where miss = sum over documents of rate x tokens x posterior - target.
 
-where expected tokens are the sum of rate x tokens x posterior. The step is taken in the metric of token counts, so documents
-with equal posteriors get equal rates whatever their length. The weights, one per domain, are the dual solution; active-set
-(Newton) steps find them from domain totals and products summed by Spark, and the slack falls until the targets are met.
-Targets that no rates >= 0 meet are reported with the totals that were reached.
+In the metric of token counts the gradient of a document is its posterior times the misses, so an iteration is one vector over the domains:
+every rate becomes max(0, rate - posterior x vector), and documents with equal posteriors keep equal rates whatever their length.
+The gradient itself always descends if its length is the inverse of the largest eigenvalue of the sum of tokens x posterior x posterior'.
+Rare domains make that slow, so it is also tried preconditioned with the inverse of this matrix, over all documents and over those with a rate
+above 0, in several lengths, all in one pass over the documents; the vector after which the misses are least is taken.
+Iterations end when every total is within the tolerance, or at the least squares. Targets that no rates >= 0 meet would drag all
+rates with them, so the target that is missed most is then given up and the others, in proportion, are fitted again; what every
+target reached is reported.
 
 Rates become whole numbers of copies by seeded rounding whose mean is the rate.
 """
@@ -30,10 +34,12 @@ WORD_SLOTS = 1 << 14
 EPOCHS = 60
 #: Miss of a domain's tokens, as a share of all tokens, that counts as met.
 TOLERANCE = 1e-3
-#: Slack of the targets: the first, and the least before unmet targets are given up.
-SLACK, LEAST_SLACK = 1e-2, 1e-12
-#: Parts of a Newton step that are tried in one pass.
-TRIED = 0.25 ** np.arange(8)
+#: Lengths of a step that are tried in one pass: of the gradient (in units that always descend), of the preconditioned gradient.
+PLAIN_LENGTHS, LENGTHS = (1.0,), (1.0, 0.5, 0.25, 0.0625)
+#: Iterations at most, and the descent (share of the squares over STALL_STEPS iterations) below which the least squares count as reached.
+MOST_STEPS, STALLED = 80, 0.1
+#: So many iterations are compared for that.
+STALL_STEPS = 6
 _KIND = np.full(256, 9, np.uint8)
 for _n, _chars in enumerate((b" \t\n\v\f\r", bytes(range(0x61, 0x7B)), bytes(range(0x41, 0x5B)), b"0123456789", b"|", b"!", b"#*$%&<>", b".,", bytes(range(128, 256)))):
     _KIND[list(_chars)] = _n
@@ -126,85 +132,76 @@ def fit_domains(df: DataFrame, labelled: DataFrame, id_col: str, text_col: str,
     return DomainModel(names).fit((shares, sparse, None), np.array([names.index(d) for d in domains], np.int64))
 
 
-def rates(posteriors, steps, tokens=None):
-    """Rates of documents after the given steps (one vector over the domains each), never below 0.
+def rates(posteriors, steps, tokens=None, cap=np.inf):
+    """Rates of documents after the given steps (one vector over the domains each), never below 0 or above ``cap``.
 
     Documents without ``tokens`` count for no domain and keep rate 1.
     """
     r = np.ones(len(posteriors))
     for step in steps:
-        r = np.maximum(0, r - posteriors @ step)
+        r = np.clip(r - posteriors @ step, 0, cap)
     return r if tokens is None else np.where(np.asarray(tokens) > 0, r, 1.0)
 
 
-def fit_rates(table: DataFrame, shares: list[float], tolerance=TOLERANCE):
-    """The step that leads to the targets, from ``table`` of ``tokens, posterior``: its vector in a list, the totals it reaches and the targets.
+def fit_rates(table: DataFrame, shares: list[float], tolerance=TOLERANCE, most=MOST_STEPS, cap=np.inf, free=()):
+    """The steps that lead to the targets, from ``table`` of ``tokens, posterior``, the totals they reach and the targets.
 
-    The list is empty if rates of 1 meet the targets. The slack falls tenfold until every total is within ``tolerance`` of all tokens.
+    Domains at the places ``free`` have no target. One pass over the table per iteration; a few numbers per domain come back from it.
+    No step if rates of 1 meet the targets.
     """
     k = len(shares)
+    bound = np.array([i not in free for i in range(k)])
 
-    def measured(tried):
-        """Totals, products of documents with a rate above 0, sum of tokens x rate^2 and largest exponent, for each vector of weights."""
+    def measured(steps, tried):
+        """Totals, and products of documents with a rate above 0, after ``steps`` and each of ``tried``."""
         m = len(tried)
 
         def run(batches):
-            sums, gram, squares, largest = np.zeros((m, k)), np.zeros((m, k, k)), np.zeros(m), np.full(m, -np.inf)
+            sums, gram = np.zeros((m, k)), np.zeros((m, k, k))
             for batch in batches:
                 t = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
                 p = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
                 p, t = p[t > 0], t[t > 0]
-                for n, weights in enumerate(tried):
-                    r = rates(p, [-weights])
+                so_far = rates(p, steps, cap=cap)
+                for n, step in enumerate(tried):
+                    r = np.clip(so_far - p @ step, 0, cap)
                     sums[n] += (r * t) @ p
                     gram[n] += (p * (t * (r > 0))[:, None]).T @ p
-                    squares[n] += t @ r**2
-                    largest[n] = max(largest[n], (p @ weights).max(initial=-np.inf))
-            row = np.concatenate([sums.ravel(), gram.ravel(), squares, largest])
+            row = np.concatenate([sums.ravel(), gram.ravel()])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(row))), pa.array(row)], ["i", "v"])
 
-        found = table.select("tokens", "posterior").mapInArrow(lean(run), "i long, v double").groupBy("i").agg(F.sum("v").alias("v"), F.max("v").alias("most")).collect()
-        row, most = np.zeros(m * (k + k * k + 2)), np.full(m * (k + k * k + 2), -np.inf)
-        for r in found:  # one per number
-            row[r.i], most[r.i] = r.v, r.most
-        ends = np.cumsum([m * k, m * k * k, m])
-        sums, gram, squares, _ = np.split(row, ends)
-        return sums.reshape(m, k), gram.reshape(m, k, k), squares, most[ends[-1]:]
+        row = np.zeros(m * (k + k * k))
+        for r in table.select("tokens", "posterior").mapInArrow(lean(run), "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():  # one per number
+            row[r.i] = r.v
+        return row[:m * k].reshape(m, k), row[m * k:].reshape(m, k, k)
 
-    weights = np.zeros(k)
-    (now,), (gram,), (squares,), _ = measured([weights])
+    steps = []
+    (now,), (active,) = measured(steps, [np.zeros(k)])
     every = now.sum()
-    target = np.array(shares) / max(sum(shares), 1e-300) * every
-    if not every or np.abs(now - target).max() <= tolerance * every:
-        return [], now, target
-
-    def height(w, squares, slack):
-        return 0.5 * squares - target @ w + 0.5 * slack * every * w @ w
-
-    slack, impossible = SLACK, False
-    while True:
-        low = height(weights, squares, slack)
-        parts = TRIED
-        while parts[0] > 1e-12:
-            slope = now - target + slack * every * weights
-            step = np.linalg.solve(gram / every + slack * np.eye(k), -slope / every)
-            if -slope @ step <= 1e-12 * every:
-                break
-            tried = [weights + part * step for part in parts]
-            sums, grams, square, largest = measured(tried)
-            heights = np.array([height(w, q, slack) for w, q in zip(tried, square)])
-            at = int(np.argmin(heights))
-            if not heights[at] < low:
-                parts = parts * TRIED[-1]
-                continue
-            weights, now, gram, squares, low, parts = tried[at], sums[at], grams[at], square[at], heights[at], TRIED
-            # totals within the tolerance would give target @ weights <= bound
-            bound = largest[at] + tolerance * (np.abs(weights).sum() + k * abs(largest[at]))
-            impossible |= bool(target @ weights > bound * every)
-        miss = np.abs(now - target).max() / every
-        if miss <= tolerance or slack <= LEAST_SLACK or impossible:
-            return [-weights], now, target
-        slack /= 10
+    target = np.where(bound, shares, 0.0) / max(np.where(bound, shares, 0.0).sum(), 1e-300) * every
+
+    def inverse(gram):
+        return np.linalg.pinv(gram * np.outer(bound, bound), 1e-12, hermitian=True)
+
+    whole, largest = inverse(active), max(np.linalg.eigvalsh(active)[-1], 1e-300) if k else 1.0
+    past = []
+    while every:
+        miss = np.where(bound, now - target, 0.0)
+        past.append(miss @ miss)
+        stalled = len(past) > STALL_STEPS and past[-1] > (1 - STALLED) * past[-1 - STALL_STEPS]
+        if np.abs(miss).max() <= tolerance * every or len(steps) >= most or stalled:
+            break
+        tried = [x / largest * miss for x in PLAIN_LENGTHS]
+        for matrix in (whole, inverse(active)):
+            tried += [x * (matrix @ miss) for x in LENGTHS]
+        sums, grams = measured(steps, tried)
+        squares = (np.where(bound, sums - target, 0.0) ** 2).sum(1)
+        at = int(np.argmin(squares))
+        if not squares[at] < past[-1]:
+            break
+        steps.append(tried[at])
+        now, active = sums[at], grams[at]
+    return steps, now, target
 
 
 def _uniform(ids, seed):
@@ -213,15 +210,19 @@ def _uniform(ids, seed):
     return (mix(ids * np.uint64(2) + mix(np.uint64(seed))) >> np.uint64(11)).astype(float) / 2.0**53
 
 
-def fit_mixture(df: DataFrame, labelled: DataFrame, targets: dict, id_col="doc_id", text_col="text"):
-    """Classifier, table ``id, tokens, posterior`` of all documents and the fitted steps.
+REPORT = "domain: string, wanted: double, reached: double"
+
+
+def fit_mixture(df: DataFrame, labelled: DataFrame, targets: dict, id_col="doc_id", text_col="text", taught_by: DataFrame = None, cap=np.inf):
+    """Classifier, table ``id, tokens, posterior`` of all documents, the fitted steps and a report.
 
-    Domains of ``targets`` that no labelled document of ``df`` has are left out, and the others keep their proportions; labels of
-    other domains are ignored. If the targets cannot be met with rates >= 0, the slack stays where that is proved and a warning
-    names the shares that were reached and wanted.
+    ``taught_by`` holds the texts of the labelled ids, by default ``df``; ``cap`` bounds every rate. The report has a row per target: its
+    domain and its share of the tokens as wanted and as reached. Domains without a labelled text have no posterior and reach nothing;
+    targets that cannot be met are given up one by one, the one that is missed most first; the others keep their proportions.
+    Labels of other domains are ignored. A warning, too, names targets that are missed.
     """
     labelled = labelled.where(F.col("domain").isin([str(d) for d in targets]))
-    model = fit_domains(df, labelled, id_col, text_col)
+    model = fit_domains(df if taught_by is None else taught_by, labelled, id_col, text_col)
     k = len(model.domains)
 
     def run(batches):
@@ -236,49 +237,63 @@ def fit_mixture(df: DataFrame, labelled: DataFrame, targets: dict, id_col="doc_i
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     table = materialise(rows.mapInArrow(lean(run), "id long, tokens long, posterior array<double>"), "posteriors")
-    if not k:
-        return model, table, []
-    steps, now, target = fit_rates(table, [targets[d] for d in model.domains])
-    every = target.sum()
-    if np.abs(now - target).max() > TOLERANCE * every:
-        told = ", ".join(f"{d} {a / every:.4f} instead of {b / every:.4f}" for d, a, b in zip(model.domains, now, target))
-        warnings.warn(f"no rates meet the targets; tokens as shares of all: {told}", RuntimeWarning, stacklevel=2)
-    return model, table, steps
+    steps, got = [], {}
+    if k:
+        shares, free = [targets[d] for d in model.domains], []
+        while True:
+            steps, now, target = fit_rates(table, shares, cap=cap, free=free)
+            short = [(target[i] - now[i]) / target[i] if i not in free and target[i] else 0.0 for i in range(k)]
+            if len(free) == k - 1 or np.abs(np.where(target > 0, now - target, 0)).max() <= TOLERANCE * target.sum() or max(short) <= 0:
+                break
+            free.append(int(np.argmax(short)))
+        got = dict(zip(model.domains, (now / (target.sum() or 1)).tolist()))
+    total = sum(targets.values()) or 1
+    report = [(str(d), w / total, got.get(str(d), 0.0)) for d, w in targets.items()]
+    missed = [f"{d} {b:.4f} instead of {a:.4f}" for d, a, b in report if abs(a - b) > 2 * TOLERANCE]
+    if missed:
+        warnings.warn(f"targets are missed; tokens as shares of all: {', '.join(missed)}", RuntimeWarning, stacklevel=2)
+    return model, table, steps, report
 
 
 def _copies(r, u):
     return np.floor(r).astype(np.int64) + (u < r - np.floor(r))
 
 
-def mixture_rates(df: DataFrame, labelled: DataFrame, targets: dict, seed=31, id_col="doc_id", text_col="text") -> DataFrame:
-    """``id_col, tokens, domains, posterior, rate, copies`` of every row of ``df``.
+def mixture_rates(df: DataFrame, labelled: DataFrame, targets: dict, seed=31, id_col="doc_id", text_col="text", taught_by: DataFrame = None, cap=np.inf) -> DataFrame:
+    """``id_col, tokens, domains, posterior, rate, copies, report`` of every row of ``df``; the report names every target, see ``fit_mixture``.
 
     ``targets``: domain -> weight; together they share as many tokens (words) as ``df`` has. ``copies`` is the rate rounded up or down
     so that its mean is the rate; it depends on id and seed only. A null text has no tokens; a null id rounds as id 0;
     repeated rows count each; rows without tokens keep rate 1; other columns are ignored; without labels every rate is 1; an empty table gives an empty result.
     """
-    model, table, steps = fit_mixture(df, labelled, targets, id_col, text_col)
+    model, table, steps, report = fit_mixture(df, labelled, targets, id_col, text_col, taught_by, cap)
     k = len(model.domains)
 
     def run(batches):
         for batch in batches:
             p = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, k)
-            r = rates(p, steps, batch.column(1))
+            r = rates(p, steps, batch.column(1), cap)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(r), pa.array(_copies(r, _uniform(batch.column(0), seed)))], ["id", "tokens", "posterior", "rate", "copies"])
 
     names = F.array(*[F.lit(d) for d in model.domains]).cast("array<string>")
     out = table.mapInArrow(lean(run), "id long, tokens long, posterior array<double>, rate double, copies long")
-    return out.select(F.col("id").alias(id_col), "tokens", names.alias("domains"), "posterior", "rate", "copies")
+    told = F.array(*[F.struct(F.lit(d).alias("domain"), F.lit(a).alias("wanted"), F.lit(b).alias("reached")) for d, a, b in report])
+    return out.select(F.col("id").alias(id_col), "tokens", names.alias("domains"), "posterior", "rate", "copies", told.cast(f"array<struct<{REPORT}>>").alias("report"))
+
 
+def mix_rows(df: DataFrame, labelled: DataFrame, targets: dict, seed=31, id_col="doc_id", text_col="text", taught_by: DataFrame = None, cap=np.inf, report_path: str = None) -> DataFrame:
+    """The rows of ``df`` as often as their copies, all columns unchanged; see ``mixture_rates``.
 
-def mix_rows(df: DataFrame, labelled: DataFrame, targets: dict, seed=31, id_col="doc_id", text_col="text") -> DataFrame:
-    """The rows of ``df`` as often as their copies, all columns unchanged; see ``mixture_rates``."""
-    model, _, steps = fit_mixture(df, labelled, targets, id_col, text_col)
+    The report of wanted and reached shares is written as a table to the new folder ``report_path``, if one is given.
+    """
+    model, _, steps, report = fit_mixture(df, labelled, targets, id_col, text_col, taught_by, cap)
+    if report_path:
+        df.sparkSession.createDataFrame(report, REPORT).coalesce(1).write.parquet(report_path)
     if not steps:
         return df
 
     def counts(data, offsets, ids):
         rows = inputs(data, offsets)
-        return _copies(rates(model.posteriors(rows), steps, rows[2]), _uniform(ids.cast(pa.int64()), seed))
+        return _copies(rates(model.posteriors(rows), steps, rows[2], cap), _uniform(ids.cast(pa.int64()), seed))
 
     return repeat_rows(df, text_col, counts, [id_col])

@@ -51,7 +51,7 @@ def split_by_ids(df: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, Da
     word = F.floor(place / 64).cast("int")
     columns = df.columns
     name = "_word"
-    while name in {c.lower() for c in columns}:
+    while any(c.lower().startswith(name) for c in columns):
         name = "_" + name
     words = ids.where(F.col(key).isNotNull()).select(word.alias(name), bit.alias(f"{name}_bit")).groupBy(name).agg(F.bit_or(f"{name}_bit").alias(f"{name}_bits"))
     words = materialise(words, "id_bits")

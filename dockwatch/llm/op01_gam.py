@@ -9,6 +9,8 @@ The fit uses at most TRAIN_ROWS labelled rows (those with the smallest hashes of
 of all texts are computed by Spark.
 """
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -243,7 +245,13 @@ def quality_scores(df: DataFrame, labels: DataFrame, label_col="quality", id_col
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def keep_good(df: DataFrame, labels: DataFrame, label_col="quality", id_col="doc_id", text_col="text", threshold=0.3) -> DataFrame:
-    """The rows of ``df`` whose text scores at least ``threshold``, all columns unchanged."""
-    model = fit_quality(df, labels, label_col, id_col, text_col)
+def keep_good(df: DataFrame, labels: DataFrame, label_col="quality", id_col="doc_id", text_col="text", threshold=0.3, taught_by: DataFrame = None) -> DataFrame:
+    """The rows of ``df`` whose text scores at least ``threshold``, all columns unchanged.
+
+    ``taught_by`` holds the texts of the labelled ids, by default ``df``. An earlier filter may have taken all texts of one
+    label out of ``df``: hand in the table before it, or the model learns nothing, which a warning tells.
+    """
+    model = fit_quality(df if taught_by is None else taught_by, labels, label_col, id_col, text_col)
+    if not model.tables:
+        warnings.warn("labelled texts of one quality only: the classifier keeps or drops all rows alike", RuntimeWarning, stacklevel=2)
     return repeat_rows(df, text_col, lambda data, offsets: model.score(features(data, offsets)) >= threshold)

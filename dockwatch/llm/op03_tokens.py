@@ -13,7 +13,6 @@ A short document is read from its own frame: the segment by the first and last i
 """
 
 import hashlib
-import uuid
 import zlib
 
 import numpy as np
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 
 from dockwatch.llm.common import hashed_sample, lean, materialise, utf8_array
 from dockwatch.llm.tokens import encoder as encoder_of
-from dockwatch.session import work_dir
 
 END_ID = 2
 #: Training of the dictionary: at most so many documents, of each at most so many bytes of ids; it changes sizes, never ids.
@@ -193,7 +191,3 @@ def decoded(out, digest):
     last = pa.array(last, pa.int64()) if digest else pa.array(last, pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), last],
                                       ["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"])
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"

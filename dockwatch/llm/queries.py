@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from dockwatch.llm.common import read_table
-from dockwatch.session import fixed_rows
+from dockwatch.session import fixed_rows, new_folder
 
 QUERIES, ORACLES = {}, {}
 SHARDS = 40
@@ -97,7 +97,7 @@ def op10_nearest(spark, sf_dir):
 @register("op3_token_ids")
 def op3_token_ids(spark, sf_dir):
     """Every whole text encoded, written as a token set, and read back from its frames."""
-    from dockwatch.llm.op03_tokens import new_folder, read_tokens, write_tokens
+    from dockwatch.llm.op03_tokens import read_tokens, write_tokens
     from dockwatch.llm.tokens import tokenizer_file
 
     path = write_tokens(read_table(spark, sf_dir, "documents"), new_folder(spark, "tokens"), tokenizer_file())

@@ -1,21 +1,26 @@
 """Corpus pipeline over ``documents``: rules, classifier, near-duplicates, mixture, packing.
 
-Every stage works on all rows of the stage before, reread from Parquet. All but the last return the columns they got.
+Every stage works on all rows of the stage before, reread from Parquet. All but the last return the columns they got. The
+classifier and the mixture learn from the labelled texts of the whole table: what earlier stages have dropped still teaches.
 """
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dockwatch.llm.common import read_table
-from dockwatch.llm.op01_gam import keep_good
+from dockwatch.llm.op01_gam import held_out, keep_good
 from dockwatch.llm.op02_packing import pack_documents
 from dockwatch.llm.op05_rules import keep_passing
 from dockwatch.llm.op06_neardup import keep_one
 from dockwatch.llm.op08_mixing import mix_rows
 from dockwatch.llm.queries import MIXTURE, domain_labels
 from dockwatch.llm.tokens import tokenizer_file
-from dockwatch.session import work_dir
+from dockwatch.session import materialise, new_folder
+
+#: Folders of the reports that the mixture stages of this process have written: wanted and reached share of every target.
+MIXTURE_REPORTS = []
+#: Rate of a document in the mixture at most.
+MOST_COPIES = 16
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score 0.3 or more, learnt from the labels of these documents (never from held-out ids)."""
-    return keep_good(docs, read_table(spark, sf_dir, "labels"))
+    """Documents that score 0.3 or more, learnt from all labelled documents (never from held-out ids)."""
+    return keep_good(docs, read_table(spark, sf_dir, "labels"), taught_by=read_table(spark, sf_dir, "documents"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +39,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the fitted rates say."""
-    return mix_rows(docs, domain_labels(read_table(spark, sf_dir, "labels")), MIXTURE)
+    """Documents as often as the fitted rates say; the shares that were reached are written to a report."""
+    labels = read_table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    MIXTURE_REPORTS.append(new_folder(spark, "mixture-report"))
+    return mix_rows(docs, domain_labels(labels), MIXTURE, taught_by=read_table(spark, sf_dir, "documents"), cap=MOST_COPIES,
+                    report_path=MIXTURE_REPORTS[-1])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +66,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; the results between stages lie in the shared folder."""
     docs = read_table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        path = f"{work_dir(spark)}/stage-{number}-{uuid.uuid4().hex}"
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{number}")
     return docs

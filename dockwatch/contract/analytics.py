@@ -208,9 +208,17 @@ def w5(spark, sf_dir):
     return O.top_k(table(spark, sf_dir, "orders"), [F.desc("o_totalprice"), "o_orderkey"], 15)
 
 
-@register("w6_ranked_order", """SELECT c_mktsegment, c_nationkey, n, row_number() OVER (ORDER BY CASE c_mktsegment WHEN 'MACHINERY' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'AUTOMOBILE' THEN 2
- ELSE 3 END, c_nationkey, c_mktsegment)::INTEGER AS position FROM (SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY ALL)""")
+@register("w6_ranked_order", """SELECT o_orderkey, o_orderpriority, o_custkey, row_number() OVER (ORDER BY CASE o_orderpriority WHEN '3-MEDIUM' THEN 0 WHEN '1-URGENT' THEN 1 WHEN '5-LOW' THEN 2
+ ELSE 3 END, o_custkey, o_orderkey) AS position FROM orders""")
 def w6(spark, sf_dir):
+    """All orders in a fixed order of priorities."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    return O.with_position(orders, O.rank_of("o_orderpriority", ["3-MEDIUM", "1-URGENT", "5-LOW"]), "o_custkey", "o_orderkey")
+
+
+@register("w6_ranked_segments", """SELECT c_mktsegment, c_nationkey, n, row_number() OVER (ORDER BY CASE c_mktsegment WHEN 'MACHINERY' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'AUTOMOBILE' THEN 2
+ ELSE 3 END, c_nationkey, c_mktsegment)::INTEGER AS position FROM (SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY ALL)""")
+def w6_segments(spark, sf_dir):
     counts = table(spark, sf_dir, "customer").groupBy("c_mktsegment", "c_nationkey").agg(F.count("*").alias("n"))
     return positioned(O.order_by_rank(counts, "c_mktsegment", ["MACHINERY", "BUILDING", "AUTOMOBILE"], "c_nationkey", "c_mktsegment"))
 

@@ -12,7 +12,7 @@ from dockwatch.operators import proximity, relations
 from dockwatch.operators.asof import asof_version, attach_reference
 from dockwatch.operators.ordering import dedup
 from dockwatch.plans import readings as plan
-from dockwatch.session import work_dir
+from dockwatch.session import new_folder
 from dockwatch.sources import lake, reference
 
 K = "regexp_extract(props, '([0-9]+)', 1)"
@@ -73,21 +73,36 @@ FLAT_SQL = f"""SELECT CAST({STATION_ID} AS VARCHAR) AS station_id,
  CASE WHEN event_type = 'view' THEN '0' ELSE '1' END AS is_renting, '1' AS is_returning"""
 
 
-@register("p19_duplicate_fields", f"{FLAT_SQL} FROM events")
 @register("s8_flatten", f"{FLAT_SQL} FROM events")
 def s8(spark, sf_dir):
     """The messages hold each count under a second name too, with another value: only the first name counts."""
     return lake.flatten_raw_status(messages(spark, sf_dir)).drop("collected_at")
 
 
+# every third message has the second names only, every third both with different values, the others the first names only
+SECOND_ONLY = f"""'{{"station_id":' || CAST({STATION_ID} AS STRING) || ',"stationCode":"A","numBikesAvailable":' || CAST(event_id % 50 AS STRING) || ',"numDocksAvailable":8}}'"""
+BOTH = f"""'{{"station_id":' || CAST({STATION_ID} AS STRING) || ',"numBikesAvailable":' || CAST(event_id % 50 AS STRING) || ',"num_bikes_available":' || {K} ||
+ ',"num_docks_available":3,"numDocksAvailable":8,"unused":{{"num_docks_available":77}}}}'"""
+FIRST_ONLY = f"""'{{"num_docks_available":3,"num_bikes_available":' || {K} || ',"station_id":' || CAST({STATION_ID} AS STRING) || '}}'"""
+NAMES = f"CASE event_id % 3 WHEN 0 THEN {SECOND_ONLY} WHEN 1 THEN {BOTH} ELSE {FIRST_ONLY} END"
+
+
+@register("p19_duplicate_fields", f"""SELECT CAST({STATION_ID} AS VARCHAR) AS station_id, CASE WHEN event_id % 3 = 0 THEN 'A' END AS station_code,
+ CASE WHEN event_id % 3 <> 0 THEN {K} END AS bikes_total, CASE WHEN event_id % 3 <> 0 THEN '3' END AS docks_free FROM events""")
+def p19(spark, sf_dir):
+    """A count under its second name only, or under both with different values: only the first name counts."""
+    rows = table(spark, sf_dir, "events").select(F.expr(NAMES).alias("value"))
+    return lake.flatten_raw_status(rows).select("station_id", "station_code", "bikes_total", "docks_free")
+
+
 def zone_slot():
     """Writing time of a message in the derived raw zone: four files a day."""
     return F.concat(F.lpad((F.floor(F.hour("ts") / 6) * 6).cast("string"), 2, "0"), F.lit("0000"))
 
 
-def raw_zone(spark, sf_dir, parent=None):
+def raw_zone(spark, sf_dir):
     """Messages stored as a raw zone, by date and time of writing."""
-    path = f"{parent or work_dir(spark)}/raw-{datetime.now():%H%M%S%f}"
+    path = new_folder(spark, "raw")
     rows = messages(spark, sf_dir).select("value", F.to_date("ts").alias("date"), zone_slot().alias("time"))
     rows.write.partitionBy("date", "time").text(path)
     return path
@@ -107,7 +122,7 @@ def s10(spark, sf_dir):
 @register("s4_raw_zone", f"{FLAT_SQL} FROM events")
 def s4(spark, sf_dir):
     """Two writes of the message stream into the raw zone, read back."""
-    root = f"{work_dir(spark)}/raw-{datetime.now():%H%M%S%f}"
+    root = new_folder(spark, "raw")
     rows = messages(spark, sf_dir)
     for odd, written_at in enumerate((datetime(2024, 2, 1, 8), datetime(2024, 2, 1, 9, 30))):
         lake.write_zone(rows.filter(F.col("event_id") % 2 == odd).select("value"), root, "raw/api", written_at)
@@ -145,7 +160,7 @@ def p3(spark, sf_dir):
 
 @register("s7_aggregated", sql(TYPED_LIVE, "before_"))
 def s7(spark, sf_dir):
-    root = f"{work_dir(spark)}/zone-{datetime.now():%H%M%S%f}"
+    root = new_folder(spark, "zone")
     lake.write_zone(lake.to_aggregated_fields(text_rows(spark, sf_dir)), root, "aggregated", datetime(2024, 2, 1))
     return typed_ntz(plan.type_readings(lake.read_aggregated(spark, f"{root}/aggregated")))
 
@@ -165,21 +180,21 @@ def write_versions(spark, sf_dir, path):
 
 @register("s6_reference_files", sql(VERSION_TEXT, "versions"))
 def s6(spark, sf_dir):
-    path = write_versions(spark, sf_dir, f"{work_dir(spark)}/reference-{datetime.now():%H%M%S%f}")
+    path = write_versions(spark, sf_dir, new_folder(spark, "reference"))
     rows = reference.read_reference_versions(spark, path).drop("version_file", "line")
     return rows.withColumn("version_ts", ntz(F.col("version_ts")))
 
 
 @register("s11_clean_zone", sql("SELECT CAST(collected_at AS DATE) AS date, count(*) AS n_rows, sum(bikes_total)::BIGINT AS bikes FROM before_ GROUP BY 1", "before_"))
 def s11(spark, sf_dir):
-    path = f"{work_dir(spark)}/clean-{datetime.now():%H%M%S%f}"
+    path = new_folder(spark, "clean")
     lake.write_clean(before(spark, sf_dir), path)
     return spark.read.parquet(path).groupBy("date").agg(F.count("*").alias("n_rows"), F.sum("bikes_total").alias("bikes"))
 
 
 @register("s12_staging", sql("SELECT row_id, station_id, collected_at, capacity, station_name FROM before_", "before_"))
 def s12(spark, sf_dir):
-    path = f"{work_dir(spark)}/staging-{datetime.now():%H%M%S%f}"
+    path = new_folder(spark, "staging")
     lake.write_staging(before(spark, sf_dir).select("row_id", "station_id", "collected_at", "capacity", "station_name"), path)
     return spark.read.parquet(path)
 
@@ -187,7 +202,7 @@ def s12(spark, sf_dir):
 @register("s13_zone_counts", """SELECT 'raw' AS zone, count(*) AS records FROM events UNION ALL
  SELECT 'nations', count(*) FROM nation""")
 def s13(spark, sf_dir):
-    nations = f"{work_dir(spark)}/nations-{datetime.now():%H%M%S%f}"
+    nations = new_folder(spark, "nations")
     table(spark, sf_dir, "nation").select("n_name").write.text(nations)
     return lake.zone_counts(spark, {"raw": raw_zone(spark, sf_dir), "nations": nations})
 

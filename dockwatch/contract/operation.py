@@ -11,7 +11,7 @@ from dockwatch.contract.analytics import KPI
 from dockwatch.operators import load
 from dockwatch.operators.relations import latest_state, stack
 from dockwatch.plans import availability as V, monitoring as M
-from dockwatch.session import materialise, work_dir
+from dockwatch.session import materialise, new_folder
 from dockwatch.sources import lake
 from dockwatch.streaming import live
 
@@ -89,7 +89,7 @@ CHANGED = "CASE WHEN collected_at < TIMESTAMP '2024-01-08 00:00:00' THEN 'old' |
     ("b", f"SELECT row_id, station_id, collected_at, {CHANGED} AS station_code, least(2, (extract(day FROM collected_at) - 1) // 10) AS part FROM readings")]))
 def t8(spark, sf_dir):
     """Lost codes filled batch by batch with the last code known at that time."""
-    store = f"{work_dir(spark)}/codes-{datetime.now():%H%M%S%f}"
+    store = new_folder(spark, "codes")
     rows = readings(spark, sf_dir).select("row_id", "station_id", "collected_at", F.expr(CHANGED).alias("station_code"))
     part = F.least(F.lit(2), F.floor((F.dayofmonth("collected_at") - 1) / 10))
     filled = [materialise(live.carry_code(rows.filter(part == n), store), "carried") for n in range(3)]
@@ -99,7 +99,7 @@ def t8(spark, sf_dir):
 @register("l5_run_log", sql("SELECT * FROM runs", extra=RUNS))
 def l5(spark, sf_dir):
     """The run log of all runs, recorded in one write after a first line of one of them, and read back."""
-    path = f"{work_dir(spark)}/runs-{datetime.now():%H%M%S%f}"
+    path = new_folder(spark, "runs")
     lines = materialise(runs(spark, sf_dir), "runs")
     load.record_run(spark, path, lines.filter("run_id = '2024-01-27'").withColumn("rows_raw", F.lit(0)))
     load.record_run(spark, path, lines)
@@ -118,7 +118,7 @@ def finish(query):
 @register("t3_dedup_stream", sql("SELECT DISTINCT station_id, collected_at FROM readings", "readings"))
 def t3(spark, sf_dir):
     """Repeated messages dropped by a stream over the events table."""
-    path = f"{work_dir(spark)}/dedup-{datetime.now():%H%M%S%f}"
+    path = new_folder(spark, "dedup")
     schema = table(spark, sf_dir, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     timed = source.select(F.expr(STATION_ID).alias("station_id"), F.date_trunc("hour", "ts").alias("collected_at"))
@@ -133,7 +133,7 @@ LIVE_MESSAGE = f"left({MESSAGE}, length({MESSAGE}) - 1) || ',\"date_collecte\":\
 
 def live_lake(spark, sf_dir):
     """Messages and reference files on disk, streamed into the raw and aggregated zones."""
-    root = f"{work_dir(spark)}/lake-{datetime.now():%H%M%S%f}"
+    root = new_folder(spark, "lake")
     write_versions(spark, sf_dir, f"{root}/raw/source2")
     table(spark, sf_dir, "events").select(F.expr(LIVE_MESSAGE).alias("value")).write.text(f"{root}/topic")
     source = live.read_status_stream(spark, f"{root}/topic", "text")
@@ -180,7 +180,7 @@ def stored_target(spark, sf_dir):
     """The repaired tables stored by day and read back."""
     from dockwatch.contract.quality import target
 
-    root = f"{work_dir(spark)}/target-{datetime.now():%H%M%S%f}"
+    root = new_folder(spark, "target")
     lake.write_target(target(spark, sf_dir), root)
     return lake.read_target(spark, root)
 
@@ -222,6 +222,6 @@ def s14(spark, sf_dir):
     from dockwatch.contract.quality import target
     from dockwatch.operators.aggregates import table_counts
 
-    root = f"{work_dir(spark)}/target-{datetime.now():%H%M%S%f}"
+    root = new_folder(spark, "target")
     lake.write_target(target(spark, sf_dir), root)
     return table_counts(lake.read_target(spark, root))

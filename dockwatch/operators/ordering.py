@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from dockwatch.session import materialise
+
 # rows of one instant are cut into blocks of at most this many row ids (a power of two)
 BLOCK_ROWS = 1 << 20
 
@@ -127,9 +129,29 @@ def top_k(df: DataFrame, order, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def order_by_rank(df: DataFrame, column: str, ranks, *then) -> DataFrame:
-    """Sort by a fixed order of values (others last), then by ``then``."""
+def rank_of(column: str, ranks):
+    """Place of a value in a fixed order of values, others last."""
     rank = F.lit(len(ranks))
     for position, value in reversed(list(enumerate(ranks))):
         rank = F.when(F.col(column) == value, F.lit(position)).otherwise(rank)
-    return df.orderBy(rank, *then)
+    return rank
+
+
+def order_by_rank(df: DataFrame, column: str, ranks, *then) -> DataFrame:
+    """Sort by a fixed order of values (others last), then by ``then``."""
+    return df.orderBy(rank_of(column, ranks), *then)
+
+
+def with_position(df: DataFrame, *order, name="position") -> DataFrame:
+    """Number all rows from 1 in the given order, whose columns tell every two rows apart.
+
+    Rows are sorted in ranges, each range numbers its own, and the counts of earlier ranges, one row per range, are added: no
+    task holds more than a range.
+    """
+    marked = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    marked = materialise(marked, "ordered").withColumn("_range", F.shiftrightunsigned("_at", 33))
+    counts = marked.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    counts = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return marked.join(counts, "_range").withColumn(name, place).drop("_at", "_range", "_before")

@@ -138,9 +138,15 @@ def write_zone(df: DataFrame, root: str, zone: str, written_at) -> None:
         writer.option("ignoreNullFields", "false").json(target)
 
 
+def by_day(df: DataFrame) -> DataFrame:
+    """Deal rows by their ``date``, a large day over several tasks of even size, so that a write makes few files per day, not one per
+    task and day."""
+    return df.hint("rebalance", "date")
+
+
 def write_clean(df: DataFrame, path: str) -> None:
     """Clean zone: Parquet, one folder per collection date; rows are appended."""
-    dated = df.withColumn("date", F.to_date("collected_at"))
+    dated = by_day(df.withColumn("date", F.to_date("collected_at")))
     dated.write.mode("append").partitionBy("date").parquet(path)
 
 
@@ -314,8 +320,17 @@ def _move(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot move {old} to {new}")
 
 
-def compact_day(spark: SparkSession, path: str, day: str) -> bool:
-    """Rewrite all batches of one closed ``day`` into one folder; False when there is at most one.
+#: Bytes of a file that compaction aims at.
+FILE_BYTES = 128 << 20
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, folder = _fs(spark, path)
+    return fs.getContentSummary(folder).getLength()
+
+
+def compact_day(spark: SparkSession, path: str, day: str, file_bytes: int = FILE_BYTES) -> bool:
+    """Rewrite all batches of one closed ``day`` into one folder, in files of about ``file_bytes``; False when there is at most one batch.
 
     The new files are complete under a hidden name before the old folders go, and an interrupted run is finished by
     the next one, so no row is lost or doubled for good. Run it where no other job reads that day at the same time.
@@ -326,7 +341,8 @@ def compact_day(spark: SparkSession, path: str, day: str) -> bool:
         if len(batches) < 2:
             return False
         rows = spark.read.option("basePath", path).parquet(f"{path}/date={day}").drop("date", "batch")
-        rows.repartition(max(1, len(batches) // 64)).write.mode("overwrite").parquet(ready)
+        files = -(-folder_bytes(spark, f"{path}/date={day}") // file_bytes)
+        rows.repartition(max(1, files)).write.mode("overwrite").parquet(ready)
     for name in _children(spark, f"{path}/date={day}"):
         delete_folder(spark, f"{path}/date={day}/{name}")
     _move(spark, ready, done)
@@ -431,10 +447,10 @@ def write_target(tables: dict, root: str, name: str = "0") -> None:
     dated = tables["reading"].withColumn("date", F.to_date("collected_at"))
     for dimension in ("town", "station", "bike_type"):
         write_snapshot(tables[dimension], f"{root}/{dimension}", name)
-    write_batch(dated, f"{root}/reading", name)
+    write_batch(by_day(dated), f"{root}/reading", name)
     write_batch(
-        tables["reading_bikes"].join(dated.select("reading_id", "date"), "reading_id").select(
-            "reading_id", "bike_type_id", "bikes", "date"), f"{root}/reading_bikes", name)
+        by_day(tables["reading_bikes"].join(dated.select("reading_id", "date"), "reading_id").select(
+            "reading_id", "bike_type_id", "bikes", "date")), f"{root}/reading_bikes", name)
 
 
 def read_target(spark: SparkSession, root: str) -> dict:

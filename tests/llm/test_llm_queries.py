@@ -271,10 +271,80 @@ def test_pipeline_stages(spark):
     assert Counter(r.doc_id for r in out) == seen[3]
 
 
+def test_the_classifier_stage_drops_bad_texts_that_pass_the_rules(spark):
+    """The rules leave labels of one quality only; the stage learns from all and finds bad texts planted after them."""
+    docs = corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    good = [r.text for r in docs.orderBy("doc_id").limit(25).collect()]
+    # shouted words, but too few for the rule on capitals
+    bad = [" ".join((w.upper() if n % 2 else w.lower()) + "!!" for n, w in enumerate(t.split()[:300])) for t in good]
+    planted = spark.createDataFrame([(10_000_000 + i, t, "en", "src0", len(t)) for i, t in enumerate(bad)], docs.schema)
+    given = docs.unionByName(planted)
+    passed = corpus_pipeline.quality_rules(spark, given, SF).count() - docs.count()
+    kept = corpus_pipeline.quality_classifier(spark, given, SF)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert passed > 0 and not any(i >= 10_000_000 for i in ids) and len(ids) >= 0.99 * docs.select("doc_id").distinct().count()
+
+
+def test_split_by_ids_with_clashing_columns(spark):
+    from dockwatch.llm.common import split_by_ids
+
+    df = spark.createDataFrame([(1, "a", 2, 3), (2, "b", 3, 4), (None, "c", 1, 1)], "doc_id long, _word string, _word_bits int, _WORD_bit int")
+    maybe, rest = split_by_ids(df, "doc_id", df.where("doc_id = 1").select("doc_id"))
+    assert 1 in {r.doc_id for r in maybe.collect()} and maybe.columns == rest.columns == df.columns
+    assert maybe.count() + rest.count() == 3
+    text = spark.createDataFrame([(1, "x", 2, 3)], "doc_id long, text string, _word_bits int, _word_bit int")
+    assert keep_one(text).columns == text.columns and keep_one(text).count() == 1
+
+
 def test_pipeline_of_odd_rows(spark, odd, none, tmp_path):
     spark.createDataFrame([(5, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
     for docs in (odd, none):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, docs, str(tmp_path)).columns == docs.columns
             stage(spark, docs, str(tmp_path)).collect()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
+# the cascade
+
+def test_later_rules_count_living_rows_only(monkeypatch):
+    from dockwatch.llm import op05_rules as C
+
+    rng = np.random.default_rng(6)
+    long = [" ".join(f"w{n}" for n in rng.integers(0, 10_000, 80)) for _ in range(10)]
+    texts = [t for i in range(10) for t in ["too short"] * 99 + [long[i]]]
+    raw = [t.encode() for t in texts]
+    seen = defaultdict(list)
+
+    def spy(name, metric):
+        def run(t):
+            seen[name].append(t.rows)
+            return metric(t)
+        return run
+
+    plain = {m: f(C.Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))) for m, f in C.METRICS.items()}
+    monkeypatch.setattr(C, "METRICS", {m: spy(m, f) for m, f in C.METRICS.items()})
+    given = C.Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    verdict = C.run_cascade(given, C.RULES, ["few_words", "repeated_windows", "symbols", "repeated_lines", "shouting", "word_length"])
+    assert seen.pop("n_words") == [1000] and all(rows == [10] for rows in seen.values()) and len(seen) == 7
+    assert (verdict[99::100] == -1).all() and (verdict >= 0).sum() == 990
+    # metrics of a part equal those of all
+    at = np.sort(rng.choice(1000, 300, replace=False))
+    alive = np.zeros(1000, bool)
+    alive[at] = True
+    for known in (False, True):
+        t = C.Texts(given.data, given.offsets)
+        if known:
+            t.spans()
+        assert all((t.metric(m, alive)[at] == plain[m][at]).all() for m in plain)
+
+
+def test_order_of_rules_does_not_change_between_runs(spark):
+    from dockwatch.llm.op05_rules import plan_order
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    orders = [plan_order(d, "doc_id", "text", RULES) for d in (docs, docs.repartition(7), docs)]
+    assert orders[0] == orders[1] == orders[2] and sorted(orders[0]) == sorted(RULES)
+    huge = spark.createDataFrame([(1, "word " * 400_000), (1, "x"), (2, None)], "doc_id long, text string")
+    assert sorted(plan_order(huge, "doc_id", "text", RULES)) == sorted(RULES)

@@ -271,18 +271,23 @@ def test_pipeline_stages(spark):
     assert Counter(r.doc_id for r in out) == seen[3]
 
 
-def test_the_classifier_stage_drops_bad_texts_that_pass_the_rules(spark):
-    """The rules leave labels of one quality only; the stage learns from all and finds bad texts planted after them."""
-    docs = corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
-    good = [r.text for r in docs.orderBy("doc_id").limit(25).collect()]
+def test_the_classifier_stage_drops_bad_texts_that_pass_the_rules(spark, tmp_path):
+    """The stage's input holds labels of one quality only; it learns from the whole table and drops bad texts no rule rejects."""
+    whole = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = corpus_pipeline.quality_rules(spark, whole, SF)
+    good = [r.text for r in docs.orderBy("doc_id").limit(85).collect()]
     # shouted words, but too few for the rule on capitals
     bad = [" ".join((w.upper() if n % 2 else w.lower()) + "!!" for n, w in enumerate(t.split()[:300])) for t in good]
-    planted = spark.createDataFrame([(10_000_000 + i, t, "en", "src0", len(t)) for i, t in enumerate(bad)], docs.schema)
-    given = docs.unionByName(planted)
-    passed = corpus_pipeline.quality_rules(spark, given, SF).count() - docs.count()
-    kept = corpus_pipeline.quality_classifier(spark, given, SF)
-    ids = {r.doc_id for r in kept.select("doc_id").collect()}
-    assert passed > 0 and not any(i >= 10_000_000 for i in ids) and len(ids) >= 0.99 * docs.select("doc_id").distinct().count()
+    rows = spark.createDataFrame([(10_000_000 + i, t, "en", "src0", len(t)) for i, t in enumerate(bad)], docs.schema)
+    assert corpus_pipeline.quality_rules(spark, rows, SF).count() == len(bad)
+    taught = rows.where("doc_id < 10000060")  # labelled, and no longer among the stage's rows
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    whole.unionByName(taught).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.unionByName(taught.selectExpr("doc_id", "0 as quality", "0 as toxic").select(*[F.col(f.name).cast(f.dataType) for f in labels.schema])).write.parquet(f"{tmp_path}/labels.parquet")
+    given = docs.unionByName(rows.where("doc_id >= 10000060"))
+    assert {r.quality for r in labels.join(given, "doc_id").select("quality").distinct().collect()} == {1}
+    ids = {r.doc_id for r in corpus_pipeline.quality_classifier(spark, given, str(tmp_path)).select("doc_id").collect()}
+    assert sum(i >= 10_000_000 for i in ids) <= 1 and len(ids) >= 0.98 * docs.select("doc_id").distinct().count()
 
 
 def test_split_by_ids_with_clashing_columns(spark):

@@ -10,7 +10,8 @@ SF = "/root/testdata/sf0.001"
 SAMPLE = ["s1_explode", "s8_flatten", "s6_reference_files", "p3_typing", "p12_types", "p14_rejected", "j3_asof", "j5_attach", "j10_not_in_list",
           "j16_radius", "w1_neighbours", "a5_kpis", "a8_fill_rate", "a18_reference_changes", "q_audit_before", "q_base", "l2_upsert_stations",
           "l7_violations", "t5_rate", "t6_cumulative", "q_audit_dirty", "r_journal_faulty", "j7_stored_state", "a6_stored_series", "m5_stream_report",
-          "t8_carried_codes", "l5_run_log", "l6_reading_ids", "u1_stack", "s4_raw_zone", "a17_breakdown_u2", "a17_breakdown_c4", "w6_ranked_order"]
+          "t8_carried_codes", "l5_run_log", "l6_reading_ids", "u1_stack", "s4_raw_zone", "a17_breakdown_u2", "a17_breakdown_c4", "w6_ranked_order",
+          "p19_duplicate_fields", "q_audit_incremental", "t1_exactly_once", "l2_bucketed", "l7_violations_once", "j5_attach_history", "a13_bitmaps"]
 
 
 @pytest.fixture(scope="module")

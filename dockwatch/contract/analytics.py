@@ -173,7 +173,7 @@ def j16(spark, sf_dir):
 @register("a14_radius_totals", sql("""SELECT point_id, count(*) AS stations, CAST(sum(bikes_mechanical) AS BIGINT) AS bikes_mechanical,
  CAST(sum(bikes_electric) AS BIGINT) AS bikes_electric FROM near GROUP BY point_id""", "before_", extra=NEAR))
 def a14(spark, sf_dir):
-    return P.radius_totals(near(spark, sf_dir))
+    return P.radius_totals(P.within_radius(points(spark, sf_dir), latest_state(spark, sf_dir), RADIUS, summed=["bikes_mechanical", "bikes_electric"]))
 
 
 @register("u3_append_point", sql("""SELECT point_id, point_lat AS latitude, point_lon AS longitude, '#1f77b4' AS colour, 25::BIGINT AS size FROM points

@@ -79,20 +79,21 @@ def s8(spark, sf_dir):
     return lake.flatten_raw_status(messages(spark, sf_dir)).drop("collected_at")
 
 
-# every third message has the second names only, every third both with different values, the others the first names only
-SECOND_ONLY = f"""'{{"station_id":' || CAST({STATION_ID} AS STRING) || ',"stationCode":"A","numBikesAvailable":' || CAST(event_id % 50 AS STRING) || ',"numDocksAvailable":8}}'"""
-BOTH = f"""'{{"station_id":' || CAST({STATION_ID} AS STRING) || ',"numBikesAvailable":' || CAST(event_id % 50 AS STRING) || ',"num_bikes_available":' || {K} ||
- ',"num_docks_available":3,"numDocksAvailable":8,"unused":{{"num_docks_available":77}}}}'"""
-FIRST_ONLY = f"""'{{"num_docks_available":3,"num_bikes_available":' || {K} || ',"station_id":' || CAST({STATION_ID} AS STRING) || '}}'"""
+# beside the messages above, which hold both names: every event once more, every third with the second names only, every third with both and
+# a look-alike deeper down, the others with the first names only
+SECOND_ONLY = f"""replace(replace(replace({MESSAGE}, '"num_bikes_available":' || {K} || ',', ''), '"num_docks_available":' || CAST((event_id * 7) % 40 AS STRING) || ',', ''), '"is_installed":1', '"unused":0,"is_installed":1')"""
+BOTH = f"""replace({MESSAGE}, '"is_installed":1', '"unused":{{"num_docks_available":77,"num_bikes_available":78}},"is_installed":1')"""
+FIRST_ONLY = f"""replace(replace({MESSAGE}, '"numBikesAvailable":999,', ''), '"numDocksAvailable":999,', '')"""
 NAMES = f"CASE event_id % 3 WHEN 0 THEN {SECOND_ONLY} WHEN 1 THEN {BOTH} ELSE {FIRST_ONLY} END"
+FIRST_NAMES_COUNT = "* REPLACE (CASE WHEN event_id % 3 <> 0 THEN bikes_total END AS bikes_total, CASE WHEN event_id % 3 <> 0 THEN docks_free END AS docks_free)"
 
 
-@register("p19_duplicate_fields", f"""SELECT CAST({STATION_ID} AS VARCHAR) AS station_id, CASE WHEN event_id % 3 = 0 THEN 'A' END AS station_code,
- CASE WHEN event_id % 3 <> 0 THEN {K} END AS bikes_total, CASE WHEN event_id % 3 <> 0 THEN '3' END AS docks_free FROM events""")
+@register("p19_duplicate_fields", f"{FLAT_SQL} FROM events UNION ALL SELECT * EXCLUDE (event_id) FROM (SELECT {FIRST_NAMES_COUNT} FROM ({FLAT_SQL}, event_id FROM events))")
 def p19(spark, sf_dir):
-    """A count under its second name only, or under both with different values: only the first name counts."""
-    rows = table(spark, sf_dir, "events").select(F.expr(NAMES).alias("value"))
-    return lake.flatten_raw_status(rows).select("station_id", "station_code", "bikes_total", "docks_free")
+    """Whole messages with the counts under both names, their second name only or their first name only: only the first name counts."""
+    both = messages(spark, sf_dir).select("value")
+    others = table(spark, sf_dir, "events").select(F.expr(NAMES).alias("value"))
+    return lake.flatten_raw_status(both.unionByName(others)).drop("collected_at")
 
 
 def zone_slot():

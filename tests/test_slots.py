@@ -38,3 +38,17 @@ def test_empty(spark):
     none = frame(spark).limit(0)
     assert rows(collection_counts(none)) == [(0, 0, 0, 0)]
     assert rows(collection_counts(frame(spark).filter(F.col("collected_at").isNull()))) == [(3, 2, 0, 0)]
+
+
+def test_bitmaps_are_neither_shuffled_nor_sorted(spark):
+    """Plan of the counts: what is sorted or exchanged before the merge of all stations holds slots, not bitmaps."""
+    executed = collection_counts(frame(spark))
+    executed.collect()
+    plan = executed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[1]
+    lines = [line.strip(" +-:*") for line in plan.splitlines()]
+    per_stretch = next(i for i, line in enumerate(lines) if "partial_bitmap_or_agg" in line)
+    below = lines[per_stretch + 1:]
+    built = next(i for i, line in enumerate(below) if "bitmap_construct_agg" in line)
+    assert not any(line.startswith(("Sort ", "Exchange")) for line in below[:built])
+    partial = next(i for i, line in enumerate(below) if "partial_bitmap_construct_agg" in line)
+    assert not any(line.startswith(("Sort ", "Exchange")) for line in below[:partial])

@@ -153,3 +153,17 @@ def test_swap_of_days_without_rows(spark, tmp_path):
     assert rows(spark.read.parquet(path), "v", "batch") == [(13, "b"), (3, "a"), (7, "new")]
     with pytest.raises(ValueError, match="not replaced"):
         lake.replace_days(frame, path, [date(2024, 1, 1)], "new")
+
+
+def test_staged_rows_are_not_stored_twice(spark, given, tmp_path, monkeypatch):
+    """The rows in true time are written into their days only."""
+    stored = []
+
+    def noted(df, name):
+        stored.append(name)
+        return materialise(df, name)
+
+    monkeypatch.setattr(R, "materialise", noted)
+    # the last poll of day 1 belongs to day 2
+    assert R.stage_days(given[0], f"{tmp_path}/base", DAYS[:1]) == DAYS[:2]
+    assert stored == ["staged", "late"]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dockwatch.operators import load
+from dockwatch.operators.ordering import dedup
 from dockwatch.plans import cleaning as C, conformance as L, live_repair as R
 from dockwatch.session import materialise
 from dockwatch.sources import lake
@@ -120,6 +121,21 @@ def test_rows_the_live_path_lost_come_back(spark, given, tmp_path):
     assert {r.difference for r in L.base_vs_base(tables, whole, until).collect()} == {0}
 
 
+def test_type_rows_with_their_date_are_stored_without_meeting_the_readings(spark, given, tmp_path, monkeypatch):
+    feed, _ = given
+    numbered = materialise(load.with_reading_id(dedup(feed)).withColumn("date", F.to_date("collected_at")), "live")
+    types, stations = load.seed_types(spark), spark.createDataFrame([], "station_id long, town_code string")
+    tables = {"town": stations, "station": stations, "bike_type": types, "reading": numbered.select(*load.READING_COLUMNS)}
+    written, write = {}, lake.write_batch
+    monkeypatch.setattr(lake, "write_batch", lambda df, path, label: written.update({path[len(str(tmp_path)):]: df}) or write(df, path, label))
+    for name, ids in (("dated", ["reading_id", "date"]), ("plain", ["reading_id"])):
+        lake.write_target({**tables, "reading_bikes": load.insert_children(numbered, types, ids)}, f"{tmp_path}/{name}")
+    dated, plain = (spark.read.parquet(f"{tmp_path}/{n}/reading_bikes") for n in ("dated", "plain"))
+    assert rows(dated, "reading_id", "bike_type_id", "bikes", "date") == rows(plain, "reading_id", "bike_type_id", "bikes", "date") != []
+    joins = {n: written[f"/{n}/reading_bikes"]._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") for n in ("dated", "plain")}
+    assert joins == {"dated": joins["plain"] - 1, "plain": joins["plain"]}
+
+
 @pytest.mark.parametrize("table", ["reading_bikes"])
 def test_an_interrupted_swap_is_finished(spark, given, tmp_path, monkeypatch, table):
     feed, reference = given

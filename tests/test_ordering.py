@@ -35,6 +35,25 @@ def test_neighbours_equal_one_window(spark, monkeypatch, block):
     assert rows(O.with_neighbours(df, "v", only_missing=True)) == rows(plain.filter("v IS NULL"), "row_id", "p", "n")
 
 
+def test_neighbours_of_missing_values_come_from_the_days_around_them(spark):
+    at = lambda *days: [T0 + timedelta(days=d) for d in days]
+    data = [(i, 1, t, None if i == 4 else i) for i, t in enumerate(at(0, 1, 1, 5, 9, 20, 20, 21, 30))] + [(100 + i, 2, t, i) for i, t in enumerate(at(5, 9, 20))]
+    df = spark.createDataFrame(data + [(200, None, None, None), (201, None, T0, 7)], "row_id long, station_id long, collected_at timestamp, v long")
+    near = O._around_missing(df.select(F.col("station_id").alias("k"), F.col("collected_at").alias("t"), F.col("row_id").alias("id"), "v"))
+    assert rows(near, "id") == [(200,), (201,), (3,), (4,), (5,), (6,)]
+    assert rows(O.with_neighbours(df, "v", only_missing=True)) == [(200, None, 7), (4, 3, 5)]
+
+
+def test_incomplete_children_are_counted_without_a_join(spark):
+    readings = spark.createDataFrame([(1,), (2,), (2,), (3,), (4,), (None,)], "reading_id long")
+    children = spark.createDataFrame([(1,), (1,), (2,), (4,), (4,), (4,), (9,), (None,), (None,)], "reading_id long")
+    out = A.incomplete_children(readings, children)
+    assert rows(out, "reading_id", "n_children") == [(2, 1), (2, 1), (3, 0), (4, 3), (None, 0)]
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    named = readings.withColumn("name", F.lit("r"))
+    assert rows(A.incomplete_children(named, children)) == [(2, "r", 1), (2, "r", 1), (3, "r", 0), (4, "r", 3), (None, "r", 0)]
+
+
 def test_keep_lowest_keeps_null_keys(spark):
     df = skewed(spark)
     seen, expected = set(), []
